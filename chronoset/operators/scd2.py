@@ -145,9 +145,16 @@ def _guard_one_per_key(staged: DataFrame, key: str) -> DataFrame:
     number of distinct profiles a key has in one delivery.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return staged.withColumn(
-        "__dup", F.when(n > 1, F.raise_error(F.concat(F.lit("two staged profiles for key "), F.col(key).cast("string"))))
-    ).drop("__dup")
+    return (staged.withColumn("__n", n)
+            .where(_fail_when(F.col("__n") > 1, F.concat(F.lit("two staged profiles for key "), F.col(key).cast("string"))))
+            .drop("__n"))
+
+
+def _fail_when(cond: Column, message) -> Column:
+    """A filter predicate that is always true but fails the task when `cond`
+    holds; as a predicate it cannot be pruned away like an unused column."""
+    msg = F.lit(message) if isinstance(message, str) else message
+    return F.when(cond, F.raise_error(msg)).isNull()
 
 
 def _split_current(target: DataFrame, staged: DataFrame, key: str, split: bool):
@@ -182,7 +189,7 @@ def expire(target: DataFrame, staged: DataFrame, key: str, tracked: list[str], m
     chg = F.col("__s_start").isNotNull() & changed([F.col(c) for c in tracked],
                                                     [F.col(f"__s_{c}") for c in tracked], mode)
     late = F.col("__s_start").isNotNull() & (F.col("__s_start") < F.col(START_COL))
-    j = j.withColumn("__late", F.when(late, F.raise_error(F.lit("staged day is older than the open version"))))
+    j = j.where(_fail_when(late, "staged day is older than the open version"))
     updated = j.select(
         *[c for c in target.columns if c not in (END_COL, CURRENT_COL)],
         F.when(chg, F.col("__s_start")).otherwise(F.col(END_COL)).alias(END_COL),
@@ -256,9 +263,10 @@ def merge_day(target: DataFrame, staged: DataFrame, key: str, tracked: list[str]
 
 
 def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
-              mode: str = CHANGED_ONLY, cut_every: int = 5, split: bool = False) -> DataFrame:
+              mode: str = CHANGED_ONLY, cut_every: int = 1, split: bool = False) -> DataFrame:
     """Apply `merge_day` day after day in date order (M4, incremental form).
 
+    `daily` must hold one row per (key, day), as `latest_per_day` makes it.
     Only the list of distinct days reaches the driver. Only the open rows are
     carried through the loop; rows a day closes are set aside and unioned
     once at the end, so each day's join sees the current set alone. Each
@@ -271,6 +279,8 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
 
     spark = daily.sparkSession
     checkpoint_root(spark)
+    # the staged days are read once per day: materialise them once
+    daily = daily.checkpoint(eager=True)
     days = [r[0] for r in daily.select(day).distinct().orderBy(day).collect()]
     staged_all = staged_from_daily(daily, day)
     closed_parts = [target.where(~F.col(CURRENT_COL))]
@@ -279,12 +289,14 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
     held = []
     for i, d in enumerate(days, 1):
         stg = staged_all.where(F.col(START_COL) == F.lit(d))
-        merged = merge_day(cur, stg, key, tracked, mode, split=split).coalesce(width)
+        merged = merge_day(cur, stg, key, tracked, mode, split=split, check_unique=False).coalesce(width)
         if cut_every and i % cut_every == 0:
-            merged = merged.checkpoint(eager=True)
-            for h in held:
+            # persisted first, so writing the checkpoint does not recompute the day
+            merged.persist()
+            cut = merged.checkpoint(eager=True)
+            for h in held + [merged]:
                 h.unpersist()
-            held = []
+            held, merged = [], cut
         else:
             merged = merged.persist()
             held.append(merged)

@@ -94,7 +94,17 @@ def replace_by_date(df: DataFrame, path: str, date_col: str, dates: list | None
 
 
 def write_daily_json(df: DataFrame, path: str, date_col: str = "file_date", mode: str = "overwrite") -> int:
-    """JSON-lines output with one folder per date (K8)."""
+    """JSON-lines output with one folder per date (K8).
+
+    Each task writes one file per date it holds. When the input has fewer
+    partitions than the cluster's shuffle width (a small feed spanning many
+    dates), dates are first spread over that many tasks; a large input is
+    written as it is partitioned, so a hot date is never funnelled into one
+    task.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() < width:
+        df = df.repartition(width, date_col)
     return write_counted(df, path, mode, date_col, "json",
                          {"timestampNTZFormat": TS_NTZ_FORMAT, "ignoreNullFields": "false"})
 
