@@ -40,7 +40,12 @@ def read_json(spark: SparkSession, paths, schema: T.StructType = RAW_TRANSACTION
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, corrupt lines)."""
+    """(parsed rows, corrupt lines).
+
+    Spark refuses a query on raw JSON that reads nothing but the corrupt
+    column (e.g. a bare `count()` of either side); write the bad side to a
+    quarantine folder, or read data columns with it.
+    """
     if CORRUPT not in df.columns:
         return df, df.limit(0)
     # Spark refuses queries that touch only the corrupt column of a raw
