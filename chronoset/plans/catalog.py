@@ -446,6 +446,28 @@ def q_stream_archive(spark, sf_dir):
     return out.select("event_id", "ts", "profile.user_id", "profile.event_type", "value", "profile.props")
 
 
+def _e_feed():
+    from chronoset.jobs import FeedConfig
+
+    return FeedConfig(schema=E_NESTED_SCHEMA, key=E_KEY, struct_name="profile", ts_col="ts", id_col="event_id",
+                      attrs=E_ATTRS, tracked=E_TRACKED, fact_cols=["event_id", "ts", "value"])
+
+
+@register("batch_load_history")
+def q_batch_load_history(spark, sf_dir):
+    """Two daily batch runs over the events' daily files: the first sees the
+    files of days 1-15, the second all files and processes only the pending
+    rest; the resulting dimension equals the full build."""
+    from chronoset import jobs
+
+    src = _write_events_daily_json(spark, sf_dir)
+    base = scratch_path(spark, "batch")
+    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), _e_feed(), base, batch_id=1)
+    jobs.run_batch(spark, manifest, _e_feed(), base, batch_id=2)
+    return jobs.read_dimension(spark, base).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+
+
 @register("stream_scd2")
 def q_stream_scd2(spark, sf_dir):
     from chronoset.streaming import history

@@ -228,5 +228,6 @@ FROM b GROUP BY 1""",
     # --- streaming -----------------------------------------------------------
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_scd2": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
+    "batch_load_history": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
     "stream_archive": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 }

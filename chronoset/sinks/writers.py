@@ -70,6 +70,18 @@ def load_overwrite(df: DataFrame, path: str, partition_by=None, fmt: str = "parq
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def replace_partitions(df: DataFrame, path: str, cols: list[str], fmt: str = "parquet") -> int:
+    """Dynamic partition overwrite: exactly the partitions present in `df`
+    are replaced, whatever the session's default overwrite mode is."""
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        return write_counted(df, path, "overwrite", cols, fmt)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def replace_by_date(df: DataFrame, path: str, date_col: str, dates: list | None = None, fmt: str = "parquet") -> int:
     """Idempotent reload of whole dates.
 
@@ -78,12 +90,7 @@ def replace_by_date(df: DataFrame, path: str, date_col: str, dates: list | None
     emptied as well, which a dynamic overwrite alone would not do.
     """
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        n = write_counted(df, path, "overwrite", date_col, fmt)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    n = replace_partitions(df, path, [date_col], fmt)
     if dates:
         # distinct dates of one reload: a calendar-bounded list
         written = {str(r[0]) for r in df.select(date_col).distinct().collect()} if n else set()
