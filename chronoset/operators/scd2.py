@@ -327,6 +327,26 @@ def apply_days(dimension: DataFrame, snapshots: DataFrame, batch: DataFrame, key
     return kept.unionByName(rebuilt.select(*kept.columns))
 
 
+def extend_open(dimension: DataFrame, batch: DataFrame, key: str, day: str, tracked: list[str],
+                mode: str = CHANGED_ONLY) -> DataFrame:
+    """Merge a batch whose days all come after every stored day (fast path).
+
+    Closed versions are final, so only the open rows of the batch's keys can
+    change: each open row is replayed as a snapshot on its start day, followed
+    by the batch rows, and that short history is rebuilt. Exact in both modes
+    because a version's end only depends on later rows. Closed rows and open
+    rows of other keys pass through; the split is a semi / anti join on the
+    batch keys (broadcast when Spark measures the key set as small).
+    """
+    attrs = [c for c in dimension.columns if c not in (key, START_COL, END_COL, CURRENT_COL)]
+    keys = batch.select(key).distinct()
+    cur = dimension.where(F.col(CURRENT_COL))
+    seeds = cur.join(keys, key, "left_semi").select(key, F.col(START_COL).alias(day), *attrs)
+    hist = build_history(seeds.unionByName(batch.select(key, day, *attrs)), key, day, tracked, mode, attrs)
+    kept = dimension.where(~F.col(CURRENT_COL)).unionByName(cur.join(keys, key, "left_anti"))
+    return kept.unionByName(hist.select(*kept.columns))
+
+
 # ---------------------------------------------------------------------------
 # Reading a dimension
 # ---------------------------------------------------------------------------

@@ -39,6 +39,12 @@ class HistoryStream:
         self.snap_path = f"{self.base}/snapshots"
         self.batches_path = f"{self.base}/_batches"
 
+    def _stored_max_day(self):
+        """Latest day already folded into the snapshots (from the batch log)."""
+        if not writers.path_exists(self.spark, self.batches_path):
+            return None
+        return self.spark.read.parquet(self.batches_path).agg(F.max("max_day")).first()[0]
+
     def _seen(self, batch_id: int) -> bool:
         if not writers.path_exists(self.spark, self.batches_path):
             return False
@@ -57,9 +63,11 @@ class HistoryStream:
         batch = self._reduce(flat_batch).checkpoint(eager=True)
         if batch.isEmpty():
             return
-        days = batch.select(self.day).distinct()
+        # the batch's days: a calendar-bounded list, used as a static partition filter
+        days = sorted(r[0] for r in batch.select(self.day).distinct().collect())
+        stored_max = self._stored_max_day()
         if writers.path_exists(spark, self.snap_path):
-            existing = spark.read.parquet(self.snap_path).join(days, self.day, "left_semi")
+            existing = spark.read.parquet(self.snap_path).where(F.col(self.day).isin(days))
             merged = self._reduce(existing.unionByName(batch.select(*existing.columns)))
         else:
             merged = batch
@@ -68,12 +76,19 @@ class HistoryStream:
         writers.replace_by_date(merged, self.snap_path, self.day)
         snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
         dim = self.store.read()
+        flat = batch.select(self.key, self.day, *self.attrs)
         if dim is None:
             new_dim = scd2.build_history(snapshots, self.key, self.day, self.tracked, self.mode, self.attrs)
+        elif stored_max is not None and days[0] > stored_max:
+            # in order: only open rows of the batch's keys can change
+            new_dim = scd2.extend_open(dim, flat, self.key, self.day, self.tracked, self.mode)
         else:
-            new_dim = scd2.apply_days(dim, snapshots, batch, self.key, self.day, self.tracked, self.mode)
+            # a late or re-delivered day: rebuild the touched keys from their kept snapshots
+            new_dim = scd2.apply_days(dim, snapshots, flat, self.key, self.day, self.tracked, self.mode)
         self.store.commit(new_dim, batch_id)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(self.batches_path)
+        new_max = max([d for d in (stored_max, days[-1]) if d is not None])
+        spark.createDataFrame([(batch_id, new_max)], "batch_id long, max_day date").write.mode("append").parquet(
+            self.batches_path)
 
 
 def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str, checkpoint: str,

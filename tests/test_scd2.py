@@ -210,3 +210,16 @@ def test_one_open_row_per_key_and_contiguous(spark):
     rows = [(k, d, rnd.choice(["A", "B"]), "X", "n") for k in "abcdef" for d in D if rnd.random() < 0.6]
     rep = integrity(build(spark, rows), "k").first()
     assert (rep["keys_multi_current"], rep["n_overlaps"], rep["n_gaps"], rep["n_inverted"]) == (0, 0, 0, 0)
+
+
+@pytest.mark.parametrize("seed,mode", [(11, scd2.CHANGED_ONLY), (12, scd2.APPEND_ALL), (13, scd2.CHANGED_ONLY)])
+def test_extend_open_equals_build(spark, seed, mode):
+    rnd = random.Random(seed)
+    rows = [(k, d, rnd.choice(["A", "B", None]), rnd.choice(["X", "Y"]), "n")
+            for k in "abcde" for d in D if rnd.random() < 0.7]
+    cut = D[5]
+    prior = [r for r in rows if r[1] < cut]
+    later = daily(spark, [r for r in rows if r[1] >= cut]).drop("name").withColumn("name", F.lit("n"))
+    dim = scd2.build_history(daily(spark, prior), "k", "day", TRACKED, mode, ["tier", "city", "name"])
+    out = scd2.extend_open(dim, later.select("k", "day", "tier", "city", "name"), "k", "day", TRACKED, mode)
+    assert rows_of(out) == rows_of(build(spark, rows, mode))
