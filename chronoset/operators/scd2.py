@@ -139,15 +139,18 @@ def staged_from_daily(daily: DataFrame, day: str) -> DataFrame:
 
 
 def _guard_one_per_key(staged: DataFrame, key: str) -> DataFrame:
-    """Fail the job when a key has two profiles in one staging set.
+    """One row per key of a staging set; fail the job when a key has two.
 
-    The check is a window over the staged day, whose groups are bounded by the
-    number of distinct profiles a key has in one delivery.
+    A grouped count with a map-side partial step: a key that arrives with a
+    third of all staged rows is reduced per map task before the shuffle,
+    instead of being gathered into one window task. The surviving row is the
+    key's only row (any other outcome raises). The result is partitioned on
+    the key, which the following join on the key reuses.
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(key))
-    return (staged.withColumn("__n", n)
-            .where(_fail_when(F.col("__n") > 1, F.concat(F.lit("two staged profiles for key "), F.col(key).cast("string"))))
-            .drop("__n"))
+    others = [c for c in staged.columns if c != key]
+    g = staged.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.max(F.struct(*others)).alias("__r"))
+    g = g.where(_fail_when(F.col("__n") > 1, F.concat(F.lit("two staged profiles for key "), F.col(key).cast("string"))))
+    return g.select(*[F.col(key) if c == key else F.col(f"__r.{c}").alias(c) for c in staged.columns])
 
 
 def _fail_when(cond: Column, message) -> Column:
@@ -263,18 +266,58 @@ def merge_day(target: DataFrame, staged: DataFrame, key: str, tracked: list[str]
 
 
 def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
-              mode: str = CHANGED_ONLY, cut_every: int = 1, split: bool = False) -> DataFrame:
-    """Apply `merge_day` day after day in date order (M4, incremental form).
+              mode: str = CHANGED_ONLY, stepwise: bool = False, cut_every: int = 1, split: bool = False) -> DataFrame:
+    """Apply `merge_day` day after day in date order (M4).
 
     `daily` must hold one row per (key, day), as `latest_per_day` makes it.
-    Only the list of distinct days reaches the driver. Only the open rows are
-    carried through the loop; rows a day closes are set aside and unioned
-    once at the end, so each day's join sees the current set alone. Each
-    day's result is persisted (it feeds both the closed part and the next
-    day), and lineage is cut with a reliable `checkpoint()` in the cluster's
-    checkpoint folder every `cut_every` days, so a lost executor never
-    recomputes the whole fold.
+
+    Default form: one plan, no loop. When days are merged in ascending order
+    every day comes after all versions the earlier days made, so the fold
+    equals `extend_open` of the whole list: only the target's open rows of
+    the touched keys are replayed with the new days, closed rows pass through.
+    The per-day guard of `merge_day` is applied once, per (key, day), against
+    the target's open rows: a day older than the open version (or, under
+    `changed_only`, the same day with other values) fails the job; the same
+    day with the same values is a no-op. Under `append_all` any day not
+    after the open version fails (its stepwise result would be a zero-length
+    interval or a duplicate open row); use `stepwise=True` to reproduce that.
+
+    `stepwise=True` runs the literal loop, one merge per day (tests compare
+    both forms): only the list of distinct days reaches the driver; only open
+    rows are carried through the loop; each day's result is persisted and
+    lineage is cut with a reliable `checkpoint()` every `cut_every` days.
     """
+    if stepwise:
+        return _fold_stepwise(target, daily, key, day, tracked, mode, cut_every, split)
+    if mode not in (CHANGED_ONLY, APPEND_ALL):
+        raise ValueError(f"unknown mode {mode!r}")
+    attrs = [c for c in target.columns if c not in (key, START_COL, END_COL, CURRENT_COL)]
+    batch = daily.select(key, day, *attrs)
+    # Latest open version per key, with its tracked values (append_all may have
+    # several open rows; a grouped max is bounded by the key's open rows and
+    # combined map-side).
+    open_last = (
+        target.where(F.col(CURRENT_COL))
+        .groupBy(key)
+        .agg(F.max(F.struct(F.col(START_COL).alias("s"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tracked)]))
+             .alias("__o"))
+    )
+    j = batch.join(open_last, key, "left")
+    has_open = F.col("__o").isNotNull()
+    o_start = F.col("__o.s")
+    same_vals = ~null_safe_changed([F.col(f"__o.t{i}") for i in range(len(tracked))], [F.col(c) for c in tracked])
+    if mode == CHANGED_ONLY:
+        bad = has_open & ((F.col(day) < o_start) | ((F.col(day) == o_start) & ~same_vals))
+        noop = has_open & (F.col(day) == o_start) & same_vals
+    else:
+        bad = has_open & (F.col(day) <= o_start)
+        noop = F.lit(False)
+    guarded = j.where(_fail_when(bad, "late or re-delivered day with other values: use apply_days")).where(~noop)
+    return extend_open(target, guarded.select(key, day, *attrs), key, day, tracked, mode)
+
+
+def _fold_stepwise(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
+                   mode: str, cut_every: int, split: bool) -> DataFrame:
     from chronoset.session import checkpoint_root
 
     spark = daily.sparkSession
