@@ -38,9 +38,26 @@ def create_session(app_name: str = "chronoset", master: str | None = None, conf:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    _size_listing_jobs(spark, conf or {})
     return spark
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def _size_listing_jobs(spark: SparkSession, conf: dict) -> None:
+    """Size the distributed listing of many folders to the cluster.
+
+    Listing more than a few folders (a day per folder) runs as a Spark job with
+    one task per folder up to a fixed 10,000. Four tasks per core keeps every
+    core busy on a large cluster and avoids thousands of tiny tasks on a small
+    one. A value set by the caller wins.
+    """
+    if LISTING_PARALLELISM in conf or spark.sparkContext.getConf().contains(LISTING_PARALLELISM):
+        return
+    spark.conf.set(LISTING_PARALLELISM, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
+
+
 def close_session(spark: SparkSession) -> None:
     """Stop the session (CLI use only; never inside a query)."""
     spark.stop()
