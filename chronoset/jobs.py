@@ -110,7 +110,7 @@ def run_stream(spark: SparkSession, source_dir: str, cfg: FeedConfig, base: str,
                          cfg.mode, cfg.day)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if hist._seen(batch_id):
+        if hist.seen(batch_id):
             return
         # facts of a micro-batch land in their own (date, batch) partitions, so
         # a replayed batch overwrites itself instead of appending twice

@@ -117,46 +117,129 @@ def write_daily_json(df: DataFrame, path: str, date_col: str = "file_date", mode
 
 
 class DimensionStore:
-    """Versioned dimension on parquet.
-
-    Layout: `<base>/v=<N>/is_current=<bool>/...` plus `<base>/_commits`, an
-    append-only parquet log of (version, batch_id, rows, committed_at). A
-    reader takes the highest committed version, so a crash between the data
-    write and the commit leaves the previous version in force.
+    """Versioned dimension on parquet, rewriting only what can change.
+
+    Layout below `base`:
+
+    * `data/seg=<N>/is_current=true/`: the open rows as of version N;
+    * `data/seg=<N>/is_current=false/`: closed rows added by version N.
+      Closed rows are final, so these segments are append-only; version N is
+      its open rows plus the closed segments `base_seg(N) <= seg <= N`;
+    * `_commits`: append-only log (version, batch_id, base_seg, closed_rows,
+      current_rows, max_day, committed_at). A reader takes the highest
+      committed version, so a crash between a data write and its commit leaves
+      the previous version in force; a half-written segment of an
+      uncommitted version is never read and the next commit overwrites it.
+
+    Every commit is one write partitioned by `is_current`. A full commit
+    (first build, late-day rebuild, compaction) writes every closed row and
+    becomes the new base. A delta commit writes only the rows the batch closed
+    plus the new open set, so a daily run costs O(open rows + changes), not
+    O(history). After `compact_every` delta segments the next commit compacts,
+    which also bounds the number of folders a reader opens. Readers take their
+    paths from the log: old versions are never listed.
     """
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
+    LOG_SCHEMA = ("version long, batch_id long, base_seg long, closed_rows long, current_rows long, "
+                  "max_day date, committed_at timestamp_ntz")
+
+    def __init__(self, spark: SparkSession, base: str, compact_every: int = 64):
+        self.spark, self.base, self.compact_every = spark, base.rstrip("/"), compact_every
 
     @property
     def commits_path(self) -> str:
         return f"{self.base}/_commits"
 
-    def version(self) -> int:
+    def _seg(self, v: int) -> str:
+        return f"{self.base}/data/seg={v}"
+
+    def _log(self) -> DataFrame | None:
         if not path_exists(self.spark, self.commits_path):
-            return 0
-        v = self.spark.read.parquet(self.commits_path).agg(F.max("version")).first()[0]
-        return int(v or 0)
+            return None
+        return self.spark.read.schema(self.LOG_SCHEMA).parquet(self.commits_path)
+
+    def state(self, batch_id: int | None = None) -> dict:
+        """Latest version, its base segment, the latest day folded in and
+        whether `batch_id` already committed: one aggregate over the log."""
+        log = self._log()
+        if log is None:
+            return {"version": 0, "base_seg": 0, "max_day": None, "seen": False}
+        seen = (F.max(F.coalesce(F.col("batch_id") == F.lit(batch_id), F.lit(False))) if batch_id is not None
+                else F.lit(False))
+        r = log.agg(F.max("version").alias("v"), F.max_by("base_seg", "version").alias("b"),
+                    F.max("max_day").alias("d"), seen.alias("s")).first()
+        return {"version": int(r["v"] or 0), "base_seg": int(r["b"] or 0), "max_day": r["d"], "seen": bool(r["s"])}
+
+    def version(self) -> int:
+        return self.state()["version"]
+
+    def _closed_segments(self, v: int) -> list[int]:
+        """Segments of version v that hold closed rows (at most `compact_every`)."""
+        log = self._log()
+        base = log.where(F.col("version") == v).select("base_seg").first()[0]
+        rows = log.where((F.col("version") >= base) & (F.col("version") <= v) & (F.col("closed_rows") > 0))
+        return sorted(r[0] for r in rows.select("version").distinct().collect())
+
+    def read_current(self, version: int | None = None) -> DataFrame | None:
+        """Open rows only (S3): one folder; no closed row is read."""
+        v = self.version() if version is None else version
+        path = f"{self._seg(v)}/is_current=true"
+        if v == 0 or not path_exists(self.spark, path):
+            return None
+        return self.spark.read.parquet(path).withColumn(CURRENT_COL, F.lit(True))
+
+    def read_closed(self, version: int | None = None) -> DataFrame | None:
+        v = self.version() if version is None else version
+        if v == 0:
+            return None
+        cur = self.read_current(v)
+        segs = self._closed_segments(v)
+        if not segs:
+            return cur.limit(0)
+        closed = self.spark.read.parquet(*[f"{self._seg(k)}/is_current=false" for k in segs])
+        return closed.withColumn(CURRENT_COL, F.lit(False)).select(*cur.columns)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.version() if version is None else version
         if v == 0:
             return None
-        # partition values come back as text; restore the boolean (pruning still applies)
-        df = self.spark.read.parquet(f"{self.base}/v={v}")
-        return df.withColumn(CURRENT_COL, F.col(CURRENT_COL).cast("boolean"))
-
-    def read_current(self) -> DataFrame | None:
-        """Open rows only: partition pruning on `is_current` (S3)."""
-        df = self.read()
-        return None if df is None else df.where(F.col(CURRENT_COL))
-
-    def commit(self, dimension: DataFrame, batch_id: int | None = None) -> int:
-        v = self.version() + 1
-        rows = write_counted(dimension, f"{self.base}/v={v}", "overwrite", CURRENT_COL)
+        return self.read_closed(v).unionByName(self.read_current(v))
+
+    def _write(self, rows: DataFrame, v: int, base_seg: int, batch_id, max_day) -> int:
+        obs = Observation(f"dim_v{v}")
+        counted = rows.observe(obs, F.count_if(~F.col(CURRENT_COL)).alias("closed"),
+                               F.count_if(F.col(CURRENT_COL)).alias("current"))
+        # static overwrite: a leftover of an uncommitted attempt is replaced whole
+        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        try:
+            counted.write.mode("overwrite").partitionBy(CURRENT_COL).parquet(self._seg(v))
+        finally:
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        m = obs.get
         log = self.spark.createDataFrame(
-            [(v, batch_id, rows, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-            "version long, batch_id long, rows long, committed_at timestamp_ntz",
-        )
+            [(v, batch_id, base_seg, int(m.get("closed", 0)), int(m.get("current", 0)), max_day,
+              _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))], self.LOG_SCHEMA)
         log.coalesce(1).write.mode("append").parquet(self.commits_path)
         return v
+
+    def commit(self, dimension: DataFrame, batch_id: int | None = None, max_day=None, state: dict | None = None) -> int:
+        """Write a whole dimension as the next version (a new base).
+
+        A new version is written to its own folder, never over the files it
+        is computed from.
+        """
+        v = (state or self.state())["version"] + 1
+        return self._write(dimension, v, v, batch_id, max_day)
+
+    def commit_delta(self, closed_delta: DataFrame, current: DataFrame, batch_id: int | None = None, max_day=None,
+                     state: dict | None = None) -> int:
+        """Next version from the rows a batch closed and the new open set."""
+        st = state or self.state()
+        v = st["version"] + 1
+        rows = closed_delta.select(*current.columns).unionByName(current)
+        if st["version"] == 0:
+            return self._write(rows, v, v, batch_id, max_day)
+        if v - st["base_seg"] >= self.compact_every:
+            return self._write(self.read_closed(st["version"]).unionByName(rows), v, v, batch_id, max_day)
+        return self._write(rows, v, st["base_seg"], batch_id, max_day)

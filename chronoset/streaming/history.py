@@ -37,58 +37,63 @@ class HistoryStream:
         self.key, self.tracked, self.attrs, self.order, self.mode, self.day = key, tracked, attrs, order_cols, mode, day
         self.store = writers.DimensionStore(spark, f"{self.base}/dimension")
         self.snap_path = f"{self.base}/snapshots"
-        self.batches_path = f"{self.base}/_batches"
 
-    def _stored_max_day(self):
-        """Latest day already folded into the snapshots (from the batch log)."""
-        if not writers.path_exists(self.spark, self.batches_path):
-            return None
-        return self.spark.read.parquet(self.batches_path).agg(F.max("max_day")).first()[0]
-
-    def _seen(self, batch_id: int) -> bool:
-        if not writers.path_exists(self.spark, self.batches_path):
-            return False
-        return self.spark.read.parquet(self.batches_path).where(F.col("batch_id") == batch_id).limit(1).count() > 0
+    def seen(self, batch_id: int) -> bool:
+        """The batch id is in the dimension's commit log (replay guard)."""
+        return self.store.state(batch_id)["seen"]
 
     def _reduce(self, rows: DataFrame) -> DataFrame:
-        packed = latest_per_day(rows, self.key, self.day, self.order, self.order + self.attrs, day_name=self.day)
-        return packed
+        return latest_per_day(rows, self.key, self.day, self.order, self.order + self.attrs, day_name=self.day)
 
     def process(self, flat_batch: DataFrame, batch_id: int) -> None:
         """flat_batch: key, day, order columns, attributes."""
-        if self._seen(batch_id):
+        # one aggregate over the commit log: version, latest day, replay
+        st = self.store.state(batch_id)
+        if st["seen"]:
             return
         spark = self.spark
         checkpoint_root(spark)
-        batch = self._reduce(flat_batch).checkpoint(eager=True)
-        if batch.isEmpty():
-            return
+        # the reduced batch feeds several steps; its lineage is only the batch's
+        # own files, so a cache (recomputed if an executor is lost) is enough
+        batch = self._reduce(flat_batch).persist()
+        try:
+            self._fold(batch, batch_id, st)
+        finally:
+            batch.unpersist()
+
+    def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
+        spark = self.spark
         # the batch's days: a calendar-bounded list, used as a static partition filter
         days = sorted(r[0] for r in batch.select(self.day).distinct().collect())
-        stored_max = self._stored_max_day()
+        if not days:
+            return
         if writers.path_exists(spark, self.snap_path):
             existing = spark.read.parquet(self.snap_path).where(F.col(self.day).isin(days))
             merged = self._reduce(existing.unionByName(batch.select(*existing.columns)))
+            # materialise before replacing the partitions it was read from
+            merged = merged.checkpoint(eager=True)
         else:
             merged = batch
-        # materialise before replacing the partitions it was read from
-        merged = merged.checkpoint(eager=True)
         writers.replace_by_date(merged, self.snap_path, self.day)
-        snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
-        dim = self.store.read()
+        stored_max = st["max_day"]
+        new_max = max(d for d in (stored_max, days[-1]) if d is not None)
         flat = batch.select(self.key, self.day, *self.attrs)
-        if dim is None:
-            new_dim = scd2.build_history(snapshots, self.key, self.day, self.tracked, self.mode, self.attrs)
+        current = self.store.read_current(st["version"]) if st["version"] else None
+        if current is None:
+            snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
+            dim = scd2.build_history(snapshots, self.key, self.day, self.tracked, self.mode, self.attrs)
+            self.store.commit(dim, batch_id, new_max, st)
         elif stored_max is not None and days[0] > stored_max:
-            # in order: only open rows of the batch's keys can change
-            new_dim = scd2.extend_open(dim, flat, self.key, self.day, self.tracked, self.mode)
+            # in order: only open rows of the batch's keys can change; closed
+            # versions are neither read nor rewritten
+            closed, cur = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
+            self.store.commit_delta(closed, cur, batch_id, new_max, st)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
-            new_dim = scd2.apply_days(dim, snapshots, flat, self.key, self.day, self.tracked, self.mode)
-        self.store.commit(new_dim, batch_id)
-        new_max = max([d for d in (stored_max, days[-1]) if d is not None])
-        spark.createDataFrame([(batch_id, new_max)], "batch_id long, max_day date").write.mode("append").parquet(
-            self.batches_path)
+            snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
+            dim = scd2.apply_days(self.store.read(st["version"]), snapshots, flat, self.key, self.day, self.tracked,
+                                  self.mode)
+            self.store.commit(dim, batch_id, new_max, st)
 
 
 def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str, checkpoint: str,

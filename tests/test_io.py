@@ -178,6 +178,32 @@ def test_dimension_store_versions(spark, tmp_path):
     assert store.read(1).count() == 2
 
 
+def test_dimension_store_delta_commits_and_compaction(spark, tmp_path):
+    from chronoset.operators import scd2
+
+    rows = [(k, dt.date(2025, 1, d), t) for k in "abc" for d in range(1, 9) for t in ["A" if (d * ord(k)) % 3 else "B"]]
+    daily = spark.createDataFrame(rows, "k string, day date, tier string")
+    full = scd2.build(daily, "k", "day", ["tier"])
+    store = writers.DimensionStore(spark, str(tmp_path / "dim"), compact_every=3)
+    store.commit(scd2.build(daily.where("day <= '2025-01-02'"), "k", "day", ["tier"]), batch_id=0,
+                 max_day=dt.date(2025, 1, 2))
+    for d in range(3, 9):
+        st = store.state(batch_id=d)
+        assert not st["seen"]
+        closed, cur = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k", "day",
+                                             ["tier"])
+        store.commit_delta(closed, cur, batch_id=d, max_day=dt.date(2025, 1, d), state=st)
+    st = store.state(batch_id=8)
+    assert st["seen"] and st["version"] == 7 and st["max_day"] == dt.date(2025, 1, 8)
+    # versions 4 and 7 compacted: a reader opens at most `compact_every` segments
+    assert st["base_seg"] == 7
+    key = lambda r: (r["k"], r["effective_start_date"])
+    assert sorted(map(tuple, store.read().collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    assert sorted(store.read(5).collect(), key=key) == sorted(
+        scd2.build(daily.where("day <= '2025-01-06'"), "k", "day", ["tier"]).collect(), key=key)
+    assert store.read_current().count() == 3
+
+
 def test_ledger_pending(spark, tmp_path):
     led = Ledger(spark, str(tmp_path / "ledger"))
     manifest = spark.createDataFrame(
