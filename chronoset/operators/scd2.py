@@ -372,19 +372,19 @@ def apply_days(dimension: DataFrame, snapshots: DataFrame, batch: DataFrame, key
 
 def extend_open_parts(current_rows: DataFrame, batch: DataFrame, key: str, day: str, tracked: list[str],
                       mode: str = CHANGED_ONLY) -> tuple[DataFrame, DataFrame]:
-    """`extend_open` as (rows the batch closed, new open set).
+    """`extend_open` from the open rows alone: (rebuilt rows, untouched open rows).
 
-    Needs only the open rows of the dimension: closed versions are final and
-    are neither read nor rewritten, which is what lets a versioned store append
-    the closed part and replace only the open set.
+    The rebuilt rows are the touched keys' replayed histories, closed and open
+    together (one plan, computed once); the untouched rows are the open rows
+    of every other key. Closed versions are final, so they are neither read
+    nor rewritten: a versioned store appends the rebuilt closed rows and
+    replaces only the open set.
     """
     attrs = [c for c in current_rows.columns if c not in (key, START_COL, END_COL, CURRENT_COL)]
     keys = batch.select(key).distinct()
     seeds = current_rows.join(keys, key, "left_semi").select(key, F.col(START_COL).alias(day), *attrs)
     hist = build_history(seeds.unionByName(batch.select(key, day, *attrs)), key, day, tracked, mode, attrs)
-    hist = hist.select(*current_rows.columns)
-    untouched = current_rows.join(keys, key, "left_anti")
-    return hist.where(~F.col(CURRENT_COL)), untouched.unionByName(hist.where(F.col(CURRENT_COL)))
+    return hist.select(*current_rows.columns), current_rows.join(keys, key, "left_anti")
 
 
 def extend_open(dimension: DataFrame, batch: DataFrame, key: str, day: str, tracked: list[str],
@@ -398,8 +398,8 @@ def extend_open(dimension: DataFrame, batch: DataFrame, key: str, day: str, trac
     rows of other keys pass through; the split is a semi / anti join on the
     batch keys (broadcast when Spark measures the key set as small).
     """
-    closed_new, cur_new = extend_open_parts(dimension.where(F.col(CURRENT_COL)), batch, key, day, tracked, mode)
-    return dimension.where(~F.col(CURRENT_COL)).unionByName(closed_new).unionByName(cur_new)
+    rebuilt, untouched = extend_open_parts(dimension.where(F.col(CURRENT_COL)), batch, key, day, tracked, mode)
+    return dimension.where(~F.col(CURRENT_COL)).unionByName(untouched).unionByName(rebuilt)
 
 
 # ---------------------------------------------------------------------------

@@ -232,14 +232,18 @@ class DimensionStore:
         v = (state or self.state())["version"] + 1
         return self._write(dimension, v, v, batch_id, max_day)
 
-    def commit_delta(self, closed_delta: DataFrame, current: DataFrame, batch_id: int | None = None, max_day=None,
+    def commit_delta(self, rows: DataFrame, batch_id: int | None = None, max_day=None,
                      state: dict | None = None) -> int:
-        """Next version from the rows a batch closed and the new open set."""
+        """Next version from the rows a batch closed plus the whole new open set.
+
+        `rows` must not repeat closed rows of earlier versions (those stay in
+        their segments); its open rows replace the previous open set.
+        """
         st = state or self.state()
         v = st["version"] + 1
-        rows = closed_delta.select(*current.columns).unionByName(current)
         if st["version"] == 0:
             return self._write(rows, v, v, batch_id, max_day)
         if v - st["base_seg"] >= self.compact_every:
-            return self._write(self.read_closed(st["version"]).unionByName(rows), v, v, batch_id, max_day)
+            closed = self.read_closed(st["version"])
+            return self._write(closed.unionByName(rows.select(*closed.columns)), v, v, batch_id, max_day)
         return self._write(rows, v, st["base_seg"], batch_id, max_day)

@@ -86,8 +86,8 @@ class HistoryStream:
         elif stored_max is not None and days[0] > stored_max:
             # in order: only open rows of the batch's keys can change; closed
             # versions are neither read nor rewritten
-            closed, cur = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
-            self.store.commit_delta(closed, cur, batch_id, new_max, st)
+            rebuilt, untouched = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
+            self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
             snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)

@@ -190,9 +190,9 @@ def test_dimension_store_delta_commits_and_compaction(spark, tmp_path):
     for d in range(3, 9):
         st = store.state(batch_id=d)
         assert not st["seen"]
-        closed, cur = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k", "day",
-                                             ["tier"])
-        store.commit_delta(closed, cur, batch_id=d, max_day=dt.date(2025, 1, d), state=st)
+        rebuilt, untouched = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k",
+                                                    "day", ["tier"])
+        store.commit_delta(rebuilt.unionByName(untouched), batch_id=d, max_day=dt.date(2025, 1, d), state=st)
     st = store.state(batch_id=8)
     assert st["seen"] and st["version"] == 7 and st["max_day"] == dt.date(2025, 1, 8)
     # versions 4 and 7 compacted: a reader opens at most `compact_every` segments
