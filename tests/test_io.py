@@ -214,3 +214,14 @@ def test_ledger_pending(spark, tmp_path):
     assert [r["file_name"] for r in led.pending(manifest).collect()] == ["transactions_2025-01-02.json"]
     assert led.seen_batch(7) and not led.seen_batch(8)
     assert os.path.isdir(str(tmp_path / "ledger"))
+
+
+def test_conformance_digit_guard_equals_try_cast(spark):
+    from chronoset.operators.quality import converts
+
+    vals = [" 12 ", "+5", "-0", "1.5", "abc", "", "١٢", "NaN", "Infinity", "1e3", "2025-01-31", "2025-13-01",
+            "true", "12abc", None, "9223372036854775808", "0x1F", "  "]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    for t in ["tinyint", "int", "bigint", "decimal(10,2)", "double", "date", "timestamp", "boolean"]:
+        got = df.select(converts(F.col("t"), t).alias("g"), F.col("t").try_cast(t).alias("w")).collect()
+        assert [str(r["g"]) for r in got] == [str(r["w"]) for r in got], t
