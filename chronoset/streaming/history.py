@@ -6,13 +6,17 @@ day may arrive in several batches, so the batch function never trusts
 arrival order:
 
 1. reduce the batch to one row per (key, day), keeping the order columns;
-2. fold it into the kept *daily snapshot* table: for the days in the batch,
-   re-reduce (existing rows of those days) + (batch rows), then replace
-   exactly those days (idempotent);
-3. rebuild the history of the keys present in the batch from their full
-   snapshot history; other keys keep their stored versions;
-4. commit the result as a new immutable dimension version, then record the
-   batch id (a replayed batch id is skipped).
+2. append it to the kept *daily snapshot* table as its own folder
+   `batch_id=N` (a replay overwrites the same folder: idempotent). Nothing
+   is read back or rewritten; the latest row per (key, day) over all batches
+   is taken when the snapshots are read, which only the late path does;
+3. days after every stored day (the usual case): only the open rows of the
+   batch's keys can change, so they are replayed with the batch and the store
+   appends the rows that closed plus the new open set;
+   a late or re-delivered day: the history of the batch's keys is rebuilt
+   from their kept snapshots; other keys keep their versions;
+4. commit a new dimension version; its log row carries the batch id (a
+   replayed batch id is skipped) and the latest day folded in.
 
 The result equals a full batch `build` over all files, whatever order and
 grouping the files arrive in.
@@ -25,7 +29,6 @@ from pyspark.sql import functions as F
 
 from chronoset.operators import scd2
 from chronoset.operators.shape import latest_per_day
-from chronoset.session import checkpoint_root
 from chronoset.sinks import writers
 from chronoset.streaming.ingest import file_stream
 
@@ -51,8 +54,6 @@ class HistoryStream:
         st = self.store.state(batch_id)
         if st["seen"]:
             return
-        spark = self.spark
-        checkpoint_root(spark)
         # the reduced batch feeds several steps; its lineage is only the batch's
         # own files, so a cache (recomputed if an executor is lost) is enough
         batch = self._reduce(flat_batch).persist()
@@ -61,27 +62,23 @@ class HistoryStream:
         finally:
             batch.unpersist()
 
+    def snapshots(self) -> DataFrame:
+        """Kept daily snapshots: one row per (key, day), the latest delivered."""
+        raw = self.spark.read.parquet(self.snap_path).drop("batch_id")
+        return self._reduce(raw).select(self.key, self.day, *self.attrs)
+
     def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
-        spark = self.spark
-        # the batch's days: a calendar-bounded list, used as a static partition filter
+        # the batch's days: a calendar-bounded list
         days = sorted(r[0] for r in batch.select(self.day).distinct().collect())
         if not days:
             return
-        if writers.path_exists(spark, self.snap_path):
-            existing = spark.read.parquet(self.snap_path).where(F.col(self.day).isin(days))
-            merged = self._reduce(existing.unionByName(batch.select(*existing.columns)))
-            # materialise before replacing the partitions it was read from
-            merged = merged.checkpoint(eager=True)
-        else:
-            merged = batch
-        writers.replace_by_date(merged, self.snap_path, self.day)
+        writers.write_counted(batch, f"{self.snap_path}/batch_id={batch_id}", "overwrite")
         stored_max = st["max_day"]
         new_max = max(d for d in (stored_max, days[-1]) if d is not None)
         flat = batch.select(self.key, self.day, *self.attrs)
         current = self.store.read_current(st["version"]) if st["version"] else None
         if current is None:
-            snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
-            dim = scd2.build_history(snapshots, self.key, self.day, self.tracked, self.mode, self.attrs)
+            dim = scd2.build_history(self.snapshots(), self.key, self.day, self.tracked, self.mode, self.attrs)
             self.store.commit(dim, batch_id, new_max, st)
         elif stored_max is not None and days[0] > stored_max:
             # in order: only open rows of the batch's keys can change; closed
@@ -90,9 +87,8 @@ class HistoryStream:
             self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
-            snapshots = spark.read.parquet(self.snap_path).select(self.key, self.day, *self.attrs)
-            dim = scd2.apply_days(self.store.read(st["version"]), snapshots, flat, self.key, self.day, self.tracked,
-                                  self.mode)
+            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(), flat, self.key, self.day,
+                                  self.tracked, self.mode)
             self.store.commit(dim, batch_id, new_max, st)
 
 
