@@ -195,15 +195,20 @@ class DimensionStore:
         cur = self.read_current(v)
         segs = self._closed_segments(v)
         if not segs:
-            return cur.limit(0)
+            return None if cur is None else cur.limit(0)
         closed = self.spark.read.parquet(*[f"{self._seg(k)}/is_current=false" for k in segs])
-        return closed.withColumn(CURRENT_COL, F.lit(False)).select(*cur.columns)
+        closed = closed.withColumn(CURRENT_COL, F.lit(False))
+        return closed if cur is None else closed.select(*cur.columns)
 
     def read(self, version: int | None = None) -> DataFrame | None:
+        """Version `v` whole; None when nothing (or an empty dimension) is committed."""
         v = self.version() if version is None else version
         if v == 0:
             return None
-        return self.read_closed(v).unionByName(self.read_current(v))
+        closed, cur = self.read_closed(v), self.read_current(v)
+        if closed is None or cur is None:
+            return closed if cur is None else cur
+        return closed.unionByName(cur)
 
     def _write(self, rows: DataFrame, v: int, base_seg: int, batch_id, max_day) -> int:
         obs = Observation(f"dim_v{v}")
