@@ -44,14 +44,16 @@ def _dim(spark, sf_dir, tracked=None, mode=scd2.CHANGED_ONLY):
     return scd2.build_history(_daily(spark, sf_dir), E_KEY, E_DAY, tracked or E_TRACKED, mode, E_ATTRS)
 
 
-def _last_day(daily: DataFrame):
-    return daily.agg(F.max(E_DAY)).first()[0]
+def _last_day(spark, sf_dir):
+    """The feed's last day: a scan-only aggregate (the daily rows' days are the
+    events' dates, so the daily reduction is not needed to find it)."""
+    return feeds.events(spark, sf_dir).agg(F.max(F.to_date("ts"))).first()[0]
 
 
 def _prior_and_stage(spark, sf_dir, mode=scd2.CHANGED_ONLY):
     """Dimension built from every day before the feed's last day, and that day staged."""
     daily = _daily(spark, sf_dir)
-    last = _last_day(daily)
+    last = _last_day(spark, sf_dir)
     prior = scd2.build_history(daily.where(F.col(E_DAY) < F.lit(last)), E_KEY, E_DAY, E_TRACKED, mode, E_ATTRS)
     stage = scd2.staged_from_daily(daily.where(F.col(E_DAY) == F.lit(last)), E_DAY)
     return prior, stage
