@@ -1,11 +1,13 @@
 """Reproducible sampling.
 
 Random order is replaced by the md5 of a seed and the row's key, so a sample
-is repeatable and the same in any engine. Top-n by that order is a
-`TakeOrderedAndProject` while n is small; beyond `local_limit` rows an exact
+is repeatable and the same in any engine. Top-n by that order runs as
+`TakeOrderedAndProject` only when what meets in its single final task is
+small: each input partition sends its own top n there, so n times the number
+of partitions rows are streamed through one task. Otherwise an exact
 distributed form is used (range partitioning + per-partition ranks +
-broadcast of one offset per partition), so a large n never lands in a
-single task.
+broadcast of one offset per partition), so a large n on a large input never
+lands in a single task.
 """
 
 from __future__ import annotations
@@ -15,15 +17,22 @@ from pyspark.sql import functions as F
 
 from chronoset.functions.scalar import hash_order
 
-LOCAL_LIMIT = 100_000
+# n up to this keeps n x (any partition count) modest for the final task.
+SMALL_N = 100
+# A table of at most this many rows may meet in one task whatever n is.
+SINGLE_TASK_ROWS = 2_000_000
 
 
-def top_n(df: DataFrame, order: list[Column], n: int, local_limit: int = LOCAL_LIMIT,
-          partitions: int | None = None) -> DataFrame:
-    """The first `n` rows by `order` (a total order), exactly."""
+def top_n(df: DataFrame, order: list[Column], n: int, total: int | None = None, small_n: int = SMALL_N,
+          single_task_rows: int = SINGLE_TASK_ROWS, partitions: int | None = None) -> DataFrame:
+    """The first `n` rows by `order` (a total order), exactly.
+
+    `total` is the row count when the caller knows it (it bounds what the
+    single-task form can gather).
+    """
     if n <= 0:
         return df.limit(0)
-    if n <= local_limit:
+    if n <= small_n or (total is not None and total <= single_task_rows):
         return df.orderBy(*order).limit(n)
     from chronoset.session import checkpoint_root
 
@@ -37,8 +46,9 @@ def top_n(df: DataFrame, order: list[Column], n: int, local_limit: int = LOCAL_L
     offsets = counts.select(
         "__pid", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                             F.lit(0)).alias("__off"))
-    # one row per partition: a size bound known in advance
-    ranked = ranged.join(F.broadcast(offsets), "__pid").withColumn(
+    # one row per partition: a size bound known in advance. Partitions that
+    # start at or after rank n hold no winner and are dropped before ranking.
+    ranked = ranged.join(F.broadcast(offsets.where(F.col("__off") < n)), "__pid").withColumn(
         "__rank", F.row_number().over(Window.partitionBy("__pid").orderBy(*okeys)) + F.col("__off"))
     return ranked.where(F.col("__rank") <= n).drop("__pid", "__off", "__rank", *[f"__o{i}" for i in range(len(order))])
 
@@ -48,14 +58,14 @@ def sample_count(total: int, fraction: float) -> int:
     return int(round(fraction * total))
 
 
-def sample_rows(df: DataFrame, key_cols: list[str], fraction: float, seed: str,
-                local_limit: int = LOCAL_LIMIT) -> DataFrame:
+def sample_rows(df: DataFrame, key_cols: list[str], fraction: float, seed: str) -> DataFrame:
     """A fraction of the rows, hash-ordered by seed and key.
 
     One count reaches the driver to size the sample.
     """
-    n = sample_count(df.count(), fraction)
-    return top_n(df, [hash_order(seed, *key_cols), *[F.col(k) for k in key_cols]], n, local_limit)
+    total = df.count()
+    return top_n(df, [hash_order(seed, *key_cols), *[F.col(k) for k in key_cols]], sample_count(total, fraction),
+                 total)
 
 
 def sample_k(df: DataFrame, key_cols: list[str], k: int, seed: str) -> DataFrame:

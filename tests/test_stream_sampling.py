@@ -5,6 +5,8 @@ import json
 import os
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from chronoset.operators import sampling, scd2
@@ -82,7 +84,7 @@ def test_distributed_top_n_equals_local(spark):
     df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
     order = [F.md5(F.concat(F.lit("s"), F.col("k").cast("string"))), F.col("k")]
     local = sorted(r["k"] for r in sampling.top_n(df, order, 333).collect())
-    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, local_limit=10, partitions=7).collect())
+    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, small_n=10, partitions=7).collect())
     assert local == dist and len(dist) == 333
 
 
@@ -135,3 +137,12 @@ def test_run_stream_and_run_batch_agree(spark, tmp_path):
     total = sum(len(v) for v in rows_by_day.values())
     assert spark.read.parquet(str(tmp_path / "s" / "fact")).count() == total
     assert spark.read.parquet(str(tmp_path / "b" / "fact")).count() == total
+
+
+@pytest.mark.parametrize("n", [1, 286, 1999, 2000, 2500])
+def test_distributed_top_n_exact_at_partition_edges(spark, n):
+    df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
+    order = [F.md5(F.concat(F.lit("t"), F.col("k").cast("string"))), F.col("k")]
+    want = sorted(r["k"] for r in df.orderBy(*order).limit(n).collect())
+    got = sorted(r["k"] for r in sampling.top_n(df, order, n, small_n=0, partitions=7).collect())
+    assert got == want
