@@ -103,17 +103,24 @@ def replace_by_date(df: DataFrame, path: str, date_col: str, dates: list | None
 def write_daily_json(df: DataFrame, path: str, date_col: str = "file_date", mode: str = "overwrite") -> int:
     """JSON-lines output with one folder per date (K8).
 
-    Each task writes one file per date it holds. When the input has fewer
-    partitions than the cluster's shuffle width (a small feed spanning many
-    dates), dates are first spread over that many tasks; a large input is
-    written as it is partitioned, so a hot date is never funnelled into one
-    task.
+    The rows are rebalanced on the date over the shuffle width (`REBALANCE`
+    hint): rows of one date go to one task, so a date is normally one file,
+    and AQE splits a hot date (one holding a large share of the rows) over
+    several tasks at run time instead of funnelling it into one. Coalescing
+    is off for this write: merging many small dates into one task would make
+    that task write every date's file in turn. No job runs to decide any of
+    this.
     """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if df.rdd.getNumPartitions() < width:
-        df = df.repartition(width, date_col)
-    return write_counted(df, path, mode, date_col, "json",
-                         {"timestampNTZFormat": TS_NTZ_FORMAT, "ignoreNullFields": "false"})
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return write_counted(df.hint("rebalance", width, date_col), path, mode, date_col, "json",
+                             {"timestampNTZFormat": TS_NTZ_FORMAT, "ignoreNullFields": "false"})
+    finally:
+        spark.conf.set(key, prev)
 
 
 class DimensionStore:
