@@ -83,15 +83,20 @@ def run_batch(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: s
     paths = [r[0] for r in pending.select("file_name").collect()]
     if not paths:
         return {"status": "nothing_pending", "files": 0}
-    raw = json_scan.read_json(spark, paths, cfg.schema, with_file=False, corrupt=False)
-    ok, results = quality.gate(raw.select(cfg.id_col, F.col(f"{cfg.struct_name}.{cfg.key}").alias(cfg.key)),
-                               cfg.rules(), on_fail)
-    if not ok:
-        return {"status": "failed_checks", "files": len(paths), "checks": [r.asDict() for r in results]}
-    rows = writers.replace_by_date(cfg.facts(raw), lay.fact, "fact_date")
-    hist = HistoryStream(spark, lay.history, cfg.key, cfg.tracked, cfg.attrs, [cfg.ts_col, cfg.id_col],
-                         cfg.mode, cfg.day)
-    hist.process(cfg.flat_profiles(raw), batch_id)
+    # the pending files are parsed once: the gate, the fact load and the history
+    # read the cached rows (recomputed from the same files if an executor is lost)
+    raw = json_scan.read_json(spark, paths, cfg.schema, with_file=False, corrupt=False).persist()
+    try:
+        ok, results = quality.gate(raw.select(cfg.id_col, F.col(f"{cfg.struct_name}.{cfg.key}").alias(cfg.key)),
+                                   cfg.rules(), on_fail)
+        if not ok:
+            return {"status": "failed_checks", "files": len(paths), "checks": [r.asDict() for r in results]}
+        rows = writers.replace_by_date(cfg.facts(raw), lay.fact, "fact_date")
+        hist = HistoryStream(spark, lay.history, cfg.key, cfg.tracked, cfg.attrs, [cfg.ts_col, cfg.id_col],
+                             cfg.mode, cfg.day)
+        hist.process(cfg.flat_profiles(raw), batch_id)
+    finally:
+        raw.unpersist()
     ledger.record(pending.select("file_name", "file_date", F.lit(None).cast("long").alias("rows")), batch_id)
     return {"status": "done", "files": len(paths), "fact_rows": rows, "dimension_version": hist.store.version()}
 
