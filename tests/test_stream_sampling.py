@@ -71,6 +71,22 @@ def test_stream_history_equals_batch_out_of_order(spark, tmp_path):
     assert _rows(store.read()) == _rows(_batch_build(spark, rows_by_day))
 
 
+def test_stream_history_in_order_uses_delta_commits(spark, tmp_path):
+    rows_by_day = _fixture(5)
+    days = sorted(rows_by_day)
+    src = str(tmp_path / "src")
+    _write_day_files(src, rows_by_day, days)
+    store = history.run_history_stream(spark, src, E_NESTED_SCHEMA, str(tmp_path / "dim"),
+                                       str(tmp_path / "ckpt"), max_files_per_trigger=2)
+    st = store.state()
+    # days arrive in order: after the first build every version is a delta on the same base
+    assert st["version"] == len(days) // 2 and st["base_seg"] == 1 and st["max_day"] == dt.date(2025, 1, 8)
+    assert _rows(store.read()) == _rows(_batch_build(spark, rows_by_day))
+    # every intermediate version is the build of the days folded so far
+    part = {d: rows_by_day[d] for d in days[:4]}
+    assert _rows(store.read(2)) == _rows(_batch_build(spark, part))
+
+
 def test_stream_restart_does_not_reprocess(spark, tmp_path):
     rows_by_day = _fixture(4)
     src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
