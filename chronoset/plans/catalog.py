@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoset.functions.scalar import (
-    file_name_for, format_timestamp, parse_date, parse_raw_timestamp, raw_timestamp_text)
+    amount_class, file_name_for, format_timestamp, parse_date, parse_raw_timestamp, raw_timestamp_text)
 from chronoset.operators import lookup, quality, sampling, scd2
 from chronoset.operators.shape import customer_snapshot, txn_flatten
 from chronoset.plans import feeds
@@ -417,13 +417,28 @@ def q_column_conformance(spark, sf_dir):
         "event_id": "bigint", "value": "double", "event_type": "bigint", "props": "double", "user_id": "int"})
 
 
+def _planted_amount() -> Column:
+    """Amount text from `customer.c_acctbal` with planted faults: missing, 'nan'."""
+    return (F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("string"))
+            .when(F.col("c_mktsegment") == "MACHINERY", F.lit("nan"))
+            .otherwise(F.format_string("%.2f", F.col("c_acctbal"))))
+
+
 @register("amount_classes")
 def q_amount_classes(spark, sf_dir):
     c = feeds.table(spark, sf_dir, "customer")
-    amount = (F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("string"))
-              .when(F.col("c_mktsegment") == "MACHINERY", F.lit("nan"))
-              .otherwise(F.format_string("%.2f", F.col("c_acctbal"))))
-    return quality.amount_classes(c.select(amount.alias("amount")), "amount")
+    return quality.amount_classes(c.select(_planted_amount().alias("amount")), "amount")
+
+
+@register("quarantine_split")
+def q_quarantine_split(spark, sf_dir):
+    """Rows whose amount is missing, not a number, zero or negative go to
+    quarantine with the fault as reason; the rest are good (§2.17)."""
+    c = feeds.table(spark, sf_dir, "customer")
+    facts = c.select("c_custkey", _planted_amount().alias("amount")).withColumn("reason", amount_class("amount"))
+    good, bad = quality.quarantine_split(facts, F.col("reason") != "positive")
+    return (good.select("c_custkey", "amount", F.lit("good").alias("side"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("c_custkey", "amount", F.lit("quarantine").alias("side"), "reason")))
 
 
 # --- streaming -------------------------------------------------------------------

@@ -225,6 +225,16 @@ SELECT CASE WHEN amount IS NULL THEN 'null' WHEN num IS NULL THEN 'not_numeric'
             WHEN num < 0 THEN 'negative' ELSE 'positive' END AS amount_class,
   count(*) AS n_rows, CAST(CAST(sum(num) AS DECIMAL(38,2)) AS DOUBLE) AS total
 FROM b GROUP BY 1""",
+    "quarantine_split": """WITH a AS (SELECT c_custkey,
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL
+       WHEN c_mktsegment = 'MACHINERY' THEN 'nan'
+       ELSE printf('%.2f', c_acctbal) END AS amount FROM customer),
+b AS (SELECT c_custkey, amount, TRY_CAST(amount AS DECIMAL(18,2)) AS num FROM a),
+c AS (SELECT c_custkey, amount,
+  CASE WHEN amount IS NULL THEN 'null' WHEN num IS NULL THEN 'not_numeric' WHEN num = 0 THEN 'zero'
+       WHEN num < 0 THEN 'negative' ELSE 'positive' END AS cls FROM b)
+SELECT c_custkey, amount, CASE WHEN cls = 'positive' THEN 'good' ELSE 'quarantine' END AS side,
+  CASE WHEN cls = 'positive' THEN NULL ELSE cls END AS reason FROM c""",
     # --- streaming -----------------------------------------------------------
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_scd2": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
