@@ -62,9 +62,16 @@ class HistoryStream:
         finally:
             batch.unpersist()
 
-    def snapshots(self) -> DataFrame:
-        """Kept daily snapshots: one row per (key, day), the latest delivered."""
+    def snapshots(self, keys: DataFrame | None = None) -> DataFrame:
+        """Kept daily snapshots: one row per (key, day), the latest delivered.
+
+        With `keys`, only those keys' rows are read into the reduction (semi
+        join first), so a late batch aggregates its own keys' history, not the
+        whole table.
+        """
         raw = self.spark.read.parquet(self.snap_path).drop("batch_id")
+        if keys is not None:
+            raw = raw.join(keys, self.key, "left_semi")
         return self._reduce(raw).select(self.key, self.day, *self.attrs)
 
     def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
@@ -87,7 +94,8 @@ class HistoryStream:
             self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
-            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(), flat, self.key, self.day,
+            keys = flat.select(self.key).distinct()
+            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(keys), flat, self.key, self.day,
                                   self.tracked, self.mode)
             self.store.commit(dim, batch_id, new_max, st)
 
