@@ -24,7 +24,7 @@ grouping the files arrive in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronoset.operators import scd2
@@ -75,19 +75,22 @@ class HistoryStream:
         return self._reduce(raw).select(self.key, self.day, *self.attrs)
 
     def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
-        # the batch's days: a calendar-bounded list
-        days = sorted(r[0] for r in batch.select(self.day).distinct().collect())
-        if not days:
+        # the batch's first and last day ride along with the snapshot append
+        obs = Observation(f"history_batch_{batch_id}")
+        (batch.observe(obs, F.count(F.lit(1)).alias("n"), F.min(self.day).alias("lo"), F.max(self.day).alias("hi"))
+         .write.mode("overwrite").parquet(f"{self.snap_path}/batch_id={batch_id}"))
+        m = obs.get
+        if not m.get("n"):
             return
-        writers.write_counted(batch, f"{self.snap_path}/batch_id={batch_id}", "overwrite")
+        first_day, last_day = m["lo"], m["hi"]
         stored_max = st["max_day"]
-        new_max = max(d for d in (stored_max, days[-1]) if d is not None)
+        new_max = max(d for d in (stored_max, last_day) if d is not None)
         flat = batch.select(self.key, self.day, *self.attrs)
         current = self.store.read_current(st["version"]) if st["version"] else None
         if current is None:
             dim = scd2.build_history(self.snapshots(), self.key, self.day, self.tracked, self.mode, self.attrs)
             self.store.commit(dim, batch_id, new_max, st)
-        elif stored_max is not None and days[0] > stored_max:
+        elif stored_max is not None and first_day > stored_max:
             # in order: only open rows of the batch's keys can change; closed
             # versions are neither read nor rewritten
             rebuilt, untouched = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
