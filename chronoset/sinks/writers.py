@@ -257,5 +257,6 @@ class DimensionStore:
             return self._write(rows, v, v, batch_id, max_day)
         if v - st["base_seg"] >= self.compact_every:
             closed = self.read_closed(st["version"])
-            return self._write(closed.unionByName(rows.select(*closed.columns)), v, v, batch_id, max_day)
+            full = rows if closed is None else closed.unionByName(rows.select(*closed.columns))
+            return self._write(full, v, v, batch_id, max_day)
         return self._write(rows, v, st["base_seg"], batch_id, max_day)
