@@ -294,3 +294,17 @@ def test_changed_only_build_and_fold_equal_replay(spark, seed):
     expected = _replay_changed_only(rows)
     assert rows_of(build(spark, rows)) == expected
     assert rows_of(fold(spark, rows)) == expected
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_closed_rows_equal_number_of_changes(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(k, d, rnd.choice(["A", "B", None]), rnd.choice(["X", "Y"]), "n")
+            for k in "abcdefg" for d in D if rnd.random() < 0.8]
+    changes = 0
+    for k in {r[0] for r in rows}:
+        seq = [(r[2], r[3]) for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[1])]
+        changes += sum(1 for a, b in zip(seq, seq[1:]) if a != b)
+    out = build(spark, rows)
+    assert out.where("NOT is_current").count() == changes
+    assert out.where("is_current").count() == len({r[0] for r in rows})
