@@ -67,8 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only when nothing is configured, as in tests, a folder is made
-    and registered.
+    context). Only when nothing is configured and the master is local, as in
+    tests, a folder is made and registered; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -76,6 +76,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors and lost with the driver
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="chronoset-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
