@@ -181,11 +181,22 @@ class DimensionStore:
         return self.state()["version"]
 
     def _closed_segments(self, v: int) -> list[int]:
-        """Segments of version v that hold closed rows (at most `compact_every`)."""
-        log = self._log()
-        base = log.where(F.col("version") == v).select("base_seg").first()[0]
-        rows = log.where((F.col("version") >= base) & (F.col("version") <= v) & (F.col("closed_rows") > 0))
-        return sorted(r[0] for r in rows.select("version").distinct().collect())
+        """Segments of version v that hold closed rows.
+
+        A delta commit happens only while fewer than `compact_every` versions
+        followed the base, so the base lies in that window: one read of at most
+        `compact_every + 1` log rows answers both questions.
+        """
+        def rows(lo: int) -> list:
+            return (self._log().where((F.col("version") <= v) & (F.col("version") >= lo))
+                    .select("version", "base_seg", "closed_rows").collect())
+
+        window = rows(v - self.compact_every)
+        base = next(r["base_seg"] for r in window if r["version"] == v)
+        if base < v - self.compact_every:
+            # written with a longer compaction interval than this reader's
+            window = rows(base)
+        return sorted({r["version"] for r in window if r["version"] >= base and r["closed_rows"] > 0})
 
     def read_current(self, version: int | None = None) -> DataFrame | None:
         """Open rows only (S3): one folder; no closed row is read."""

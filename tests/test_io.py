@@ -225,3 +225,19 @@ def test_conformance_digit_guard_equals_try_cast(spark):
     for t in ["tinyint", "int", "bigint", "decimal(10,2)", "double", "date", "timestamp", "boolean"]:
         got = df.select(converts(F.col("t"), t).alias("g"), F.col("t").try_cast(t).alias("w")).collect()
         assert [str(r["g"]) for r in got] == [str(r["w"]) for r in got], t
+
+
+def test_dimension_store_read_with_shorter_compaction_interval(spark, tmp_path):
+    from chronoset.operators import scd2
+
+    daily = spark.createDataFrame([("a", dt.date(2025, 1, d), "AB"[d % 2]) for d in range(1, 7)],
+                                  "k string, day date, tier string")
+    path = str(tmp_path / "dim")
+    store = writers.DimensionStore(spark, path, compact_every=100)
+    store.commit(scd2.build(daily.where("day <= '2025-01-01'"), "k", "day", ["tier"]))
+    for d in range(2, 7):
+        rebuilt, untouched = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k",
+                                                    "day", ["tier"])
+        store.commit_delta(rebuilt.unionByName(untouched))
+    reader = writers.DimensionStore(spark, path, compact_every=2)
+    assert reader.read().count() == scd2.build(daily, "k", "day", ["tier"]).count() == 6
