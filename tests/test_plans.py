@@ -57,3 +57,26 @@ def test_current_rows_read_one_folder(spark, q):
 def test_quality_suite_is_one_aggregate(spark, q):
     plan = _plan(q["dq_checks"](spark, SF001))
     assert plan.count("HashAggregate") <= 2 and len(_exchanges(plan)) <= 1
+
+
+def test_daily_json_hint_rebalances_on_the_date(spark):
+    # the hint `writers.write_daily_json` puts on its input
+    from pyspark.sql import functions as F
+
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 5).cast("int"))
+    df = spark.range(0, 50).withColumn("file_date", day)
+    plan = df.hint("rebalance", 8, "file_date")._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_distributed_top_n_broadcasts_only_partition_offsets(spark):
+    from pyspark.sql import functions as F
+
+    from chronoset.operators import sampling
+
+    df = spark.range(0, 500).withColumn("k", F.col("id") * 3 % 501)
+    out = sampling.top_n(df, [F.md5(F.col("k").cast("string")), F.col("k")], 200, small_n=0, partitions=5)
+    plan = _plan(out)
+    assert plan.count("BroadcastExchange") == 1
+    # the broadcast side is the per-partition offsets (partition id + offset), not the rows
+    assert re.search(r"BroadcastExchange .*\n(.*\n)*?.*__off", plan)
