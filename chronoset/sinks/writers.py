@@ -35,6 +35,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below `path` (metadata only)."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_path(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
@@ -148,7 +156,7 @@ class DimensionStore:
     """
 
     LOG_SCHEMA = ("version long, batch_id long, base_seg long, closed_rows long, current_rows long, "
-                  "max_day date, committed_at timestamp_ntz")
+                  "max_day date, committed_at timestamp_ntz, snap_base long")
 
     def __init__(self, spark: SparkSession, base: str, compact_every: int = 64):
         self.spark, self.base, self.compact_every = spark, base.rstrip("/"), compact_every
@@ -170,12 +178,13 @@ class DimensionStore:
         whether `batch_id` already committed: one aggregate over the log."""
         log = self._log()
         if log is None:
-            return {"version": 0, "base_seg": 0, "max_day": None, "seen": False}
+            return {"version": 0, "base_seg": 0, "max_day": None, "seen": False, "snap_base": None}
         seen = (F.max(F.coalesce(F.col("batch_id") == F.lit(batch_id), F.lit(False))) if batch_id is not None
                 else F.lit(False))
         r = log.agg(F.max("version").alias("v"), F.max_by("base_seg", "version").alias("b"),
-                    F.max("max_day").alias("d"), seen.alias("s")).first()
-        return {"version": int(r["v"] or 0), "base_seg": int(r["b"] or 0), "max_day": r["d"], "seen": bool(r["s"])}
+                    F.max("max_day").alias("d"), seen.alias("s"), F.max("snap_base").alias("sb")).first()
+        return {"version": int(r["v"] or 0), "base_seg": int(r["b"] or 0), "max_day": r["d"], "seen": bool(r["s"]),
+                "snap_base": None if r["sb"] is None else int(r["sb"])}
 
     def version(self) -> int:
         return self.state()["version"]
@@ -228,7 +237,7 @@ class DimensionStore:
             return closed if cur is None else cur
         return closed.unionByName(cur)
 
-    def _write(self, rows: DataFrame, v: int, base_seg: int, batch_id, max_day) -> int:
+    def _write(self, rows: DataFrame, v: int, base_seg: int, batch_id, max_day, snap_base=None) -> int:
         obs = Observation(f"dim_v{v}")
         counted = rows.observe(obs, F.count_if(~F.col(CURRENT_COL)).alias("closed"),
                                F.count_if(F.col(CURRENT_COL)).alias("current"))
@@ -242,21 +251,23 @@ class DimensionStore:
         m = obs.get
         log = self.spark.createDataFrame(
             [(v, batch_id, base_seg, int(m.get("closed", 0)), int(m.get("current", 0)), max_day,
-              _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))], self.LOG_SCHEMA)
+              _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), snap_base)], self.LOG_SCHEMA)
         log.coalesce(1).write.mode("append").parquet(self.commits_path)
         return v
 
-    def commit(self, dimension: DataFrame, batch_id: int | None = None, max_day=None, state: dict | None = None) -> int:
+    def commit(self, dimension: DataFrame, batch_id: int | None = None, max_day=None, state: dict | None = None,
+               snap_base: int | None = None) -> int:
         """Write a whole dimension as the next version (a new base).
 
         A new version is written to its own folder, never over the files it
-        is computed from.
+        is computed from. `snap_base` records a compaction of the caller's
+        snapshot table in the same log row (see `HistoryStream`).
         """
         v = (state or self.state())["version"] + 1
-        return self._write(dimension, v, v, batch_id, max_day)
+        return self._write(dimension, v, v, batch_id, max_day, snap_base)
 
     def commit_delta(self, rows: DataFrame, batch_id: int | None = None, max_day=None,
-                     state: dict | None = None) -> int:
+                     state: dict | None = None, snap_base: int | None = None) -> int:
         """Next version from the rows a batch closed plus the whole new open set.
 
         `rows` must not repeat closed rows of earlier versions (those stay in
@@ -265,9 +276,9 @@ class DimensionStore:
         st = state or self.state()
         v = st["version"] + 1
         if st["version"] == 0:
-            return self._write(rows, v, v, batch_id, max_day)
+            return self._write(rows, v, v, batch_id, max_day, snap_base)
         if v - st["base_seg"] >= self.compact_every:
             closed = self.read_closed(st["version"])
             full = rows if closed is None else closed.unionByName(rows.select(*closed.columns))
-            return self._write(full, v, v, batch_id, max_day)
-        return self._write(rows, v, st["base_seg"], batch_id, max_day)
+            return self._write(full, v, v, batch_id, max_day, snap_base)
+        return self._write(rows, v, st["base_seg"], batch_id, max_day, snap_base)

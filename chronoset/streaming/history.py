@@ -24,6 +24,8 @@ grouping the files arrive in.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +36,25 @@ from chronoset.streaming.ingest import file_stream
 
 
 class HistoryStream:
+    """Per-batch history with a kept daily snapshot table.
+
+    Snapshots are appended per batch (`snapshots/batch_id=N`). Every
+    `compact_snapshots_every` batch ids they are reduced into one base folder
+    (`snapshots_base/upto=N`, one row per key and day), recorded in the same
+    dimension commit log row as that batch, and the superseded folders are
+    removed after the commit; readers take the recorded base plus the batch
+    folders after it, so the number of folders stays bounded.
+    """
+
     def __init__(self, spark: SparkSession, base: str, key: str, tracked: list[str], attrs: list[str],
-                 order_cols: list[str], mode: str = scd2.CHANGED_ONLY, day: str = "day"):
+                 order_cols: list[str], mode: str = scd2.CHANGED_ONLY, day: str = "day",
+                 compact_snapshots_every: int = 100):
         self.spark, self.base = spark, base.rstrip("/")
         self.key, self.tracked, self.attrs, self.order, self.mode, self.day = key, tracked, attrs, order_cols, mode, day
         self.store = writers.DimensionStore(spark, f"{self.base}/dimension")
         self.snap_path = f"{self.base}/snapshots"
+        self.snap_base_path = f"{self.base}/snapshots_base"
+        self.compact_snapshots_every = compact_snapshots_every
 
     def seen(self, batch_id: int) -> bool:
         """The batch id is in the dimension's commit log (replay guard)."""
@@ -62,18 +77,50 @@ class HistoryStream:
         finally:
             batch.unpersist()
 
-    def snapshots(self, keys: DataFrame | None = None) -> DataFrame:
+    def _snapshot_rows(self, snap_base: int | None) -> DataFrame:
+        """Kept snapshot rows (with their order columns): the compacted base
+        plus the batch folders after it. The folder names come from a
+        metadata listing, bounded by the compaction interval."""
+        ids = sorted(int(n.split("=", 1)[1]) for n in writers.list_dirs(self.spark, self.snap_path)
+                     if n.startswith("batch_id="))
+        newer = [f"{self.snap_path}/batch_id={i}" for i in ids if snap_base is None or i > snap_base]
+        parts = []
+        if snap_base is not None:
+            parts.append(self.spark.read.parquet(f"{self.snap_base_path}/upto={snap_base}"))
+        if newer:
+            parts.append(self.spark.read.parquet(*newer))
+        if not parts:
+            raise FileNotFoundError(f"no kept snapshots under {self.base}")
+        cols = parts[0].columns
+        return reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
+
+    def snapshots(self, keys: DataFrame | None = None, snap_base: int | None = None) -> DataFrame:
         """Kept daily snapshots: one row per (key, day), the latest delivered.
 
         With `keys`, only those keys' rows are read into the reduction (semi
         join first), so a late batch aggregates its own keys' history, not the
         whole table.
         """
-        raw = self.spark.read.parquet(self.snap_path).drop("batch_id")
+        raw = self._snapshot_rows(snap_base)
         if keys is not None:
             raw = raw.join(keys, self.key, "left_semi")
         return self._reduce(raw).select(self.key, self.day, *self.attrs)
 
+    def _compact_snapshots(self, batch_id: int, snap_base: int | None) -> int:
+        """Reduce every kept snapshot row up to `batch_id` into one base folder."""
+        writers.write_counted(self._reduce(self._snapshot_rows(snap_base)), f"{self.snap_base_path}/upto={batch_id}",
+                              "overwrite")
+        return batch_id
+
+    def _drop_superseded(self, snap_base: int) -> None:
+        """After the commit that records `snap_base`: remove what it replaced."""
+        for name in writers.list_dirs(self.spark, self.snap_path):
+            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= snap_base:
+                writers.delete_path(self.spark, f"{self.snap_path}/{name}")
+        for name in writers.list_dirs(self.spark, self.snap_base_path):
+            if name.startswith("upto=") and int(name.split("=", 1)[1]) < snap_base:
+                writers.delete_path(self.spark, f"{self.snap_base_path}/{name}")
+
     def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
         # the batch's first and last day ride along with the snapshot append
         obs = Observation(f"history_batch_{batch_id}")
@@ -85,28 +132,35 @@ class HistoryStream:
         first_day, last_day = m["lo"], m["hi"]
         stored_max = st["max_day"]
         new_max = max(d for d in (stored_max, last_day) if d is not None)
+        snap_base = st["snap_base"]
+        compacted = None
+        if batch_id - (snap_base if snap_base is not None else -1) >= self.compact_snapshots_every:
+            compacted = snap_base = self._compact_snapshots(batch_id, snap_base)
         flat = batch.select(self.key, self.day, *self.attrs)
         current = self.store.read_current(st["version"]) if st["version"] else None
         if current is None:
-            dim = scd2.build_history(self.snapshots(), self.key, self.day, self.tracked, self.mode, self.attrs)
-            self.store.commit(dim, batch_id, new_max, st)
+            dim = scd2.build_history(self.snapshots(snap_base=snap_base), self.key, self.day, self.tracked, self.mode,
+                                     self.attrs)
+            self.store.commit(dim, batch_id, new_max, st, compacted)
         elif stored_max is not None and first_day > stored_max:
             # in order: only open rows of the batch's keys can change; closed
             # versions are neither read nor rewritten
             rebuilt, untouched = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
-            self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st)
+            self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st, compacted)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
             keys = flat.select(self.key).distinct()
-            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(keys), flat, self.key, self.day,
-                                  self.tracked, self.mode)
-            self.store.commit(dim, batch_id, new_max, st)
+            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(keys, snap_base), flat, self.key,
+                                  self.day, self.tracked, self.mode)
+            self.store.commit(dim, batch_id, new_max, st, compacted)
+        if compacted is not None:
+            self._drop_superseded(compacted)
 
 
 def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str, checkpoint: str,
                        key: str = "user_id", tracked: list[str] | None = None, attrs: list[str] | None = None,
                        order_cols: list[str] | None = None, max_files_per_trigger: int | None = None,
-                       timeout_s: int = 900) -> writers.DimensionStore:
+                       timeout_s: int = 900, compact_snapshots_every: int = 100) -> writers.DimensionStore:
     """Drain the nested event files under `source_dir` into a versioned history.
 
     The flattening below matches the nested events layout
@@ -115,7 +169,7 @@ def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str,
     tracked = tracked or ["event_type"]
     attrs = attrs or ["event_type", "props"]
     order_cols = order_cols or ["ts", "event_id"]
-    hs = HistoryStream(spark, base, key, tracked, attrs, order_cols)
+    hs = HistoryStream(spark, base, key, tracked, attrs, order_cols, compact_snapshots_every=compact_snapshots_every)
     stream = file_stream(spark, source_dir, schema, "json", max_files_per_trigger)
     flat = stream.select(
         F.col(f"profile.{key}").alias(key),

@@ -87,6 +87,23 @@ def test_stream_history_in_order_uses_delta_commits(spark, tmp_path):
     assert _rows(store.read(2)) == _rows(_batch_build(spark, part))
 
 
+@pytest.mark.parametrize("order", ["in_order", "odd_even"])
+def test_stream_history_with_snapshot_compaction(spark, tmp_path, order):
+    rows_by_day = _fixture(6)
+    days = sorted(rows_by_day)
+    arrival = days if order == "in_order" else days[1::2] + days[0::2]
+    src = str(tmp_path / "src")
+    _write_day_files(src, rows_by_day, arrival)
+    store = history.run_history_stream(spark, src, E_NESTED_SCHEMA, str(tmp_path / "dim"), str(tmp_path / "ckpt"),
+                                       max_files_per_trigger=1, compact_snapshots_every=3)
+    assert _rows(store.read()) == _rows(_batch_build(spark, rows_by_day))
+    st = store.state()
+    assert st["snap_base"] == 5  # batches 2 and 5 compacted
+    left = sorted(os.listdir(tmp_path / "dim" / "snapshots"))
+    assert [n for n in left if n.startswith("batch_id=")] == ["batch_id=6", "batch_id=7"]
+    assert [n for n in os.listdir(tmp_path / "dim" / "snapshots_base") if n.startswith("upto=")] == ["upto=5"]
+
+
 def test_stream_restart_does_not_reprocess(spark, tmp_path):
     rows_by_day = _fixture(4)
     src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
