@@ -241,3 +241,29 @@ def test_dimension_store_read_with_shorter_compaction_interval(spark, tmp_path):
         store.commit_delta(rebuilt.unionByName(untouched))
     reader = writers.DimensionStore(spark, path, compact_every=2)
     assert reader.read().count() == scd2.build(daily, "k", "day", ["tier"]).count() == 6
+
+
+def test_checkpoint_root_requires_a_shared_folder_on_a_cluster():
+    import pytest as _pytest
+
+    from chronoset.session import checkpoint_root
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return _Conf()
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with _pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(_Session())
