@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, mixing, sharding
+from chronoset.llm import exact_dedup, mixing, quality, sentencepieces, sharding
 from chronoset.llm.common import documents
 
 
@@ -18,6 +18,22 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir).select("doc_id", "text"), keep_columns=False)
+
+
+def piece_model() -> str:
+    """The merge-type vocabulary; the folder is that of the public tokenizers on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return sentencepieces.digests(sentencepieces.encoded(docs, piece_model(), keep_text=False))
+
+
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
@@ -30,6 +46,8 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_sentencepieces": op7_sentencepieces,
     "op8_kd_sharding": op8_kd_sharding,
 }
 
