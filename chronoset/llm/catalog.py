@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, mixing, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, mixing, quality, sentencepieces, sharding
 from chronoset.llm.common import documents
 
 
@@ -43,12 +43,18 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    return language_id.identified(docs.drop("lang"), language_id.fitted(docs), keep_text=False)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_sentencepieces": op7_sentencepieces,
     "op8_kd_sharding": op8_kd_sharding,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
