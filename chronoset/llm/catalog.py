@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, mixing, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, minhash, mixing, quality, sentencepieces, sharding
 from chronoset.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir).select("doc_id", "text"), keep_columns=False)
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir))
+
+
 def piece_model() -> str:
     """The merge-type vocabulary; the folder is that of the public tokenizers on every machine."""
     import public_tokenizers
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_sentencepieces": op7_sentencepieces,
     "op8_kd_sharding": op8_kd_sharding,
     "op10_language_id": op10_language_id,
