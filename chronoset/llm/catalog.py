@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoset.llm import exact_dedup, language_id, minhash, mixing, quality, sentencepieces, sharding
-from chronoset.llm.common import documents
+from chronoset.llm.common import documents, staged
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    # three passes follow: words are counted once
+    docs = staged(documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-sizes")
     return mixing.planned(docs).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
