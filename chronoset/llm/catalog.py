@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, minhash, mixing, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, line_dedup, minhash, mixing, quality, sentencepieces, sharding
 from chronoset.llm.common import documents, staged
 
 
@@ -19,6 +19,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.line_deduped(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.col("removed")
+    return cut.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), F.concat_ws(",", removed.cast("array<string>")).alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents(spark, sf_dir).select("doc_id", "text"), keep_columns=False)
 
@@ -56,6 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_sentencepieces": op7_sentencepieces,
