@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, line_dedup, minhash, mixing, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
 from chronoset.llm.common import documents, staged
 
 
@@ -54,6 +54,12 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return put.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.detected(documents(spark, sf_dir))
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE]
+    return rows.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return language_id.identified(docs.drop("lang"), language_id.fitted(docs), keep_text=False)
@@ -67,6 +73,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_sentencepieces": op7_sentencepieces,
     "op8_kd_sharding": op8_kd_sharding,
+    "op9_personal_data": op9_personal_data,
     "op10_language_id": op10_language_id,
 }
 
