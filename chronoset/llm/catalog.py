@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
 from chronoset.llm.common import documents, staged
 
 
@@ -19,6 +19,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scanned(documents(spark, sf_dir))
+    sure = F.filter("hits", lambda x: x["family"] != licenses.UNKNOWN)
+    listed = F.array_join(F.transform("sure", lambda x: F.concat_ws(":", x["line"].cast("string"), x["family"])), ",")
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform("sure", lambda x: x["family"]))), ",")
+    return rows.withColumn("sure", sure).select("doc_id", "n_paragraphs", "n_candidates", F.size("sure").cast("long").alias("n_licenses"), families.alias("families"), listed.alias("lines"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.line_deduped(documents(spark, sf_dir).select("doc_id", "text"))
     removed = F.col("removed")
@@ -68,6 +76,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
