@@ -113,8 +113,8 @@ def _found(keyed: DataFrame, text_col: str) -> DataFrame:
 
 def _first_bytes(keyed: DataFrame, firsts: DataFrame, text_col: str) -> DataFrame:
     """k1, k2 and the bytes of first occurrences (k1, k2, d, t, s, e)."""
-    wanted = firsts.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e", "k1", "k2")).alias("spans"))
-    owners = keyed.select("__d", "__t", text_col).join(wanted, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")))
+    wanted = firsts.select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.struct("s", "e", "k1", "k2").alias("span")).groupBy("__d", "__t").agg(F.collect_list("span").alias("__spans"))
+    owners = keyed.select("__d", "__t", text_col).join(wanted, ["__d", "__t"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -129,7 +129,7 @@ def _first_bytes(keyed: DataFrame, firsts: DataFrame, text_col: str) -> DataFram
                         data.append(b"\n".join(lines[x["s"] : x["e"]]))
                 yield pa.RecordBatch.from_arrays([pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(data, pa.binary())], names=["k1", "k2", "data"])
 
-    rows = owners.select(text_col, "spans").mapInArrow(run, "k1 long, k2 long, data binary")
+    rows = owners.select(text_col, "__spans").mapInArrow(run, "k1 long, k2 long, data binary")
     # repeated rows of one document give the same bytes again
     return rows.groupBy("k1", "k2").agg(F.min("data").alias("data"))
 
@@ -147,8 +147,8 @@ def line_deduped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated = staged(spans.join(again, ["k1", "k2"]).where(place != F.col("first")), "repeated-chunks")
     firsts = repeated.select("k1", "k2", "first.*").distinct()
     data = staged(_first_bytes(keyed, firsts, text_col), "first-chunks")
-    cuts = repeated.join(data, ["k1", "k2"]).groupBy("d", "t").agg(F.collect_set(F.struct("s", "e", "data")).alias("spans"))
-    rows = keyed.join(cuts, (F.col("__d") == F.col("d")) & (F.col("__t") == F.col("t")), "left").select(*docs.columns, "spans")
+    cuts = repeated.join(data, ["k1", "k2"]).select(F.col("d").alias("__d"), F.col("t").alias("__t"), F.struct("s", "e", "data").alias("span")).groupBy("__d", "__t").agg(F.collect_set("span").alias("__spans"))
+    rows = keyed.join(cuts, ["__d", "__t"], "left").select(*docs.columns, "__spans")
     schema = StructType([*docs.schema.fields, *RESULTS])
     arrow = to_arrow_schema(schema)
     text_at, width = docs.columns.index(text_col), len(docs.columns)

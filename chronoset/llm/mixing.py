@@ -64,10 +64,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
     )
 
 
-def planned(docs: DataFrame, size: Column | str = "size", source_col: str = "source", tie: list[str] | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """All columns of `docs` and source_size, target, copies. `tie` orders rows of equal size."""
-    tie = tie or ["doc_id"]
-    size = F.col(size) if isinstance(size, str) else size
+def _drawn(docs: DataFrame, size: Column, source_col: str, tie: list[str], weights, share: float, most: int, seed: str) -> DataFrame:
+    """All columns of `docs` and __source_size, __target, __copies."""
     rows = (
         docs.withColumn("__size", F.coalesce(size.cast("long"), F.lit(0)))
         .withColumn("__source", key_text(source_col))
@@ -77,15 +75,24 @@ def planned(docs: DataFrame, size: Column | str = "size", source_col: str = "sou
     sizes = rows.groupBy("__source").agg(F.first(source_col).alias("source"), F.sum("__size").alias("source_size"))
     plan = targets(sizes.select("source", "source_size"), weights, share, most).withColumn("__source", key_text("source"))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.col("__source"))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    plan = plan.select("__source", F.col("source_size"), "target", offset.alias("__u"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("__each"))
+    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    plan = plan.select("__source", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), offset.alias("__u"), each.alias("__each"))
     order = [F.col("__size").desc(), *[F.col(c).asc_nulls_last() for c in tie]]
     out = ranked(rows, ["__source"], ["__band", "__salt"], order, "__rank")
     upto = lambda r: F.floor(r * F.col("__each") + F.col("__u"))
-    out = out.join(plan, "__source").withColumn("copies", F.least(upto(F.col("__rank")) - upto(F.col("__rank") - 1), F.lit(most)).cast("int"))
-    return out.select(*docs.columns, "source_size", "target", "copies")
+    copies = F.least(upto(F.col("__rank")) - upto(F.col("__rank") - 1), F.lit(most)).cast("int")
+    return out.join(plan, "__source").select(*docs.columns, "__source_size", "__target", copies.alias("__copies"))
+
+
+def planned(docs: DataFrame, size: Column | str = "size", source_col: str = "source", tie: list[str] | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """All columns of `docs` and source_size, target, copies, which replace columns so named. `tie` orders rows of equal size."""
+    size = F.col(size) if isinstance(size, str) else size
+    docs = docs.drop("source_size", "target", "copies")
+    out = _drawn(docs, size, source_col, tie or ["doc_id"], weights, share, most, seed)
+    return out.withColumnsRenamed({"__source_size": "source_size", "__target": "target", "__copies": "copies"})
 
 
-def mixed(docs: DataFrame, text_col: str = "text", **kw) -> DataFrame:
+def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", tie: list[str] | None = None, weights=WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of `docs` as often as it was drawn, columns as before."""
-    plan = planned(docs.withColumn("__words", word_count(F.col(text_col))), "__words", **kw)
-    return plan.withColumn("__copy", F.explode(F.expr("case when copies > 0 then sequence(1, copies) else array() end"))).select(*docs.columns)
+    plan = _drawn(docs, word_count(F.col(text_col)), source_col, tie or ["doc_id"], weights, share, most, seed)
+    return plan.withColumn("__copy", F.explode(F.expr("case when __copies > 0 then sequence(1, __copies) else array() end"))).select(*docs.columns)

@@ -115,8 +115,7 @@ def compression(data: bytes, compress) -> tuple[float | None, float, str | None]
 
 def judged(docs: DataFrame, text_col: str = "text", keep_columns: bool = True) -> DataFrame:
     """All columns of `docs` (or all but the text), the base measures and the verdict."""
-    new = {f.name for f in MEASURES}
-    kept = docs.select(*[c for c in docs.columns if c not in new])
+    kept = docs.drop(*[f.name for f in MEASURES])
     out = [f for f in kept.schema.fields if keep_columns or f.name != text_col]
     schema = StructType([*out, *MEASURES])
     arrow = to_arrow_schema(schema)

@@ -42,13 +42,14 @@ def dimensions(df: DataFrame, names: list[str]) -> list[Column]:
     out = []
     for n in names:
         c = F.col(n)
-        out.append((prefix_number(c) if kinds[n] == "string" else F.log2(F.greatest(c.cast("double"), F.lit(0.0)) + 1) if n == "size" else c.cast("double")).alias(f"d{len(out)}"))
+        out.append((prefix_number(c) if kinds[n] == "string" else F.log2(F.greatest(c.cast("double"), F.lit(0.0)) + 1) if n == "size" else c.cast("double")).alias(f"__d{len(out)}"))
     return out
 
 
 def kd_assigned(rows: DataFrame, dims: list[str], size_col: str = "size", shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
-    """All columns of `rows` and `shard`. `dims` are columns of `rows`, widest first where tied."""
-    ds = [f"d{i}" for i in range(len(dims))]
+    """All columns of `rows` and `shard`, which replaces a column so named. `dims` are columns of `rows`; the first wins a tie."""
+    rows = rows.drop("shard")
+    ds = [f"__d{i}" for i in range(len(dims))]
     coords = rows.select("*", *dimensions(rows, dims), F.col(size_col).alias("__w"), F.pmod(F.xxhash64(*[key_text(c) for c in rows.columns]), F.lit(SLICES)).cast("int").alias("__h"))
     coords = staged(coords, "kd-rows")
     ends = coords.agg(F.sum("__w").alias("bytes"), *[F.min(d).alias(f"{d}_lo") for d in ds], *[F.max(d).alias(f"{d}_hi") for d in ds]).first()
@@ -124,5 +125,5 @@ def _cuts(tree: DataFrame, ds: list[str], node: list[str]) -> DataFrame:
 
 def with_slots(rows: DataFrame, order: list[str]) -> DataFrame:
     """Add slot, gapless from 0 within each shard."""
-    salted = rows.withColumn("__salt", salt_of(*order))
+    salted = rows.drop("slot").withColumn("__salt", salt_of(*order))
     return ranked(salted, ["shard"], ["__salt"], [F.col(c).asc_nulls_last() for c in order], "__r").withColumn("slot", (F.col("__r") - 1).cast("long")).drop("__r", "__salt")
