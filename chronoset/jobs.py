@@ -1,30 +1,45 @@
-"""End-to-end runs: the daily batch (O1) and the incremental stream (O2).
-
-run_batch: manifest -> pending files (anti join on the ledger) -> one scan of
-all pending files with a declared schema -> quality gate (one aggregate
-pass) -> fact table replaced by date -> daily snapshots folded into the kept
-snapshot table -> touched keys' history rebuilt -> new dimension version ->
-ledger rows. The ledger is written last: a failed batch leaves its files
-pending, and a repeat is harmless because every step is idempotent.
-
-run_stream: the same per micro-batch, driven by the file source of
-Structured Streaming (`availableNow`), with the stream checkpoint as the
-pending state.
+"""End-to-end runs: the daily batch (O1), the incremental stream (O2), catch-up (O3).
+
+All share one batch of steps, made safe to repeat:
+
+1. the batch's files are fixed: by an intent table, written before anything
+   else (batch), or by the stream's checkpoint;
+2. the rows are parsed once and staged with the reason, if any, why a row
+   cannot be used (broken line, missing id, key or timestamp);
+3. the quality gate reads two staged columns and raises, skips, or, with
+   `on_fail="quarantine"`, judges the good rows only;
+4. facts go to the batch's own folder, bad rows to the quarantine, profiles
+   into the history (which skips a batch it has committed);
+5. the ledger gets a row per file. It is the commit: facts count once their
+   file's row is there, and of a file delivered again only the last delivery;
+6. the files are archived, the staged rows and the intent removed.
+
+A crash before step 5 leaves the intent, and the next run replays exactly its
+files under the same batch number; every step before overwrites what it wrote.
+A batch is known by run and number. Runs are "batch" or the id of a streaming
+query, so batches and streams, old checkpoints and new, never meet.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoset import schemas
+from chronoset.functions.scalar import amount_decimal, file_date, parse_raw_timestamp
 from chronoset.operators import quality, scd2
 from chronoset.sinks import writers
-from chronoset.sinks.ledger import Ledger
-from chronoset.sources import json_scan
+from chronoset.sinks.ledger import Ledger, next_number
+from chronoset.sources import files, json_scan
 from chronoset.streaming.history import HistoryStream
-from chronoset.streaming.ingest import file_stream
+from chronoset.streaming.ingest import drained, file_stream, query_id
+
+BATCH_RUN = "batch"
+REASON = "_reason"
 
 
 @dataclass
@@ -41,22 +56,55 @@ class FeedConfig:
     fact_cols: list[str] = field(default_factory=list)
     mode: str = scd2.CHANGED_ONLY
     day: str = "day"
+    fact_day: str = "fact_date"
+    parse: Callable[[DataFrame], DataFrame] | None = None   # raw columns to typed ones
+    file_date_share: float | None = None                    # least share of rows dated as their file
+    buckets: int = 8                                        # of the dimension
+
+    def checked(self, raw: DataFrame) -> DataFrame:
+        """Typed rows with the reason why a row cannot be used, NULL for good rows."""
+        rows = self.parse(raw) if self.parse else raw
+        reason = F.when(F.col(json_scan.CORRUPT).isNotNull(), "broken line")
+        reason = reason.when(F.col(self.id_col).isNull(), "missing id")
+        reason = reason.when(F.col(f"{self.struct_name}.{self.key}").isNull(), "missing key")
+        reason = reason.when(F.col(self.ts_col).isNull(), "missing or malformed timestamp")
+        return rows.withColumn(REASON, reason)
 
-    def flat_profiles(self, raw: DataFrame) -> DataFrame:
-        return raw.select(
+    def flat_profiles(self, rows: DataFrame) -> DataFrame:
+        return rows.select(
             F.col(f"{self.struct_name}.{self.key}").alias(self.key),
             F.to_date(self.ts_col).alias(self.day),
             F.col(self.ts_col), F.col(self.id_col),
             *[F.col(f"{self.struct_name}.{a}").alias(a) for a in self.attrs],
         )
 
-    def facts(self, raw: DataFrame) -> DataFrame:
-        cols = self.fact_cols or [c for c in raw.columns if c != self.struct_name and not c.startswith("_")]
-        return raw.select(*cols, F.col(f"{self.struct_name}.{self.key}").alias(self.key),
-                          F.to_date(self.ts_col).alias("fact_date"))
+    def facts(self, rows: DataFrame) -> DataFrame:
+        cols = self.fact_cols or [c for c in rows.columns if c not in (self.struct_name, "file_name", "file_date") and not c.startswith("_")]
+        return rows.select(*cols, F.col(f"{self.struct_name}.{self.key}").alias(self.key),
+                           F.to_date(self.ts_col).alias(self.fact_day), "file_name")
+
+    def gate_view(self, rows: DataFrame) -> DataFrame:
+        return rows.select(F.col(self.id_col), F.col(f"{self.struct_name}.{self.key}").alias(self.key),
+                           F.to_date(self.ts_col).alias("__row_date"), F.col("file_date").alias("__file_date"))
 
     def rules(self) -> list[quality.Rule]:
-        return quality.default_rules(self.id_col, self.key)
+        rules = quality.default_rules(self.id_col, self.key)
+        if self.file_date_share is not None:
+            rules.append(quality.dated_as_file("__row_date", "__file_date", self.file_date_share))
+        return rules
+
+
+def transaction_feed(**changes) -> FeedConfig:
+    """The raw transaction files: text timestamps and amounts, customer profile embedded."""
+    def typed(raw: DataFrame) -> DataFrame:
+        return raw.withColumn("amount_num", amount_decimal(F.col("amount"))).withColumn(
+            "transaction_timestamp", parse_raw_timestamp("transaction_timestamp"))
+
+    cols = [c for c in schemas.FACT_COLUMNS if c not in ("transaction_date", schemas.CUSTOMER_KEY)]
+    given = dict(schema=schemas.RAW_TRANSACTION_SCHEMA, key=schemas.CUSTOMER_KEY, struct_name="customer_info",
+                 ts_col="transaction_timestamp", id_col="transaction_id", attrs=schemas.PROFILE_FIELDS[1:],
+                 tracked=schemas.TRACKED_ATTRIBUTES, fact_cols=[*cols, "amount_num"], fact_day="transaction_date", parse=typed)
+    return FeedConfig(**{**given, **changes})
 
 
 class Layout:
@@ -65,71 +113,173 @@ class Layout:
     def __init__(self, base: str):
         base = base.rstrip("/")
         self.fact, self.history, self.ledger = f"{base}/fact", f"{base}/history", f"{base}/_ledger"
+        self.intents, self.stage, self.quarantine = f"{base}/_intents", f"{base}/_stage", f"{base}/quarantine"
+
+
+def _history(spark: SparkSession, lay: Layout, cfg: FeedConfig) -> HistoryStream:
+    return HistoryStream(spark, lay.history, cfg.key, cfg.tracked, cfg.attrs, [cfg.ts_col, cfg.id_col], cfg.mode, cfg.day,
+                         buckets=cfg.buckets)
+
+
+def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame, listed: DataFrame | None, run: str,
+             number: int, on_fail: str, label: int | None = None) -> dict:
+    """Steps 2 to 5 for rows with file_name and file_date. `listed` names the batch's files, else those that have rows."""
+    name = f"{run}~{number}"
+    stage = f"{lay.stage}/{name}"
+    cfg.checked(raw).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
+    rows = spark.read.parquet(stage)
+    good = rows.where(F.col(REASON).isNull())
+    lenient = on_fail == "quarantine"
+    ok, results = quality.gate(cfg.gate_view(good if lenient else rows), cfg.rules(), "raise" if on_fail == "raise" else "skip")
+    if not ok and not lenient:
+        return {"status": "failed_checks", "checks": [r.asDict() for r in results]}
+    bad = rows.where(F.col(REASON).isNotNull())
+    kept = F.coalesce(F.col(json_scan.CORRUPT), F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("_")])))
+    bad_rows = writers.write_counted(bad.select("file_name", "file_date", F.col(REASON).alias("reason"), kept.alias("line")),
+                                     f"{lay.quarantine}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
+    facts = cfg.facts(good).hint("rebalance", cfg.fact_day)
+    fact_rows = writers.write_counted(facts, f"{lay.fact}/token={name}", "overwrite", cfg.fact_day,
+                                      options={"partitionOverwriteMode": "static"})
+    hist = _history(spark, lay, cfg)
+    hist.process(cfg.flat_profiles(good), number, run)
+    per_file = good.groupBy("file_name", "file_date").agg(F.count(F.lit(1)).alias("rows"))
+    if listed is not None:
+        per_file = listed.select("file_name", "file_date").join(per_file.drop("file_date"), "file_name", "left")
+    else:
+        per_file = rows.select("file_name", "file_date").distinct().join(per_file.drop("file_date"), "file_name", "left")
+    Ledger(spark, lay.ledger).record(per_file, number if label is None else label, token=name)
+    writers.delete_path(spark, stage)
+    return {"status": "done", "fact_rows": fact_rows, "quarantined": bad_rows, "dimension_version": hist.store.version()}
+
+
+def _read_listed(spark: SparkSession, cfg: FeedConfig, root, listed: DataFrame) -> DataFrame:
+    """Rows of the listed files.
+
+    The root is read with a filter on the dates in the file names, which Spark
+    applies to the listing, and joined to the list, so no path list is built.
+    """
+    raw = json_scan.read_json(spark, root, json_scan.as_struct(cfg.schema), with_file=True)
+    raw = raw.drop("file_name", "file_date").withColumnRenamed("file_path", "file_name")
+    span = listed.agg(F.min("file_date").alias("lo"), F.max("file_date").alias("hi"), F.count_if(F.col("file_date").isNull()).alias("n")).first()
+    if not span["n"]:
+        raw = raw.where(file_date(F.col("_metadata.file_name")).between(F.lit(span["lo"]), F.lit(span["hi"])))
+    return raw.join(listed.select("file_name", "file_date"), "file_name")
+
+
+def _root_of(manifest: DataFrame) -> list[str]:
+    """Folders of the feed: the listed paths up to their dated folders; one for each feed, not for each day."""
+    folder = F.regexp_replace(F.col("file_name"), r"(/[^/=]+=[^/]+)*/[^/]+$", "")
+    return [r[0] for r in manifest.select(folder.alias("f")).distinct().collect()]
 
 
 def run_batch(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: str, batch_id: int,
-              on_fail: str = "raise") -> dict:
+              on_fail: str = "raise", archive_dir: str | None = None) -> dict:
     """Process every manifest file not yet in the ledger as one batch.
 
-    `manifest` has `path` and `file_date`; the ledger is keyed by path. Only
-    the pending paths (file metadata) and the one-row check result reach the
-    driver.
+    `manifest` has `path` (as `files.list_files` gives it) and `file_date`.
+    `batch_id` is a label, in any order: a label in the ledger is not run
+    again. A batch that an earlier run left open is finished first. No row
+    and no path list reaches the driver; an archive moves file by file.
     """
     lay = Layout(base)
     ledger = Ledger(spark, lay.ledger)
+    listing = manifest.select(F.col("path").alias("file_name"), "file_date")
+    for name in sorted(writers.list_dirs(spark, lay.intents)):
+        if writers.path_exists(spark, f"{lay.intents}/{name}/_SUCCESS"):
+            number = int(name.split("=", 1)[1])
+            left = spark.read.parquet(f"{lay.intents}/{name}")
+            _finish(spark, lay, cfg, left, number, on_fail, archive_dir)
     if ledger.seen_batch(batch_id):
         return {"status": "already_done", "files": 0}
-    pending = ledger.pending(manifest.withColumnRenamed("path", "file_name"), "file_name")
-    paths = [r[0] for r in pending.select("file_name").collect()]
-    if not paths:
+    pending = ledger.pending(listing, "file_name")
+    number = next_number(spark, lay.ledger, BATCH_RUN)
+    intent = f"{lay.intents}/number={number}"
+    n = writers.write_counted(pending.distinct().withColumn("label", F.lit(batch_id).cast("long")), intent, "overwrite",
+                              options={"partitionOverwriteMode": "static"})
+    if not n:
+        writers.delete_path(spark, intent)
         return {"status": "nothing_pending", "files": 0}
-    # the pending files are parsed once: the gate, the fact load and the history
-    # read the cached rows (recomputed from the same files if an executor is lost)
-    raw = json_scan.read_json(spark, paths, cfg.schema, with_file=False, corrupt=False).persist()
-    try:
-        ok, results = quality.gate(raw.select(cfg.id_col, F.col(f"{cfg.struct_name}.{cfg.key}").alias(cfg.key)),
-                                   cfg.rules(), on_fail)
-        if not ok:
-            return {"status": "failed_checks", "files": len(paths), "checks": [r.asDict() for r in results]}
-        rows = writers.replace_by_date(cfg.facts(raw), lay.fact, "fact_date")
-        hist = HistoryStream(spark, lay.history, cfg.key, cfg.tracked, cfg.attrs, [cfg.ts_col, cfg.id_col],
-                             cfg.mode, cfg.day)
-        hist.process(cfg.flat_profiles(raw), batch_id)
-    finally:
-        raw.unpersist()
-    ledger.record(pending.select("file_name", "file_date", F.lit(None).cast("long").alias("rows")), batch_id)
-    return {"status": "done", "files": len(paths), "fact_rows": rows, "dimension_version": hist.store.version()}
+    return _finish(spark, lay, cfg, spark.read.parquet(intent), number, on_fail, archive_dir) | {"files": n}
+
+
+def _finish(spark: SparkSession, lay: Layout, cfg: FeedConfig, listed: DataFrame, number: int, on_fail: str,
+            archive_dir: str | None) -> dict:
+    """Run the batch that an intent describes and close the intent."""
+    intent = f"{lay.intents}/number={number}"
+    label = listed.agg(F.max("label")).first()[0]
+    result = {"status": "done"}
+    # a crash between ledger and clean-up left an intent whose batch is done
+    if not Ledger(spark, lay.ledger).seen_token(f"{BATCH_RUN}~{number}"):
+        raw = _read_listed(spark, cfg, _root_of(listed), listed)
+        try:
+            result = _process(spark, lay, cfg, raw, listed, BATCH_RUN, number, on_fail, label)
+        except quality.CheckFailed:
+            # a refused batch stays pending as files, not as an open batch
+            writers.delete_path(spark, intent)
+            raise
+    if archive_dir and result["status"] == "done":
+        files.archive(spark, listed.select("file_name"), archive_dir)
+    writers.delete_path(spark, intent)
+    return result
 
 
 def read_dimension(spark: SparkSession, base: str) -> DataFrame | None:
     return writers.DimensionStore(spark, f"{Layout(base).history}/dimension").read()
 
 
+def read_facts(spark: SparkSession, base: str) -> DataFrame | None:
+    """Facts of committed batches; of a file delivered more than once, those of its last delivery."""
+    lay = Layout(base)
+    if not writers.list_dirs(spark, lay.fact):
+        return None
+    live = Ledger(spark, lay.ledger).live()
+    facts = spark.read.parquet(lay.fact)
+    return facts.join(live, ["token", "file_name"], "left_semi").drop("token")
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame | None:
+    """Rows that could not be used: file_name, file_date, reason, line."""
+    lay = Layout(base)
+    if not writers.list_dirs(spark, lay.quarantine):
+        return None
+    return spark.read.parquet(lay.quarantine).join(Ledger(spark, lay.ledger).live(), ["token", "file_name"], "left_semi").drop("token")
+
+
 def run_stream(spark: SparkSession, source_dir: str, cfg: FeedConfig, base: str, checkpoint: str,
-               max_files_per_trigger: int | None = None, timeout_s: int = 900) -> dict:
-    """Drain pending files with Structured Streaming; per micro-batch append
-    the facts and update the history (W1-W3). Both steps are idempotent per
-    batch id, so the at-least-once replay of `foreachBatch` is harmless."""
+               max_files_per_trigger: int | None = None, timeout_s: int | None = None, on_fail: str = "quarantine",
+               archive_dir: str | None = None) -> dict:
+    """Drain pending files with Structured Streaming; the same steps per micro-batch.
+
+    A micro-batch is known by the query's id and its number, so a replay is
+    harmless and a new checkpoint starts a new run: files it delivers again
+    replace their facts and change nothing in the history. With `on_fail`
+    "raise" a failing micro-batch stops the stream and is tried again by the
+    next run; "skip" leaves its rows out, and its files out of the ledger.
+    """
     lay = Layout(base)
-    hist = HistoryStream(spark, lay.history, cfg.key, cfg.tracked, cfg.attrs, [cfg.ts_col, cfg.id_col],
-                         cfg.mode, cfg.day)
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if hist.seen(batch_id):
-            return
-        # facts of a micro-batch land in their own (date, batch) partitions, so
-        # a replayed batch overwrites itself instead of appending twice
-        facts = cfg.facts(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        writers.replace_partitions(facts, lay.fact, ["fact_date", "batch_id"])
-        hist.process(cfg.flat_profiles(batch), batch_id)
-
-    stream = file_stream(spark, source_dir, cfg.schema, "json", max_files_per_trigger)
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not drain in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return {"status": "done", "dimension_version": hist.store.version()}
+
+    def per_batch(batch: DataFrame, number: int) -> None:
+        run = query_id(spark, checkpoint)
+        if not Ledger(spark, lay.ledger).seen_token(f"{run}~{number}"):
+            _process(spark, lay, cfg, batch, None, run, number, on_fail)
+
+    stream = file_stream(spark, source_dir, cfg.schema, "json", max_files_per_trigger, archive_dir, corrupt=True)
+    # a schema may hold a column of the folder names, such as file_date
+    stream = stream.withColumn("file_name", F.col("_metadata.file_path")).withColumn("file_date", file_date(F.col("_metadata.file_name")))
+    drained(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(), timeout_s)
+    return {"status": "done", "dimension_version": _history(spark, lay, cfg).store.version()}
+
+
+def catch_up(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: str, batch_id: int, first_day: _dt.date,
+             up_to: _dt.date, on_fail: str = "raise", archive_dir: str | None = None) -> tuple[dict, DataFrame]:
+    """Load what has arrived since the last processed day and report the days still without a file (O3).
+
+    Days are looked for from the day after the ledger's latest, or from
+    `first_day` while nothing was ever processed, up to `up_to`.
+    """
+    latest = Ledger(spark, Layout(base).ledger).latest_date().first()[0]
+    done = spark.createDataFrame([(latest,)], "latest_date date")
+    result = run_batch(spark, manifest, cfg, base, batch_id, on_fail, archive_dir)
+    return result, files.missing_dates(done, manifest, up_to, first_day=first_day)
+

@@ -39,6 +39,13 @@ def is_complete(column: str, name: str | None = None) -> Rule:
     return Rule(name or f"{column}_not_null", column, metric, lambda m: m >= 1.0)
 
 
+def dated_as_file(row_date: str, file_date: str, least: float = 1.0) -> Rule:
+    """Share of rows whose date is that of their file; rows of boundary hours may belong to the day before."""
+    same = F.count_if(F.col(row_date) == F.col(file_date)).cast("double")
+    metric = F.when(F.count(F.lit(1)) == 0, F.lit(1.0)).otherwise(same / F.count(F.lit(1)))
+    return Rule("dated_as_file", row_date, metric, lambda m: m >= least)
+
+
 def default_rules(id_col: str = "transaction_id", key_col: str = "customer_id") -> list[Rule]:
     """The loader's suite: non-empty, id complete, key complete."""
     return [has_size(), is_complete(id_col, f"{id_col}_not_null"), is_complete(key_col, f"{key_col}_not_null")]

@@ -38,7 +38,6 @@ OPEN_END = _dt.date(3000, 12, 31)
 OPEN_END_SQL = "3000-12-31"
 # Daily file name: the date is captured from an unanchored search.
 FILE_NAME_PATTERN = r"transactions_(\d{4}-\d{2}-\d{2})\.json"
-FILE_NAME_TEMPLATE = "transactions_{date}.json"
 # Raw timestamp text layout, e.g. 2025-01-01T13:45:10Z.
 RAW_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 RAW_TS_REGEX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
@@ -82,14 +81,6 @@ RAW_TRANSACTION_SCHEMA = T.StructType(
     ]
 )
 
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType(), True),
-        T.StructField("file_name", T.StringType(), True),
-        T.StructField("file_date", T.DateType(), True),
-    ]
-)
-
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("file_name", T.StringType(), True),
@@ -97,19 +88,11 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("batch_id", T.LongType(), True),
         T.StructField("rows", T.LongType(), True),
         T.StructField("status", T.StringType(), True),
+        T.StructField("token", T.StringType(), True),
+        T.StructField("number", T.LongType(), True),
     ]
 )
 
-CHECK_RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("rule", T.StringType(), True),
-        T.StructField("column", T.StringType(), True),
-        T.StructField("metric", T.DoubleType(), True),
-        T.StructField("status", T.StringType(), True),
-    ]
-)
-
-
 def with_corrupt_column(schema: T.StructType, name: str = "_corrupt") -> T.StructType:
     """Schema plus a text column that receives unparsable lines."""
     return T.StructType(list(schema.fields) + [T.StructField(name, T.StringType(), True)])

@@ -8,7 +8,6 @@ no checkpoint directory is configured at all, as in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,19 +87,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for a ``file:`` URI or plain path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path
-
-
-def ensure_dir(path: str) -> str:
-    p = local_path(path)
-    if p is not None:
-        os.makedirs(p, exist_ok=True)
-    return path

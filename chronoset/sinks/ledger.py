@@ -1,8 +1,9 @@
 """Processed-file ledger.
 
-Replaces the archive bucket of the original flow: a file is done when the
-ledger has a row for it. The row is appended only after every write of the
-batch succeeded, so a failed batch leaves its files pending.
+A file is done when the ledger has a row for it. The rows of a batch are
+appended in one write, after every other write of the batch succeeded, so a
+failed batch leaves its files pending. The row's token names the batch whose
+folder holds the file's facts; of several rows of a file the last one counts.
 """
 
 from __future__ import annotations
@@ -28,16 +29,34 @@ class Ledger:
         done = self.read().where(F.col("status") == "done").select(F.col("file_name").alias(name_col))
         return manifest.join(done, name_col, "left_anti")
 
-    def record(self, files: DataFrame, batch_id: int, status: str = "done") -> None:
+    def record(self, files: DataFrame, batch_id: int, status: str = "done", token: str = "") -> None:
         """Append ledger rows for `files` (file_name, file_date, rows)."""
+        last = self.read().agg(F.max("number")).first()[0]
         out = files.select(
             "file_name", F.col("file_date").cast("date"), F.lit(batch_id).cast("long").alias("batch_id"),
-            F.col("rows").cast("long"), F.lit(status).alias("status"))
+            F.col("rows").cast("long"), F.lit(status).alias("status"), F.lit(token).alias("token"),
+            F.lit((last or 0) + 1).cast("long").alias("number"))
         out.write.mode("append").parquet(self.path)
 
     def seen_batch(self, batch_id: int) -> bool:
-        """True when the batch already committed (at-least-once replay guard)."""
-        return self.read().where(F.col("batch_id") == batch_id).limit(1).count() > 0
+        """True when a batch of this label already committed."""
+        return not self.read().where(F.col("batch_id") == batch_id).isEmpty()
+
+    def seen_token(self, token: str) -> bool:
+        """True when this very batch already committed (at-least-once replay guard)."""
+        return not self.read().where(F.col("token") == token).isEmpty()
+
+    def live(self) -> DataFrame:
+        """file_name and token of the last committed delivery of each file."""
+        done = self.read().where(F.col("status") == "done")
+        return done.groupBy("file_name").agg(F.max_by("token", "number").alias("token"))
 
     def latest_date(self) -> DataFrame:
         return self.read().select(F.max("file_date").alias("latest_date"))
+
+
+def next_number(spark: SparkSession, path: str, run: str) -> int:
+    """A batch number of `run` that no committed batch has."""
+    number = F.substring_index("token", "~", -1).cast("long")
+    last = Ledger(spark, path).read().where(F.substring_index("token", "~", 1) == run).agg(F.max(number)).first()[0]
+    return (last or 0) + 1

@@ -27,7 +27,8 @@ def list_files(spark: SparkSession, directory: str, glob: str | None = None, rec
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(directory).drop("content")
+    # the path as JSON scans report it too, so that listings and rows can be joined
+    df = reader.load(directory).drop("content").withColumn("path", F.col("_metadata.file_path"))
     df = df.withColumn("file_name", base_name(F.col("path")))
     if prefix:
         df = df.where(F.col("file_name").startswith(prefix))
@@ -62,10 +63,37 @@ def date_spine(bounds: DataFrame, start: str = "start", end: str = "end", name:
 
 
 def missing_dates(latest: DataFrame, present: DataFrame, up_to, date_col: str = "file_date",
-                  latest_col: str = "latest_date") -> DataFrame:
+                  latest_col: str = "latest_date", first_day=None) -> DataFrame:
     """Days after the latest processed one, up to `up_to`, with no file (O3).
 
-    `up_to` is a date (injected; never the wall clock inside the plan).
+    `up_to` is a date (injected; never the wall clock inside the plan). While
+    nothing was ever processed (NULL latest) the days start at `first_day`;
+    without one that is an error, not an empty answer.
     """
-    bounds = latest.select(F.date_add(F.col(latest_col), 1).alias("start"), F.lit(up_to).cast("date").alias("end"))
+    start = F.date_add(F.col(latest_col), 1)
+    if first_day is not None:
+        start = F.coalesce(start, F.lit(first_day).cast("date"))
+    else:
+        start = F.coalesce(start, F.raise_error(F.lit("nothing was processed yet: give first_day")).cast("date"))
+    bounds = latest.select(start.alias("start"), F.lit(up_to).cast("date").alias("end"))
     return date_spine(bounds, name=date_col).join(present.select(date_col).distinct(), date_col, "left_anti")
+
+
+def archive(spark: SparkSession, listed: DataFrame, archive_dir: str) -> int:
+    """Move processed files below `archive_dir`, their dated folders kept (K7).
+
+    A move is an operation on names, done by the file system for one file
+    after the other; names are streamed to the driver, not gathered. A file
+    that is no longer there has been moved before.
+    """
+    from chronoset.sinks.writers import _hadoop_path
+
+    moved = 0
+    tail = F.regexp_extract("file_name", r"((?:/[^/=]+=[^/]+)*/[^/]+)$", 1)
+    for r in listed.select("file_name", tail.alias("tail")).toLocalIterator():
+        fs, source = _hadoop_path(spark, r["file_name"])
+        _, target = _hadoop_path(spark, archive_dir.rstrip("/") + r["tail"])
+        if fs.exists(source):
+            fs.mkdirs(target.getParent())
+            moved += bool(fs.rename(source, target))
+    return moved

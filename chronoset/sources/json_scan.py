@@ -18,13 +18,18 @@ from chronoset.schemas import RAW_TRANSACTION_SCHEMA, TS_NTZ_FORMAT, with_corrup
 CORRUPT = "_corrupt"
 
 
+def as_struct(schema) -> T.StructType:
+    """A declared schema as a struct type; DDL text is parsed."""
+    return T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+
+
 def read_json(spark: SparkSession, paths, schema: T.StructType = RAW_TRANSACTION_SCHEMA, multiline: bool = False,
               with_file: bool = True, corrupt: bool = True, options: dict | None = None) -> DataFrame:
     """Read one or many JSON-lines files (or a whole JSON array with
     `multiline=True`). Blank lines are skipped by the reader."""
     if isinstance(paths, str):
         paths = [paths]
-    sch = with_corrupt_column(schema, CORRUPT) if corrupt else schema
+    sch = with_corrupt_column(as_struct(schema), CORRUPT) if corrupt else schema
     reader = spark.read.schema(sch).option("mode", "PERMISSIVE").option("timestampNTZFormat", TS_NTZ_FORMAT)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)

@@ -3,20 +3,24 @@
 `foreachBatch` receives the rows of newly arrived files. The file source
 orders files by modification time, not by the date in their names, and one
 day may arrive in several batches, so the batch function never trusts
-arrival order:
+arrival order, nor the order of batch ids:
 
 1. reduce the batch to one row per (key, day), keeping the order columns;
-2. append it to the kept *daily snapshot* table as its own folder
-   `batch_id=N` (a replay overwrites the same folder: idempotent). Nothing
-   is read back or rewritten; the latest row per (key, day) over all batches
-   is taken when the snapshots are read, which only the late path does;
+2. append it to the kept *daily snapshot* table as a folder named by the run
+   and batch (a replay overwrites the same folder: idempotent). Nothing is
+   rewritten; the latest row per (key, day) over all batches is taken when the
+   snapshots are read, which only the late path does;
 3. days after every stored day (the usual case): only the open rows of the
-   batch's keys can change, so they are replayed with the batch and the store
-   appends the rows that closed plus the new open set;
+   batch's keys can change, so they are replayed with the batch, and the store
+   appends the rows that closed plus the new open rows of the touched buckets;
    a late or re-delivered day: the history of the batch's keys is rebuilt
-   from their kept snapshots; other keys keep their versions;
-4. commit a new dimension version; its log row carries the batch id (a
-   replayed batch id is skipped) and the latest day folded in.
+   from their kept snapshots; other keys keep their versions, other buckets
+   their files;
+4. commit a new dimension version; its log rows carry the run and batch id (a
+   replayed batch is skipped) and the latest day folded in.
+
+Batch ids are counted anew by every streaming checkpoint, so a batch is known
+by (run, batch id), where the run is the streaming query's id.
 
 The result equals a full batch `build` over all files, whatever order and
 grouping the files arrive in.
@@ -24,143 +28,158 @@ grouping the files arrive in.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoset.operators import scd2
 from chronoset.operators.shape import latest_per_day
 from chronoset.sinks import writers
-from chronoset.streaming.ingest import file_stream
+from chronoset.streaming.ingest import drained, file_stream, query_id
 
 
 class HistoryStream:
     """Per-batch history with a kept daily snapshot table.
 
-    Snapshots are appended per batch (`snapshots/batch_id=N`). Every
-    `compact_snapshots_every` batch ids they are reduced into one base folder
-    (`snapshots_base/upto=N`, one row per key and day), recorded in the same
-    dimension commit log row as that batch, and the superseded folders are
-    removed after the commit; readers take the recorded base plus the batch
-    folders after it, so the number of folders stays bounded.
+    Snapshots are appended per batch (`snapshots/batch=<run>~<id>/bucket=b`). When
+    `compact_snapshots_every` folders have gathered they are reduced into one
+    base folder (`snapshots_base/<name>`, one row per key and day). The commit
+    log names that base *and the folders it absorbed*; readers take the base
+    plus every folder it does not name, so no batch is ever left out for its
+    id, and the absorbed folders are removed after the commit.
     """
 
     def __init__(self, spark: SparkSession, base: str, key: str, tracked: list[str], attrs: list[str],
                  order_cols: list[str], mode: str = scd2.CHANGED_ONLY, day: str = "day",
-                 compact_snapshots_every: int = 100):
+                 compact_snapshots_every: int = 100, buckets: int = 8):
         self.spark, self.base = spark, base.rstrip("/")
         self.key, self.tracked, self.attrs, self.order, self.mode, self.day = key, tracked, attrs, order_cols, mode, day
-        self.store = writers.DimensionStore(spark, f"{self.base}/dimension")
+        self.store = writers.DimensionStore(spark, f"{self.base}/dimension", key=key, buckets=buckets)
         self.snap_path = f"{self.base}/snapshots"
         self.snap_base_path = f"{self.base}/snapshots_base"
         self.compact_snapshots_every = compact_snapshots_every
 
-    def seen(self, batch_id: int) -> bool:
-        """The batch id is in the dimension's commit log (replay guard)."""
-        return self.store.state(batch_id)["seen"]
+    def seen(self, batch_id: int, run: str = "") -> bool:
+        """The batch is in the dimension's commit log (replay guard)."""
+        return self.store.state(batch_id, run)["seen"]
 
     def _reduce(self, rows: DataFrame) -> DataFrame:
         return latest_per_day(rows, self.key, self.day, self.order, self.order + self.attrs, day_name=self.day)
 
-    def process(self, flat_batch: DataFrame, batch_id: int) -> None:
-        """flat_batch: key, day, order columns, attributes."""
+    def process(self, flat_batch: DataFrame, batch_id: int, run: str = "") -> None:
+        """flat_batch: key, day, order columns, attributes. Rows without key or day have no place in a history."""
         # one aggregate over the commit log: version, latest day, replay
-        st = self.store.state(batch_id)
+        st = self.store.state(batch_id, run)
         if st["seen"]:
             return
-        # the reduced batch feeds several steps; its lineage is only the batch's
-        # own files, so a cache (recomputed if an executor is lost) is enough
-        batch = self._reduce(flat_batch).persist()
-        try:
-            self._fold(batch, batch_id, st)
-        finally:
-            batch.unpersist()
-
-    def _snapshot_rows(self, snap_base: int | None) -> DataFrame:
-        """Kept snapshot rows (with their order columns): the compacted base
-        plus the batch folders after it. The folder names come from a
-        metadata listing, bounded by the compaction interval."""
-        ids = sorted(int(n.split("=", 1)[1]) for n in writers.list_dirs(self.spark, self.snap_path)
-                     if n.startswith("batch_id="))
-        newer = [f"{self.snap_path}/batch_id={i}" for i in ids if snap_base is None or i > snap_base]
-        parts = []
-        if snap_base is not None:
-            parts.append(self.spark.read.parquet(f"{self.snap_base_path}/upto={snap_base}"))
-        if newer:
-            parts.append(self.spark.read.parquet(*newer))
+        folder = f"batch={run or 'run'}~{batch_id}"
+        # the batch's first and last day ride along with the snapshot append
+        obs = Observation(f"history_batch_{batch_id}")
+        rows = self._reduce(flat_batch.where(F.col(self.key).isNotNull() & F.col(self.day).isNotNull()))
+        rows = rows.withColumn("bucket", self.store.bucket()).observe(
+            obs, F.count(F.lit(1)).alias("n"), F.min(self.day).alias("lo"), F.max(self.day).alias("hi"),
+            F.collect_set("bucket").alias("buckets"))
+        self._schema = rows.schema
+        self._put(rows, f"{self.snap_path}/{folder}")
+        m = obs.get
+        if m.get("n"):
+            self._fold(self._kept(f"{self.snap_path}/{folder}").drop("bucket"), batch_id, run, st, m)
+
+    def _put(self, rows: DataFrame, path: str) -> None:
+        (rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("bucket").parquet(path))
+
+    def _kept(self, path: str) -> DataFrame:
+        # the schema of this feed's reduced rows is known: no job to infer it
+        return self.spark.read.schema(self._schema).parquet(path)
+
+    def _folders(self, absorbed: list[str]) -> list[str]:
+        """Snapshot folders behind the base: a metadata listing, bounded by the compaction interval."""
+        return sorted(set(writers.list_dirs(self.spark, self.snap_path)) - set(absorbed))
+
+    def _snapshot_rows(self, snap_base: str | None, absorbed: list[str], buckets: list[int] | None = None) -> DataFrame:
+        """Kept snapshot rows (with their order columns): the base plus the folders it did not absorb."""
+        parts = [self._kept(f"{self.snap_base_path}/{snap_base}")] if snap_base else []
+        if writers.list_dirs(self.spark, self.snap_path):
+            newer = self.spark.read.schema(T.StructType([*self._schema.fields, T.StructField("batch", T.StringType())])).parquet(self.snap_path)
+            names = [n.split("=", 1)[1] for n in absorbed]
+            parts.append((newer.where(~F.col("batch").isin(names)) if names else newer).drop("batch"))
         if not parts:
             raise FileNotFoundError(f"no kept snapshots under {self.base}")
-        cols = parts[0].columns
-        return reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
+        rows = reduce(DataFrame.unionByName, parts)
+        return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).drop("bucket")
 
-    def snapshots(self, keys: DataFrame | None = None, snap_base: int | None = None) -> DataFrame:
+    def snapshots(self, keys: DataFrame | None = None, snap_base: str | None = None, absorbed: list[str] | None = None,
+                  buckets: list[int] | None = None) -> DataFrame:
         """Kept daily snapshots: one row per (key, day), the latest delivered.
 
-        With `keys`, only those keys' rows are read into the reduction (semi
-        join first), so a late batch aggregates its own keys' history, not the
-        whole table.
+        With `keys` and their `buckets`, only those keys' rows are read into
+        the reduction (partition filter, then semi join), so a late batch
+        aggregates its own keys' history, not the whole table.
         """
-        raw = self._snapshot_rows(snap_base)
+        raw = self._snapshot_rows(snap_base, absorbed or [], buckets)
         if keys is not None:
             raw = raw.join(keys, self.key, "left_semi")
         return self._reduce(raw).select(self.key, self.day, *self.attrs)
 
-    def _compact_snapshots(self, batch_id: int, snap_base: int | None) -> int:
-        """Reduce every kept snapshot row up to `batch_id` into one base folder."""
-        writers.write_counted(self._reduce(self._snapshot_rows(snap_base)), f"{self.snap_base_path}/upto={batch_id}",
-                              "overwrite")
-        return batch_id
-
-    def _drop_superseded(self, snap_base: int) -> None:
-        """After the commit that records `snap_base`: remove what it replaced."""
-        for name in writers.list_dirs(self.spark, self.snap_path):
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= snap_base:
-                writers.delete_path(self.spark, f"{self.snap_path}/{name}")
+    def _compacted(self, st: dict) -> tuple[str, list[str]]:
+        """Reduce the base and all folders behind it into a new base: its name, and what it absorbed."""
+        name = f"base-{uuid.uuid4().hex[:12]}"
+        folders = self._folders(st["absorbed"])
+        rows = self._reduce(self._snapshot_rows(st["snap_base"], st["absorbed"])).withColumn("bucket", self.store.bucket())
+        self._put(rows, f"{self.snap_base_path}/{name}")
+        return name, folders
+
+    def _drop_absorbed(self, snap_base: str, absorbed: list[str]) -> None:
+        """After the commit that names them: remove absorbed folders and the former base."""
+        for name in absorbed:
+            writers.delete_path(self.spark, f"{self.snap_path}/{name}")
         for name in writers.list_dirs(self.spark, self.snap_base_path):
-            if name.startswith("upto=") and int(name.split("=", 1)[1]) < snap_base:
+            if name != snap_base:
                 writers.delete_path(self.spark, f"{self.snap_base_path}/{name}")
 
-    def _fold(self, batch: DataFrame, batch_id: int, st: dict) -> None:
-        # the batch's first and last day ride along with the snapshot append
-        obs = Observation(f"history_batch_{batch_id}")
-        (batch.observe(obs, F.count(F.lit(1)).alias("n"), F.min(self.day).alias("lo"), F.max(self.day).alias("hi"))
-         .write.mode("overwrite").parquet(f"{self.snap_path}/batch_id={batch_id}"))
-        m = obs.get
-        if not m.get("n"):
-            return
-        first_day, last_day = m["lo"], m["hi"]
+    def _fold(self, batch: DataFrame, batch_id: int, run: str, st: dict, m: dict) -> None:
         stored_max = st["max_day"]
-        new_max = max(d for d in (stored_max, last_day) if d is not None)
-        snap_base = st["snap_base"]
-        compacted = None
-        if batch_id - (snap_base if snap_base is not None else -1) >= self.compact_snapshots_every:
-            compacted = snap_base = self._compact_snapshots(batch_id, snap_base)
+        new_max = max(d for d in (stored_max, m["hi"]) if d is not None)
+        snap_base, absorbed, log = st["snap_base"], st["absorbed"], {}
+        if len(self._folders(absorbed)) >= self.compact_snapshots_every:
+            snap_base, absorbed = self._compacted(st)
+            log = {"snap_base": snap_base, "absorbed": absorbed}
         flat = batch.select(self.key, self.day, *self.attrs)
-        current = self.store.read_current(st["version"]) if st["version"] else None
-        if current is None:
-            dim = scd2.build_history(self.snapshots(snap_base=snap_base), self.key, self.day, self.tracked, self.mode,
-                                     self.attrs)
-            self.store.commit(dim, batch_id, new_max, st, compacted)
-        elif stored_max is not None and first_day > stored_max:
+        buckets = sorted(m["buckets"])
+        log |= {"batch_id": batch_id, "max_day": new_max, "state": st, "run": run, "buckets": buckets}
+        if stored_max is None or m["lo"] > stored_max:
             # in order: only open rows of the batch's keys can change; closed
             # versions are neither read nor rewritten
-            rebuilt, untouched = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
-            self.store.commit_delta(rebuilt.unionByName(untouched), batch_id, new_max, st, compacted)
+            current = self.store.read_current(st["version"], buckets)
+            if current is None:
+                rows = scd2.build_history(flat, self.key, self.day, self.tracked, self.mode, self.attrs)
+            else:
+                rebuilt, untouched = scd2.extend_open_parts(current, flat, self.key, self.day, self.tracked, self.mode)
+                rows = rebuilt.unionByName(untouched)
+            self.store.commit_delta(rows, **log)
         else:
             # a late or re-delivered day: rebuild the touched keys from their kept snapshots
             keys = flat.select(self.key).distinct()
-            dim = scd2.apply_days(self.store.read(st["version"]), self.snapshots(keys, snap_base), flat, self.key,
-                                  self.day, self.tracked, self.mode)
-            self.store.commit(dim, batch_id, new_max, st, compacted)
-        if compacted is not None:
-            self._drop_superseded(compacted)
+            kept = self.snapshots(keys, snap_base, absorbed, buckets)
+            stored = self.store.read(st["version"], buckets)
+            if stored is None:
+                rows = scd2.build_history(kept, self.key, self.day, self.tracked, self.mode, self.attrs)
+            else:
+                rows = scd2.apply_days(stored, kept, flat, self.key, self.day, self.tracked, self.mode)
+            self.store.commit(rows, **log)
+        if "absorbed" in log:
+            self._drop_absorbed(snap_base, absorbed)
 
 
 def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str, checkpoint: str,
                        key: str = "user_id", tracked: list[str] | None = None, attrs: list[str] | None = None,
                        order_cols: list[str] | None = None, max_files_per_trigger: int | None = None,
-                       timeout_s: int = 900, compact_snapshots_every: int = 100) -> writers.DimensionStore:
+                       timeout_s: int | None = None, compact_snapshots_every: int = 100,
+                       buckets: int = 8) -> writers.DimensionStore:
     """Drain the nested event files under `source_dir` into a versioned history.
 
     The flattening below matches the nested events layout
@@ -169,7 +188,8 @@ def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str,
     tracked = tracked or ["event_type"]
     attrs = attrs or ["event_type", "props"]
     order_cols = order_cols or ["ts", "event_id"]
-    hs = HistoryStream(spark, base, key, tracked, attrs, order_cols, compact_snapshots_every=compact_snapshots_every)
+    hs = HistoryStream(spark, base, key, tracked, attrs, order_cols, compact_snapshots_every=compact_snapshots_every,
+                       buckets=buckets)
     stream = file_stream(spark, source_dir, schema, "json", max_files_per_trigger)
     flat = stream.select(
         F.col(f"profile.{key}").alias(key),
@@ -177,12 +197,10 @@ def run_history_stream(spark: SparkSession, source_dir: str, schema, base: str,
         *[F.col(c) for c in order_cols],
         *[F.col(f"profile.{a}").alias(a) for a in attrs],
     )
-    q = (flat.writeStream.foreachBatch(hs.process).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("history stream did not drain in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        hs.process(batch, batch_id, query_id(spark, checkpoint))
+
+    drained(flat.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(), timeout_s)
     return hs.store

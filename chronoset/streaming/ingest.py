@@ -10,14 +10,25 @@ checkpoint, not the folder, is the truth).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chronoset.schemas import TS_NTZ_FORMAT
+from chronoset.schemas import TS_NTZ_FORMAT, with_corrupt_column
+from chronoset.sources.json_scan import CORRUPT
 
 
 def file_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "json",
-                max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                corrupt: bool = False) -> DataFrame:
+    """The files of `source_dir` as a stream; with `corrupt`, unparsable lines keep their text in a column."""
+    if corrupt:
+        schema = with_corrupt_column(T._parse_datatype_string(schema) if isinstance(schema, str) else schema, CORRUPT)
     reader = spark.readStream.schema(schema).format(fmt).option("timestampNTZFormat", TS_NTZ_FORMAT)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
@@ -25,21 +36,43 @@ def file_stream(spark: SparkSession, source_dir: str, schema, fmt: str = "json",
     return reader.load(source_dir)
 
 
+def drained(query, timeout_s: int | None = None) -> None:
+    """Wait until an `availableNow` query has read all that was pending; without `timeout_s` as long as it takes."""
+    if timeout_s is None:
+        query.awaitTermination()
+    else:
+        query.awaitTermination(timeout_s)
+        if query.isActive:
+            query.stop()
+            raise TimeoutError("the stream did not drain in time")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave to the query of this checkpoint; a new checkpoint has a new one."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def ingest_files(spark: SparkSession, source_dir: str, schema, sink_path: str, checkpoint: str,
                  fmt: str = "json", archive_dir: str | None = None, max_files_per_trigger: int | None = None,
-                 timeout_s: int = 600) -> DataFrame:
-    """Drain pending files into an append-only parquet sink; return the sink.
+                 timeout_s: int | None = None, quarantine_path: str | None = None) -> DataFrame:
+    """Drain pending files into an append-only parquet sink; return the sink's good rows.
 
     Exactly-once into the file sink: the sink's own log records committed
-    batches, so a restarted run neither loses nor duplicates rows.
+    batches, so a restarted run neither loses nor duplicates rows. Lines that
+    do not parse are kept apart: with `quarantine_path` the sink is split into
+    folders of good and broken rows, and the broken ones are copied there with
+    their text; without it they are left out of the returned rows.
     """
-    stream = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger, archive_dir)
-    q = (stream.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("ingest stream did not drain in time")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink_path)
+    stream = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger, archive_dir, corrupt=fmt == "json")
+    broken = F.col(CORRUPT).isNotNull() if fmt == "json" else F.lit(False)
+    out = stream.withColumn("_broken", broken)
+    drained(out.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
+            .partitionBy("_broken").outputMode("append").trigger(availableNow=True).start(), timeout_s)
+    sink = spark.read.parquet(sink_path)
+    if quarantine_path:
+        (sink.where("_broken").select(F.col(CORRUPT).alias("line"), F.lit("broken line").alias("reason"))
+         .write.mode("overwrite").parquet(quarantine_path))
+    return sink.where("not _broken").drop("_broken", CORRUPT)

@@ -196,7 +196,7 @@ def test_dimension_store_delta_commits_and_compaction(spark, tmp_path):
     st = store.state(batch_id=8)
     assert st["seen"] and st["version"] == 7 and st["max_day"] == dt.date(2025, 1, 8)
     # versions 4 and 7 compacted: a reader opens at most `compact_every` segments
-    assert st["base_seg"] == 7
+    assert store._places(7)[0]["base"] == 7
     key = lambda r: (r["k"], r["effective_start_date"])
     assert sorted(map(tuple, store.read().collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
     assert sorted(store.read(5).collect(), key=key) == sorted(
