@@ -6,7 +6,8 @@ Each chunk is merged on its own by a score-ordered agenda of adjacent symbol
 pairs: the best scored pair first, the leftmost of equals, entries that an
 earlier merge outdated are skipped, and a merge puts the two new neighbour
 pairs on the agenda. Symbols outside the vocabulary fall back to bytes. The
-agenda is a heap, so a chunk of n symbols takes n log n steps.
+agenda of a short chunk is a list of scores, that of a long one a heap, so n
+symbols take n log n steps.
 
 Chunks repeat, so a task keeps a bounded table of short ones; each chunk is
 checked against the sentencepiece library, in one call per Arrow batch, when
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -33,8 +35,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 SPACE = "▁"
-TABLE_SIZE = 400_000
+TABLE_SIZE = 800_000
 TABLE_CHARS = 48
+#: Chunks of so many symbols or fewer are merged by scans.
+SHORT = 40
+NONE = float("-inf")
 #: Rows of one output batch.
 ROWS = 512
 
@@ -56,6 +61,7 @@ class Pieces:
         self.unknown = self.lib.unk_id()
         self.ids = {self.piece[i]: i for i in n if i not in self.byte and i not in self.silent and i != self.unknown}
         self.score = {p: self.lib.get_score(i) for p, i in self.ids.items()}
+        self.plain = {i: p.replace(SPACE, " ") for p, i in self.ids.items()}
         self.spaced = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         longer = [p for p in self.ids if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in longer):
@@ -63,15 +69,41 @@ class Pieces:
         joined = set().union(*longer)
         word = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
         self.chunks = re.compile(word if "\n" in joined else f"\n|{word.replace('[^', '[^' + chr(10))}").findall
-        self.table: dict[str, tuple[tuple[int, ...], str]] = {}
+        #: Chunks with the bytes of their ids, and the surface of those that decode to something else.
+        self.table: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk (spaces already written as the space sign)."""
-        known = self.ids.get(chunk)
+        symbols = self.merged_long(chunk) if len(chunk) > SHORT else self.merged_short(chunk)
+        out: list[int] = []
+        ids = self.ids
+        for x in symbols:
+            if (k := ids.get(x)) is None:
+                out += self.spelled(x)
+            else:
+                out.append(k)
+        return out
+
+    def merged_short(self, chunk: str) -> list[str]:
+        """The agenda as one list, a score for each adjacent pair: the best is found by a scan."""
+        symbols = list(chunk)
+        get = self.score.get
+        agenda = [get(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (best := max(agenda)) != NONE:
+            i = agenda.index(best)  # the leftmost
+            symbols[i : i + 2] = [both := symbols[i] + symbols[i + 1]]
+            del agenda[i]
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + both, NONE)
+            if i < len(agenda):
+                agenda[i] = get(both + symbols[i + 1], NONE)
+        return symbols
+
+    def merged_long(self, chunk: str) -> list[str]:
+        """The agenda as a heap: n log n steps for n symbols."""
         symbols: list[str] = list(chunk)
         n = len(symbols)
-        if n == 1:
-            return self.spelled(chunk) if known is None else [known]
         before, behind = list(range(-1, n - 1)), [*range(1, n), -1]
         agenda: list[tuple[float, int, int, int]] = []
         score = self.score
@@ -93,17 +125,17 @@ class Pieces:
                 before[behind[j]] = i
             offer(before[i], i)
             offer(i, behind[i])
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                out += self.spelled(s) if (k := self.ids.get(s)) is None else [k]
-        return out
+        return [x for x in symbols if x]
 
     def spelled(self, symbol: str) -> list[int]:
         return [self.byte_id[b] for b in symbol.encode()] if self.byte_id else [self.unknown]
 
     def surface(self, ids) -> str:
         """The text of ids, the leading space included."""
+        try:
+            return "".join([self.plain[i] for i in ids])
+        except KeyError:
+            pass  # bytes, control or unknown pieces
         out: list[str] = []
         run = bytearray()
 
@@ -131,7 +163,7 @@ class Pieces:
             if i == self.unknown:
                 out.append(" ⁇ ")
             elif i not in self.silent:
-                out.append(self.piece[i].replace(SPACE, " "))
+                out.append(self.plain[i])
         if run:
             close()
         return "".join(out)
@@ -144,37 +176,46 @@ class Pieces:
     def cut(self, text: str) -> list[str]:
         return self.chunks(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def learn(self, chunks: set[str]) -> dict[str, tuple[tuple[int, ...], str]]:
-        """Encode chunks, hold all of them against the library in one call, and keep the short ones."""
-        new = sorted(chunks)
-        mine = [self.merge(c) for c in new]
-        # the library writes a space sign of its own before each text; a chunk that starts with one gives it up
-        bare = [c[1:] if c[0] == SPACE else c for c in new]
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Encode chunks, hold all of them against the library, and keep the short ones."""
+        spaced = [c for c in chunks if c[0] == SPACE and c != SPACE]
+        other = [c for c in chunks if c[0] != SPACE]  # they stand behind a character that joins nothing
         extra = [self.ids[SPACE]] if SPACE in self.ids else self.spelled(SPACE)
-        for c, ids, lib in zip(new, mine, self.lib.encode(bare), strict=True):
-            if c == SPACE:
-                lib = extra  # an empty text has no ids
-            elif c[0] != SPACE:  # it stands behind a character that joins nothing
-                lib = self.lib.encode("\n" + c)[len(extra) + 1 :]
+        # the library writes a space sign of its own before each text, and an empty text has no ids
+        right = dict(zip(spaced, self.lib.encode([c[1:] for c in spaced]), strict=True)) if spaced else {}
+        if other:
+            right |= {c: ids[len(extra) + 1 :] for c, ids in zip(other, self.lib.encode(["\n" + c for c in other]), strict=True)}
+        if SPACE in chunks:
+            right[SPACE] = extra
+        got = {}
+        for c, lib in right.items():
+            ids = self.merge(c)
             if ids != lib:
                 raise ValueError(f"chunk {c!r}: {ids} here, {lib} by the library")
-        got = {c: (tuple(ids), self.surface(ids)) for c, ids in zip(new, mine, strict=True)}
+            if (text := self.surface(ids)) != c.replace(SPACE, " "):
+                self.odd[c] = text
+            got[c] = array("i", ids).tobytes()
         self.table.update((c, v) for c, v in got.items() if len(c) <= TABLE_CHARS)
         return got
 
-    def encode_batch(self, texts: list[str]) -> tuple[list[list[tuple[int, ...]]], list[str]]:
-        """For each text its ids by chunk, and its decoded form."""
+    def encode_batch(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+        """For each text its ids and its decoded form."""
         cut = [self.cut(t) for t in texts]
         if len(self.table) > TABLE_SIZE:
             self.table.clear()
+            self.odd.clear()
         table = self.table
-        new = {c for chunks in cut for c in chunks if c not in table}
+        new = set(chain.from_iterable(cut)).difference(table)
         got = self.learn(new) if new else {}
         ids, decoded = [], []
-        for chunks in cut:
-            found = [table.get(c) or got[c] for c in chunks]
-            ids.append([f[0] for f in found])
-            decoded.append("".join([f[1] for f in found])[1:])
+        for text, chunks in zip(texts, cut, strict=True):
+            try:
+                found = [table[c] for c in chunks]
+            except KeyError:  # a long chunk
+                found = [table.get(c) or got[c] for c in chunks]
+            ids.append(np.frombuffer(b"".join(found), np.int32))
+            # every chunk's ids were decoded when it was learned
+            decoded.append("".join([self.odd.get(c) or c.replace(SPACE, " ") for c in chunks])[1:] if self.odd else text.replace(SPACE, " "))
         return ids, decoded
 
 
@@ -206,8 +247,7 @@ def encoded(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: s
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 texts = [t or "" for t in batch.column(text_at).to_pylist()]
-                ids, decoded = pieces.encode_batch(texts)
-                flat = [np.fromiter(chain.from_iterable(x), np.int32) for x in ids]
+                flat, decoded = pieces.encode_batch(texts)
                 if check == "texts":
                     for t, mine, lib, back, text in zip(texts, flat, pieces.lib.encode(texts), decoded, pieces.lib.decode([x.tolist() for x in flat]), strict=True):
                         if mine.tolist() != lib or back != text:
