@@ -98,8 +98,8 @@ def date_list(start, end) -> Column:
 
 
 def hash_order(seed: str, *cols) -> Column:
-    """Reproducible pseudo-random order: md5 of seed and the given columns."""
-    return F.md5(F.concat(F.lit(seed), *[_c(c).cast("string") for c in cols]))
+    """Reproducible pseudo-random order: md5 of seed and the given columns; a NULL counts as empty text."""
+    return F.md5(F.concat(F.lit(seed), *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]))
 
 
 def null_safe_changed(a_cols: list, b_cols: list) -> Column:

@@ -26,7 +26,7 @@ import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoset import schemas
@@ -137,9 +137,9 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
     kept = F.coalesce(F.col(json_scan.CORRUPT), F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("_")])))
     bad_rows = writers.write_counted(bad.select("file_name", "file_date", F.col(REASON).alias("reason"), kept.alias("line")),
                                      f"{lay.quarantine}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
-    facts = cfg.facts(good).hint("rebalance", cfg.fact_day)
-    fact_rows = writers.write_counted(facts, f"{lay.fact}/token={name}", "overwrite", cfg.fact_day,
-                                      options={"partitionOverwriteMode": "static"})
+    # files by volume, not by date: sorted, their row groups still name their dates for a filter
+    facts = cfg.facts(good).hint("rebalance").sortWithinPartitions(cfg.fact_day)
+    fact_rows = writers.write_counted(facts, f"{lay.fact}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
     hist = _history(spark, lay, cfg)
     hist.process(cfg.flat_profiles(good), number, run)
     per_file = good.groupBy("file_name", "file_date").agg(F.count(F.lit(1)).alias("rows"))
@@ -147,7 +147,8 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
         per_file = listed.select("file_name", "file_date").join(per_file.drop("file_date"), "file_name", "left")
     else:
         per_file = rows.select("file_name", "file_date").distinct().join(per_file.drop("file_date"), "file_name", "left")
-    Ledger(spark, lay.ledger).record(per_file, number if label is None else label, token=name)
+    # only batch runs have a label
+    Ledger(spark, lay.ledger).record(per_file, label, token=name)
     writers.delete_path(spark, stage)
     return {"status": "done", "fact_rows": fact_rows, "quarantined": bad_rows, "dimension_version": hist.store.version()}
 
@@ -155,17 +156,25 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
 def _read_listed(spark: SparkSession, cfg: FeedConfig, root, listed: DataFrame) -> DataFrame:
     """Rows of the listed files.
 
-    The root is read with a filter on the dates in the file names, which Spark
-    applies to the listing, and joined to the list, so no path list is built.
+    The root is read with a filter on the dates of folders or file names, which
+    Spark applies to the listing, and joined to the list, so no path list is
+    built.
     """
-    raw = json_scan.read_json(spark, root, json_scan.as_struct(cfg.schema), with_file=True)
-    raw = raw.drop("file_name", "file_date").withColumnRenamed("file_path", "file_name")
+    raw = json_scan.read_json(spark, root, json_scan.as_struct(cfg.schema), with_file=False)
     span = listed.agg(F.min("file_date").alias("lo"), F.max("file_date").alias("hi"), F.count_if(F.col("file_date").isNull()).alias("n")).first()
     if not span["n"]:
-        raw = raw.where(file_date(F.col("_metadata.file_name")).between(F.lit(span["lo"]), F.lit(span["hi"])))
+        inside = _file_date(raw).between(F.lit(span["lo"]), F.lit(span["hi"]))
+        raw = raw.where(F.coalesce(inside, F.lit(True)))
+    raw = raw.withColumn("file_name", F.col("_metadata.file_path")).drop("file_date")
     return raw.join(listed.select("file_name", "file_date"), "file_name")
 
 
+def _file_date(rows: DataFrame) -> Column:
+    """Date of the file a row comes from: that of its dated folder, a partition column, or else of its name."""
+    named = file_date(F.col("_metadata.file_name"))
+    return F.coalesce(F.col("file_date").cast("date"), named) if "file_date" in rows.columns else named
+
+
 def _root_of(manifest: DataFrame) -> list[str]:
     """Folders of the feed: the listed paths up to their dated folders; one for each feed, not for each day."""
     folder = F.regexp_replace(F.col("file_name"), r"(/[^/=]+=[^/]+)*/[^/]+$", "")
@@ -264,8 +273,7 @@ def run_stream(spark: SparkSession, source_dir: str, cfg: FeedConfig, base: str,
             _process(spark, lay, cfg, batch, None, run, number, on_fail)
 
     stream = file_stream(spark, source_dir, cfg.schema, "json", max_files_per_trigger, archive_dir, corrupt=True)
-    # a schema may hold a column of the folder names, such as file_date
-    stream = stream.withColumn("file_name", F.col("_metadata.file_path")).withColumn("file_date", file_date(F.col("_metadata.file_name")))
+    stream = stream.withColumn("file_name", F.col("_metadata.file_path")).withColumn("file_date", _file_date(stream))
     drained(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start(), timeout_s)
     return {"status": "done", "dimension_version": _history(spark, lay, cfg).store.version()}
@@ -280,6 +288,8 @@ def catch_up(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: st
     """
     latest = Ledger(spark, Layout(base).ledger).latest_date().first()[0]
     done = spark.createDataFrame([(latest,)], "latest_date date")
+    # days of a calendar; looked for before the batch, which may move the listed files
+    missing = files.missing_dates(done, manifest, up_to, first_day=first_day).collect()
     result = run_batch(spark, manifest, cfg, base, batch_id, on_fail, archive_dir)
-    return result, files.missing_dates(done, manifest, up_to, first_day=first_day)
+    return result, spark.createDataFrame(missing, "file_date date")
 

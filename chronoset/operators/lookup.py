@@ -16,6 +16,9 @@ def point_in_time(facts: DataFrame, dimension: DataFrame, key: str, fact_day: st
                   attrs: list[str] | None = None) -> DataFrame:
     """Each fact with the version valid on its day: `start <= day < end`.
 
+    Every fact stays: without a valid version, or with a NULL key or day, its
+    attributes are NULL.
+
     Without pair explosion: facts are first reduced to their distinct
     (key, day) pairs (bounded per key by the calendar, combined map-side).
     Those probes and the versions are unioned and scanned once per key in day
@@ -38,7 +41,7 @@ def point_in_time(facts: DataFrame, dimension: DataFrame, key: str, fact_day: st
         .where((F.col("__kind") == 1) & F.col("__hit").isNotNull() & (F.col("__day") < F.col(f"__hit.{END_COL}")))
         .select(key, F.col("__day").alias(fact_day), "__hit")
     )
-    return facts.join(resolved, [key, fact_day], "inner").select(
+    return facts.join(resolved, [key, fact_day], "left").select(
         *facts.columns, *[F.col(f"__hit.{c}").alias(c) for c in attrs + [START_COL]])
 
 

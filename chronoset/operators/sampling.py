@@ -1,13 +1,10 @@
 """Reproducible sampling.
 
 Random order is replaced by the md5 of a seed and the row's key, so a sample
-is repeatable and the same in any engine. Top-n by that order runs as
-`TakeOrderedAndProject` only when what meets in its single final task is
-small: each input partition sends its own top n there, so n times the number
-of partitions rows are streamed through one task. Otherwise an exact
-distributed form is used (range partitioning + per-partition ranks +
-broadcast of one offset per partition), so a large n on a large input never
-lands in a single task.
+is repeatable and the same in any engine. Top-n by that order has one form for
+every size: the order is range partitioned, each partition is counted, and the
+one partition in which rank n falls is ranked; those before it are taken
+whole. So neither a large n nor a large table ever meets in a single task.
 """
 
 from __future__ import annotations
@@ -16,41 +13,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoset.functions.scalar import hash_order
+from chronoset.session import checkpoint_root
 
-# n up to this keeps n x (any partition count) modest for the final task.
-SMALL_N = 100
-# A table of at most this many rows may meet in one task whatever n is.
-SINGLE_TASK_ROWS = 2_000_000
 
-
-def top_n(df: DataFrame, order: list[Column], n: int, total: int | None = None, small_n: int = SMALL_N,
-          single_task_rows: int = SINGLE_TASK_ROWS, partitions: int | None = None) -> DataFrame:
-    """The first `n` rows by `order` (a total order), exactly.
-
-    `total` is the row count when the caller knows it (it bounds what the
-    single-task form can gather).
-    """
+def top_n(df: DataFrame, order: list[Column], n: int, partitions: int | None = None) -> DataFrame:
+    """The first `n` rows by `order` (a total order), exactly."""
     if n <= 0:
         return df.limit(0)
-    if n <= small_n or (total is not None and total <= single_task_rows):
-        return df.orderBy(*order).limit(n)
-    from chronoset.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.select("*", *[o.alias(f"__o{i}") for i, o in enumerate(order)])
     okeys = [F.col(f"__o{i}") for i in range(len(order))]
+    keyed = df.select("*", *[o.alias(f"__o{i}") for i, o in enumerate(order)])
     # Pin the range split once: counts and ranks must see the same partitions.
     ranged = keyed.repartitionByRange(parts, *okeys).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid", F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)).alias("__off"))
-    # one row per partition: a size bound known in advance. Partitions that
-    # start at or after rank n hold no winner and are dropped before ranking.
-    ranked = ranged.join(F.broadcast(offsets.where(F.col("__off") < n)), "__pid").withColumn(
-        "__rank", F.row_number().over(Window.partitionBy("__pid").orderBy(*okeys)) + F.col("__off"))
-    return ranked.where(F.col("__rank") <= n).drop("__pid", "__off", "__rank", *[f"__o{i}" for i in range(len(order))])
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition, a number known in advance
+    starts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    starts = F.broadcast(starts.where(F.col("__off") < n))
+    rank = F.row_number().over(Window.partitionBy("__pid").orderBy(*okeys)) + F.col("__off")
+    found = ranged.join(starts, "__pid")
+    whole = found.where(F.col("__off") + F.col("__n") <= n)
+    cut = found.where(F.col("__off") + F.col("__n") > n).withColumn("__rank", rank).where(F.col("__rank") <= n)
+    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
 
 
 def sample_count(total: int, fraction: float) -> int:
@@ -64,8 +48,7 @@ def sample_rows(df: DataFrame, key_cols: list[str], fraction: float, seed: str)
     One count reaches the driver to size the sample.
     """
     total = df.count()
-    return top_n(df, [hash_order(seed, *key_cols), *[F.col(k) for k in key_cols]], sample_count(total, fraction),
-                 total)
+    return top_n(df, [hash_order(seed, *key_cols), *[F.col(k) for k in key_cols]], sample_count(total, fraction))
 
 
 def sample_k(df: DataFrame, key_cols: list[str], k: int, seed: str) -> DataFrame:

@@ -160,46 +160,32 @@ def _fail_when(cond: Column, message) -> Column:
     return F.when(cond, F.raise_error(msg)).isNull()
 
 
-def _split_current(target: DataFrame, staged: DataFrame, key: str, split: bool):
-    """(closed rows, current rows touched by the stage, current rows not touched).
-
-    Closed rows pass through without any shuffle. With `split`, current rows
-    are divided by semi / anti join on the staged keys; when the staged key set
-    is small Spark plans those as broadcast joins (measured size against the
-    broadcast threshold, re-checked by AQE), so untouched current rows are
-    never shuffled. Otherwise Spark plans sort-merge joins.
-    """
-    closed = target.where(~F.col(CURRENT_COL))
-    cur = target.where(F.col(CURRENT_COL))
-    if not split:
-        return closed, cur, None
-    keys = staged.select(key).distinct()
-    return closed, cur.join(keys, key, "left_semi"), cur.join(keys, key, "left_anti")
-
-
 def expire(target: DataFrame, staged: DataFrame, key: str, tracked: list[str], mode: str = CHANGED_ONLY,
-           split: bool = True) -> DataFrame:
+           check_unique: bool = True) -> DataFrame:
     """Close current rows whose tracked attributes changed in `staged` (M1).
 
     Matched on key and `is_current`; the closed row gets
     `effective_end_date = staged.effective_start_date` and `is_current=false`.
     Keys absent from the stage stay open. A staged day older than an open
-    version fails the job (use `apply_days` to merge late days).
+    version fails the job (use `apply_days` to merge late days), and so does a
+    stage that holds a key twice.
+
+    Closed rows pass through; open rows are read once and joined once. In a
+    stored dimension the two are different files.
     """
-    closed, cur, untouched = _split_current(target, staged, key, split)
-    s = staged.select(key, *[F.col(c).alias(f"__s_{c}") for c in tracked], F.col(START_COL).alias("__s_start"))
-    j = cur.join(s, key, "left")
-    chg = F.col("__s_start").isNotNull() & changed([F.col(c) for c in tracked],
-                                                    [F.col(f"__s_{c}") for c in tracked], mode)
-    late = F.col("__s_start").isNotNull() & (F.col("__s_start") < F.col(START_COL))
+    if check_unique:
+        staged = _guard_one_per_key(staged, key)
+    s = staged.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__s_{c}") for c in tracked], F.col(START_COL).alias("__s_start"))
+    j = target.where(F.col(CURRENT_COL)).withColumn("__k", F.col(key)).join(s, "__k", "left")
+    has = F.col("__s_start").isNotNull()
+    chg = has & changed([F.col(c) for c in tracked], [F.col(f"__s_{c}") for c in tracked], mode)
+    late = has & (F.col("__s_start") < F.col(START_COL))
     j = j.where(_fail_when(late, "staged day is older than the open version"))
-    updated = j.select(
-        *[c for c in target.columns if c not in (END_COL, CURRENT_COL)],
-        F.when(chg, F.col("__s_start")).otherwise(F.col(END_COL)).alias(END_COL),
-        F.when(chg, F.lit(False)).otherwise(F.col(CURRENT_COL)).alias(CURRENT_COL),
-    ).select(*target.columns)
-    parts = [closed, updated] + ([untouched] if untouched is not None else [])
-    return reduce(DataFrame.unionByName, parts)
+    updated = j.select(*[
+        F.when(chg, F.col("__s_start")).otherwise(F.col(END_COL)).alias(END_COL) if c == END_COL
+        else F.when(chg, F.lit(False)).otherwise(F.col(CURRENT_COL)).alias(CURRENT_COL) if c == CURRENT_COL
+        else F.col(c) for c in target.columns])
+    return target.where(~F.col(CURRENT_COL)).unionByName(updated)
 
 
 def insert_versions(target: DataFrame, staged: DataFrame, key: str | None = None, tracked: list[str] | None = None,
@@ -215,34 +201,35 @@ def insert_versions(target: DataFrame, staged: DataFrame, key: str | None = None
         return target.unionByName(staged)
     cur = target.where(F.col(CURRENT_COL)).select(
         key, F.lit(1).alias("__has"), *[F.col(c).alias(f"__t_{c}") for c in tracked])
+    staged = _guard_one_per_key(staged, key)
     keep = F.col("__has").isNull() | null_safe_changed([F.col(f"__t_{c}") for c in tracked], [F.col(c) for c in tracked])
     new_or_changed = staged.join(cur, key, "left").where(keep).select(*target.columns)
     return target.unionByName(new_or_changed)
 
 
 def merge_day(target: DataFrame, staged: DataFrame, key: str, tracked: list[str], mode: str = CHANGED_ONLY,
-              split: bool = True, check_unique: bool = True) -> DataFrame:
+              check_unique: bool = True) -> DataFrame:
     """Merge one staged day into the dimension (M3).
 
-    ``changed_only``: one full outer join of the touched current rows with the
-    stage; each joined row emits 0, 1 or 2 rows (kept, closed + new, new) via
-    `explode(array_compact(array(old, new)))`. Re-merging the same day is a
-    no-op. A staged day older than the open version, or the same day with
-    other values, fails the job: such deliveries go through `apply_days`,
-    which rebuilds the touched keys from the kept daily snapshots.
+    ``changed_only``: the open rows are read once and joined once, fully outer,
+    to the stage; each joined row emits 0, 1 or 2 rows (kept, closed + new,
+    new) via `explode(array_compact(array(old, new)))`. Closed rows pass
+    through. Re-merging the same day is a no-op. A staged day older than
+    the open version, or the same day with other values, fails the job: such
+    deliveries go through `apply_days`, which rebuilds the touched keys from
+    the kept daily snapshots.
 
     ``append_all``: expire under `<>`, then insert every staged row.
     """
     if check_unique:
         staged = _guard_one_per_key(staged, key)
     if mode == APPEND_ALL:
-        return insert_versions(expire(target, staged, key, tracked, APPEND_ALL, split), staged)
+        return insert_versions(expire(target, staged, key, tracked, APPEND_ALL, check_unique=False), staged)
     if mode != CHANGED_ONLY:
         raise ValueError(f"unknown mode {mode!r}")
 
     cols = target.columns
-    closed, cur, untouched = _split_current(target, staged, key, split)
-    t = cur.select(F.col(key).alias("__k"), F.struct(*cols).alias("__t"))
+    t = target.where(F.col(CURRENT_COL)).select(F.col(key).alias("__k"), F.struct(*cols).alias("__t"))
     s = staged.select(F.col(key).alias("__k"), F.struct(*[F.col(c) for c in cols]).alias("__s"))
     j = t.join(s, "__k", "full_outer")
     has_t, has_s = F.col("__t").isNotNull(), F.col("__s").isNotNull()
@@ -257,16 +244,15 @@ def merge_day(target: DataFrame, staged: DataFrame, key: str, tracked: list[str]
         ]),
     ).when(has_t, F.col("__t"))
     new_row = F.when(has_s & (~has_t | chg), F.col("__s"))
-    out = j.select(
+    merged = j.select(
         F.when(late, F.raise_error(F.lit("late or re-delivered day with other values: use apply_days")))
         .otherwise(F.array_compact(F.array(old_row, new_row))).alias("__rows")
     ).select(F.explode("__rows").alias("__r")).select("__r.*")
-    parts = [closed, out] + ([untouched] if untouched is not None else [])
-    return reduce(DataFrame.unionByName, parts)
+    return target.where(~F.col(CURRENT_COL)).unionByName(merged)
 
 
 def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
-              mode: str = CHANGED_ONLY, stepwise: bool = False, cut_every: int = 1, split: bool = False) -> DataFrame:
+              mode: str = CHANGED_ONLY, stepwise: bool = False, cut_every: int = 1) -> DataFrame:
     """Apply `merge_day` day after day in date order (M4).
 
     `daily` must hold one row per (key, day), as `latest_per_day` makes it.
@@ -288,7 +274,7 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
     lineage is cut with a reliable `checkpoint()` every `cut_every` days.
     """
     if stepwise:
-        return _fold_stepwise(target, daily, key, day, tracked, mode, cut_every, split)
+        return _fold_stepwise(target, daily, key, day, tracked, mode, cut_every)
     if mode not in (CHANGED_ONLY, APPEND_ALL):
         raise ValueError(f"unknown mode {mode!r}")
     attrs = [c for c in target.columns if c not in (key, START_COL, END_COL, CURRENT_COL)]
@@ -317,7 +303,7 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
 
 
 def _fold_stepwise(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
-                   mode: str, cut_every: int, split: bool) -> DataFrame:
+                   mode: str, cut_every: int) -> DataFrame:
     from chronoset.session import checkpoint_root
 
     spark = daily.sparkSession
@@ -332,7 +318,7 @@ def _fold_stepwise(target: DataFrame, daily: DataFrame, key: str, day: str, trac
     held = []
     for i, d in enumerate(days, 1):
         stg = staged_all.where(F.col(START_COL) == F.lit(d))
-        merged = merge_day(cur, stg, key, tracked, mode, split=split, check_unique=False).coalesce(width)
+        merged = merge_day(cur, stg, key, tracked, mode, check_unique=False).coalesce(width)
         if cut_every and i % cut_every == 0:
             # persisted first, so writing the checkpoint does not recompute the day
             merged.persist()

@@ -25,7 +25,8 @@ def txn_nest(facts: DataFrame, profiles: DataFrame, key: str, profile_cols: list
     profile_key = profile_key or key
     profile_cols = profile_cols or profiles.columns
     prof = profiles.select(F.col(profile_key).alias("__pk"), F.struct(*profile_cols).alias(struct_name))
-    joined = facts.join(prof, facts[key] == prof["__pk"], "inner")
+    # a fact without a profile stays, its struct NULL
+    joined = facts.join(prof, facts[key] == prof["__pk"], "left")
     return joined.select(*[facts[c] for c in facts.columns if c != key], F.col(struct_name))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronoset.functions.scalar import (
@@ -18,7 +18,7 @@ from chronoset.operators import lookup, quality, sampling, scd2
 from chronoset.operators.shape import customer_snapshot, txn_flatten
 from chronoset.plans import feeds
 from chronoset.plans.feeds import E_ATTRS, E_DAY, E_KEY, E_TRACKED
-from chronoset.schemas import CURRENT_COL, START_COL
+from chronoset.schemas import START_COL
 from chronoset.session import scratch_path
 from chronoset.sinks import writers
 from chronoset.sinks.ledger import Ledger
@@ -50,11 +50,18 @@ def _last_day(spark, sf_dir):
     return feeds.events(spark, sf_dir).agg(F.max(F.to_date("ts"))).first()[0]
 
 
+def _stored(spark, dimension: DataFrame) -> DataFrame:
+    """The dimension, read back from a store: what a merge or fold meets in practice."""
+    store = writers.DimensionStore(spark, scratch_path(spark, "dim"), key=E_KEY)
+    store.commit(dimension)
+    return store.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+
+
 def _prior_and_stage(spark, sf_dir, mode=scd2.CHANGED_ONLY):
-    """Dimension built from every day before the feed's last day, and that day staged."""
+    """Dimension built from every day before the feed's last day and stored, and that day staged."""
     daily = _daily(spark, sf_dir)
     last = _last_day(spark, sf_dir)
-    prior = scd2.build_history(daily.where(F.col(E_DAY) < F.lit(last)), E_KEY, E_DAY, E_TRACKED, mode, E_ATTRS)
+    prior = _stored(spark, scd2.build_history(daily.where(F.col(E_DAY) < F.lit(last)), E_KEY, E_DAY, E_TRACKED, mode, E_ATTRS))
     stage = scd2.staged_from_daily(daily.where(F.col(E_DAY) == F.lit(last)), E_DAY)
     return prior, stage
 
@@ -101,11 +108,11 @@ def q_scd2_changed_columns(spark, sf_dir):
 
 @register("scd2_changed_rows")
 def q_scd2_changed_rows(spark, sf_dir):
+    """Every daily row but a key's first against the row that was open before it, the key's previous row."""
     dn = _daily(spark, sf_dir, planted_nulls=True)
-    staged = dn.withColumnRenamed(E_DAY, "link_day")
-    prev = dn.withColumn("link_day", F.date_add(E_DAY, 1)).drop(E_DAY)
-    out = scd2.changed_rows(prev, staged, [E_KEY, "link_day"], ["event_type", "props"])
-    return out.withColumnRenamed("link_day", E_DAY)
+    nxt = F.lead(E_DAY).over(Window.partitionBy(E_KEY).orderBy(E_DAY))
+    before = dn.withColumn("__until", nxt).where("__until is not null").drop(E_DAY).withColumnRenamed("__until", E_DAY)
+    return scd2.changed_rows(before, dn, [E_KEY, E_DAY], ["event_type", "props"])
 
 
 @register("scd2_expire")
@@ -132,24 +139,43 @@ def q_scd2_merge_day_append_all(spark, sf_dir):
     return scd2.merge_day(prior, stage, E_KEY, E_TRACKED, scd2.APPEND_ALL)
 
 
+def _split_day(spark, sf_dir):
+    """The feed's tenth day."""
+    return feeds.events(spark, sf_dir).agg(F.date_add(F.min(F.to_date("ts")), 9)).first()[0]
+
+
+def _stored_and_rest(spark, sf_dir):
+    """A stored dimension of the feed's first ten days, and the daily rows of the others."""
+    daily = _daily(spark, sf_dir)
+    cut = F.lit(_split_day(spark, sf_dir))
+    prior = _stored(spark, scd2.build(daily.where(F.col(E_DAY) <= cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
+    return prior, daily.where(F.col(E_DAY) > cut), daily
+
+
 @register("scd2_fold_days")
 def q_scd2_fold_days(spark, sf_dir):
+    prior, rest, _ = _stored_and_rest(spark, sf_dir)
+    return scd2.fold_days(prior, rest, E_KEY, E_DAY, E_TRACKED)
+
+
+@register("scd2_apply_days")
+def q_scd2_apply_days(spark, sf_dir):
+    """The later days are stored first, then the first ten days arrive late."""
     daily = _daily(spark, sf_dir)
-    empty = scd2.empty_dimension(daily, E_KEY, E_DAY)
-    return scd2.fold_days(empty, daily, E_KEY, E_DAY, E_TRACKED)
+    cut = F.lit(_split_day(spark, sf_dir))
+    stored = _stored(spark, scd2.build(daily.where(F.col(E_DAY) > cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
+    return scd2.apply_days(stored, daily, daily.where(F.col(E_DAY) <= cut), E_KEY, E_DAY, E_TRACKED)
 
 
 @register("union_changed_new")
 def q_union_changed_new(spark, sf_dir):
+    """Rows that differ from their key's previous row, and first rows: one pass over the key's days."""
     daily = _daily(spark, sf_dir)
-    staged = daily.withColumnRenamed(E_DAY, "link_day")
-    prev = daily.withColumn("link_day", F.date_add(E_DAY, 1)).drop(E_DAY)
-    chg = (scd2.changed_rows(prev, staged, [E_KEY, "link_day"], E_TRACKED)
-           .where("changed_null_safe").select(E_KEY, F.col("link_day").alias(E_DAY), *E_ATTRS))
-    first = daily.groupBy(E_KEY).agg(F.min(E_DAY).alias(E_DAY))
-    new = daily.join(first, [E_KEY, E_DAY], "left_semi")
-    return (chg.withColumn("kind", F.lit("changed"))
-            .unionByName(new.select(E_KEY, E_DAY, *E_ATTRS).withColumn("kind", F.lit("new"))))
+    w = Window.partitionBy(E_KEY).orderBy(E_DAY)
+    first = F.lag(F.lit(1)).over(w).isNull()
+    differs = scd2.changed([F.lag(c).over(w) for c in E_TRACKED], [F.col(c) for c in E_TRACKED])
+    kind = F.when(first, F.lit("new")).when(differs, F.lit("changed"))
+    return daily.withColumn("kind", kind).where("kind is not null").select(E_KEY, E_DAY, *E_ATTRS, "kind")
 
 
 # --- reading the history --------------------------------------------------------
@@ -238,6 +264,16 @@ O_RAW_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalp
                 "c_acctbal: double, c_mktsegment: string>")
 
 
+@register("json_text_roundtrip")
+def q_json_text_roundtrip(spark, sf_dir):
+    """Rows to JSON text and back, without files."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    text = json_scan.to_json_text(_o_raw(spark, sf_dir).drop("file_date"), keep_nulls=True)
+    back = json_scan.parse_json_text(text, "value", _parse_datatype_string(O_RAW_SCHEMA)).select("record.*")
+    return _read_back_flat(back.withColumn("o_orderdate", parse_raw_timestamp("o_orderdate")))
+
+
 @register("json_roundtrip")
 def q_json_roundtrip(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
@@ -254,13 +290,15 @@ E_NESTED_SCHEMA = ("event_id long, ts timestamp_ntz, value double, "
                    "profile struct<user_id: long, event_type: string, props: string>")
 
 
+def _nested_events(spark, sf_dir) -> DataFrame:
+    return feeds.events(spark, sf_dir).select(
+        "event_id", "ts", "value", F.struct("user_id", "event_type", "props").alias("profile"),
+        F.to_date("ts").alias("file_date"))
+
+
 def _write_events_daily_json(spark, sf_dir) -> str:
-    ev = feeds.events(spark, sf_dir)
-    raw = ev.select("event_id", "ts", "value",
-                    F.struct("user_id", "event_type", "props").alias("profile"),
-                    F.to_date("ts").alias("file_date"))
     path = scratch_path(spark, "events-json")
-    writers.write_daily_json(raw, path, "file_date")
+    writers.write_daily_json(_nested_events(spark, sf_dir), path, "file_date")
     return path
 
 
@@ -269,9 +307,8 @@ def q_profiles_from_files(spark, sf_dir):
     from pyspark.sql.types import _parse_datatype_string
 
     root = _write_events_daily_json(spark, sf_dir)
-    # one path per daily folder, as a multi-file read (the listing is metadata only)
-    day_dirs = sorted({r[0].rsplit("/", 1)[0] for r in files.list_files(spark, root, "*.json").select("path").collect()})
-    return json_scan.read_profiles(spark, day_dirs, _parse_datatype_string(E_NESTED_SCHEMA), "profile")
+    # all daily folders as one multi-file read of their root
+    return json_scan.read_profiles(spark, root, _parse_datatype_string(E_NESTED_SCHEMA), "profile")
 
 
 # --- discovery -----------------------------------------------------------------
@@ -321,9 +358,16 @@ def q_date_spine(spark, sf_dir):
 
 @register("missing_dates")
 def q_missing_dates(spark, sf_dir):
+    """Days without an order file: since the last processed day and from an
+    empty ledger, each up to the last order date."""
     present = _o_manifest(spark, sf_dir)
-    spine = files.date_spine(_o_bounds(spark, sf_dir))
-    return spine.join(present.select("file_date"), "file_date", "left_anti")
+    lo, hi = _o_bounds(spark, sf_dir).first()
+    mid = lo + (hi - lo) // 2
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    empty = files.missing_dates(ledger.latest_date(), present, hi, first_day=lo)
+    ledger.record(present.where(F.col("file_date") <= F.lit(mid)).withColumn("rows", F.lit(None).cast("long")), batch_id=1)
+    since = files.missing_dates(ledger.latest_date(), present, hi)
+    return empty.withColumn("ledger", F.lit("empty")).unionByName(since.withColumn("ledger", F.lit("half")))
 
 
 # --- loads -----------------------------------------------------------------------
@@ -455,12 +499,23 @@ def q_stream_ingest(spark, sf_dir):
 
 @register("stream_archive")
 def q_stream_archive(spark, sf_dir):
+    """Two drains with an archive: the first moves its files at the start of
+    the second. Rows of the sink, and rows in files below the archive."""
+    from pyspark.sql.types import _parse_datatype_string
+
     from chronoset.streaming import ingest
 
-    src = _write_events_daily_json(spark, sf_dir)
-    out = ingest.ingest_files(spark, src, E_NESTED_SCHEMA, scratch_path(spark, "stream-out"),
-                              scratch_path(spark, "stream-ckpt"), archive_dir=scratch_path(spark, "archive"))
-    return out.select("event_id", "ts", "profile.user_id", "profile.event_type", "value", "profile.props")
+    src, out, ck, kept = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt", "archive"))
+    raw = _nested_events(spark, sf_dir)
+    writers.write_daily_json(raw.where(F.dayofmonth("ts") <= 15), src, "file_date")
+    ingest.ingest_files(spark, src, E_NESTED_SCHEMA, out, ck, archive_dir=kept)
+    writers.write_daily_json(raw.where(F.dayofmonth("ts") > 15), src, "file_date", "append")
+    sink = ingest.ingest_files(spark, src, E_NESTED_SCHEMA, out, ck, archive_dir=kept)
+    # the archive keeps each file's former path; the last batch's files still lie in the source
+    schema = _parse_datatype_string(E_NESTED_SCHEMA)
+    read = lambda where: json_scan.read_json(spark, where, schema, with_file=False, corrupt=False, options={"recursiveFileLookup": "true"})
+    flat = lambda df, place: df.select("event_id", "ts", "profile.user_id", "profile.event_type", "value", "profile.props", F.lit(place).alias("place"))
+    return flat(sink, "sink").unionByName(flat(read(kept), "archive"))
 
 
 def _e_feed():
@@ -480,11 +535,90 @@ def q_batch_load_history(spark, sf_dir):
     src = _write_events_daily_json(spark, sf_dir)
     base = scratch_path(spark, "batch")
     manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
-    jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), _e_feed(), base, batch_id=1)
-    jobs.run_batch(spark, manifest, _e_feed(), base, batch_id=2)
+    jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), _e_feed(), base, batch_id=2)
+    jobs.run_batch(spark, manifest, _e_feed(), base, batch_id=1)
     return jobs.read_dimension(spark, base).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
 
 
+@register("batch_load_facts")
+def q_batch_load_facts(spark, sf_dir):
+    """Files that also carry rows of the day before (each file holds the rows
+    from 06:00 to 06:00), loaded by two batches: every event is a fact once."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "events-json"), scratch_path(spark, "batch")
+    shifted = _nested_events(spark, sf_dir).withColumn("file_date", F.to_date(F.col("ts") + F.expr("interval 18 hours")))
+    writers.write_daily_json(shifted, src, "file_date")
+    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    feed = _e_feed()
+    feed.fact_cols = ["event_id", "ts", "value"]
+    jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), feed, base, batch_id=20240115)
+    jobs.run_batch(spark, manifest, feed, base, batch_id=20240101)
+    return jobs.read_facts(spark, base).select("event_id", "ts", "value", E_KEY, "fact_date")
+
+
+@register("run_stream_history")
+def q_run_stream_history(spark, sf_dir):
+    """The streaming job in two runs, the second with a new checkpoint, whose
+    batch numbers start again and which delivers all files again."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "events-json"), scratch_path(spark, "stream")
+    raw = _nested_events(spark, sf_dir)
+    writers.write_daily_json(raw.where(F.dayofmonth("ts") <= 15), src, "file_date")
+    jobs.run_stream(spark, src, _e_feed(), base, scratch_path(spark, "ckpt"))
+    writers.write_daily_json(raw.where(F.dayofmonth("ts") > 15), src, "file_date", "append")
+    jobs.run_stream(spark, src, _e_feed(), base, scratch_path(spark, "ckpt"))
+    return jobs.read_dimension(spark, base).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    """Events with planted faults through the streaming job: lines of errors
+    are cut off, clicks lose their key. Good rows are facts, the others are in
+    the quarantine with their reason, and no version has a NULL key."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "events-json"), scratch_path(spark, "stream")
+    ev = feeds.events(spark, sf_dir)
+    no_key = F.when(F.col("event_type") != "click", F.col("user_id"))
+    line = F.to_json(F.struct("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "value",
+                              F.struct(no_key.alias("user_id"), "event_type", "props").alias("profile")))
+    line = F.when(F.col("event_type") == "error", F.substring(line, 1, 20)).otherwise(line)
+    ev.select(line.alias("value"), F.to_date("ts").alias("file_date")).hint("rebalance", "file_date").write.partitionBy("file_date").text(src)
+    jobs.run_stream(spark, src, _e_feed(), base, scratch_path(spark, "ckpt"))
+    good = jobs.read_facts(spark, base).groupBy().agg(F.count(F.lit(1)).alias("n"))
+    bad = jobs.read_quarantine(spark, base).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    dim = jobs.read_dimension(spark, base)
+    keyless = dim.groupBy().agg(F.count_if(F.col(E_KEY).isNull() | F.col(START_COL).isNull()).alias("n"))
+    return (good.select(F.lit("fact").alias("place"), "n").unionByName(bad.select(F.col("reason").alias("place"), "n"))
+            .unionByName(keyless.select(F.lit("version without key or start").alias("place"), "n")))
+
+
+@register("batch_load_transactions")
+def q_batch_load_transactions(spark, sf_dir):
+    """Orders with their customer in the raw transaction layout, through the
+    batch job: typed facts with their decimal amount and date; urgent orders
+    have a malformed timestamp and are not among them."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "orders-json"), scratch_path(spark, "batch")
+    o = feeds.orders_nested(spark, sf_dir)
+    c = F.col("customer_info")
+    ts = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("not a time")).otherwise(raw_timestamp_text("o_orderdate"))
+    profile = F.struct(c["c_custkey"].cast("string").alias("customer_id"), c["c_name"].alias("customer_name"),
+                       c["c_mktsegment"].alias("customer_tier"), c["c_nationkey"].cast("string").alias("customer_state"))
+    raw = o.select(F.col("o_orderkey").cast("string").alias("transaction_id"), ts.alias("transaction_timestamp"),
+                   F.format_string("%.2f", "o_totalprice").alias("amount"), F.col("o_orderstatus").alias("transaction_status"),
+                   profile.alias("customer_info"), F.trunc("o_orderdate", "year").alias("file_date"))
+    writers.write_daily_json(raw, src, "file_date")
+    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    jobs.run_batch(spark, manifest, jobs.transaction_feed(), base, batch_id=1, on_fail="quarantine")
+    facts = jobs.read_facts(spark, base)
+    return facts.select("transaction_id", "transaction_timestamp", "transaction_date", "amount", F.col("amount_num").cast("double").alias("amount_num"),
+                        "transaction_status", "customer_id")
+
+
 @register("stream_scd2")
 def q_stream_scd2(spark, sf_dir):
     from chronoset.streaming import history
@@ -494,5 +628,3 @@ def q_stream_scd2(spark, sf_dir):
                                        scratch_path(spark, "stream-ckpt"), max_files_per_trigger=7)
     return store.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
 
-
-_ = (CURRENT_COL,)

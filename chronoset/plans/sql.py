@@ -91,23 +91,25 @@ SELECT user_id, effective_start_date,
   concat_ws(',', CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type THEN 'event_type' END,
                  CASE WHEN lag(props) OVER w IS DISTINCT FROM props THEN 'props' END) AS changed_columns
 FROM dim WINDOW w AS (PARTITION BY user_id ORDER BY effective_start_date)""",
-    "scd2_changed_rows": f"""WITH {DAILY}, {DAILY_NULLS}
-SELECT s.user_id, s.day, s.event_type, s.props,
-  (t.event_type IS DISTINCT FROM s.event_type OR t.props IS DISTINCT FROM s.props) AS changed_null_safe,
-  coalesce(t.event_type <> s.event_type OR t.props <> s.props, false) AS changed_three_valued
-FROM dn s JOIN dn t ON s.user_id = t.user_id AND s.day = t.day + 1""",
+    "scd2_changed_rows": f"""WITH {DAILY}, {DAILY_NULLS},
+p AS (SELECT s.*, t.event_type AS pe, t.props AS pp FROM dn s JOIN dn t ON t.user_id = s.user_id
+      AND t.day = (SELECT max(u.day) FROM dn u WHERE u.user_id = s.user_id AND u.day < s.day))
+SELECT user_id, day, event_type, props,
+  (pe IS DISTINCT FROM event_type OR pp IS DISTINCT FROM props) AS changed_null_safe,
+  coalesce(pe <> event_type OR pp <> props, false) AS changed_three_valued FROM p""",
     "scd2_expire": EXPIRE,
     "scd2_insert_all": INSERT_ALL,
     "scd2_merge_day": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
     "scd2_merge_day_append_all": f"WITH {DAILY}, {append_all_cte(['event_type'])} SELECT * FROM dim",
     "scd2_fold_days": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
-    "union_changed_new": f"""WITH {DAILY}
-SELECT s.user_id, s.day, s.event_type, s.props, 'changed' AS kind
-FROM daily s JOIN daily t ON s.user_id = t.user_id AND s.day = t.day + 1
-WHERE t.event_type IS DISTINCT FROM s.event_type
+    "scd2_apply_days": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
+    "union_changed_new": f"""WITH {DAILY},
+p AS (SELECT s.*, (SELECT max(u.day) FROM daily u WHERE u.user_id = s.user_id AND u.day < s.day) AS before FROM daily s)
+SELECT p.user_id, p.day, p.event_type, p.props, 'changed' AS kind
+FROM p JOIN daily t ON t.user_id = p.user_id AND t.day = p.before
+WHERE t.event_type IS DISTINCT FROM p.event_type
 UNION ALL
-SELECT user_id, day, event_type, props, 'new' AS kind
-FROM (SELECT *, min(day) OVER (PARTITION BY user_id) AS first_day FROM daily) f WHERE day = first_day""",
+SELECT user_id, day, event_type, props, 'new' AS kind FROM p WHERE before IS NULL""",
     "sample_current": f"""WITH {DAILY}, {build_cte(['event_type'])}
 SELECT {DIM_COLS} FROM (
   SELECT *, row_number() OVER (ORDER BY md5('s42' || CAST(user_id AS VARCHAR)), user_id) AS rn,
@@ -129,7 +131,7 @@ FROM names WHERE regexp_extract(n, {FILE_RE}, 1) <> ''
 ORDER BY md5('s42' || n), n LIMIT 4""",
     "asof_lookup": f"""WITH {DAILY}, {build_cte(['event_type'])}
 SELECT e.event_id, e.ts, e.user_id, e.value, d.event_type, d.effective_start_date
-FROM events e JOIN dim d ON e.user_id = d.user_id
+FROM events e LEFT JOIN dim d ON e.user_id = d.user_id
  AND d.effective_start_date <= CAST(e.ts AS DATE) AND CAST(e.ts AS DATE) < d.effective_end_date""",
     "dim_integrity": f"""WITH {DAILY}, {append_all_cte(['event_type'])},
 r AS (SELECT user_id, is_current, effective_start_date AS s, effective_end_date AS e,
@@ -150,6 +152,7 @@ FROM k""",
   CAST(o.o_orderdate AS DATE) AS effective_start_date, {OPEN} AS effective_end_date, true AS is_current
 FROM {O_JOIN}""",
     "json_roundtrip": f"SELECT {O_FLAT_COLS} FROM {O_JOIN}",
+    "json_text_roundtrip": f"SELECT {O_FLAT_COLS} FROM {O_JOIN}",
     "profiles_from_files": "SELECT user_id, event_type, props FROM events",
     # --- discovery -----------------------------------------------------------
     "file_dates": f"""WITH {O_NAMES}
@@ -164,10 +167,15 @@ FROM d ANTI JOIN done USING (file_date)""",
     "date_spine": """SELECT CAST(range AS DATE) AS file_date FROM range(
   (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)::TIMESTAMP,
   (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)""",
-    "missing_dates": """SELECT CAST(range AS DATE) AS file_date FROM range(
-  (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)::TIMESTAMP,
-  (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)
-WHERE CAST(range AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
+    "missing_dates": """WITH b AS (
+  SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+d AS (SELECT CAST(range AS DATE) AS file_date FROM range(
+  (SELECT lo FROM b)::TIMESTAMP, (SELECT hi FROM b)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY)),
+m AS (SELECT file_date FROM d WHERE file_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)),
+l AS (SELECT max(CAST(o_orderdate AS DATE)) AS latest FROM orders, b
+      WHERE CAST(o_orderdate AS DATE) <= lo + CAST((hi - lo) // 2 AS INTEGER))
+SELECT file_date, 'empty' AS ledger FROM m
+UNION ALL SELECT file_date, 'half' FROM m, l WHERE file_date > latest""",
     # --- loads ---------------------------------------------------------------
     "load_append": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "load_overwrite": "SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE day(ts) > 15",
@@ -239,5 +247,17 @@ SELECT c_custkey, amount, CASE WHEN cls = 'positive' THEN 'good' ELSE 'quarantin
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_scd2": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
     "batch_load_history": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
-    "stream_archive": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "stream_archive": """SELECT event_id, ts, user_id, event_type, value, props, 'sink' AS place FROM events
+UNION ALL SELECT event_id, ts, user_id, event_type, value, props, 'archive' FROM events WHERE day(ts) <= 15""",
+    "batch_load_facts": "SELECT event_id, ts, value, user_id, CAST(ts AS DATE) AS fact_date FROM events",
+    "run_stream_history": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
+    "stream_quarantine": """SELECT 'fact' AS place, count(*) AS n FROM events WHERE event_type NOT IN ('error', 'click')
+UNION ALL SELECT 'broken line', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'missing key', count(*) FROM events WHERE event_type = 'click'
+UNION ALL SELECT 'version without key or start', 0""",
+    "batch_load_transactions": f"""SELECT CAST(o.o_orderkey AS VARCHAR) AS transaction_id, o.o_orderdate AS transaction_timestamp,
+  CAST(o.o_orderdate AS DATE) AS transaction_date, printf('%.2f', o.o_totalprice) AS amount,
+  CAST(TRY_CAST(printf('%.2f', o.o_totalprice) AS DECIMAL(18,2)) AS DOUBLE) AS amount_num,
+  o.o_orderstatus AS transaction_status, CAST(c.c_custkey AS VARCHAR) AS customer_id
+FROM {O_JOIN} WHERE o.o_orderpriority <> '1-URGENT'""",
 }

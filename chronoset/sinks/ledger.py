@@ -29,7 +29,7 @@ class Ledger:
         done = self.read().where(F.col("status") == "done").select(F.col("file_name").alias(name_col))
         return manifest.join(done, name_col, "left_anti")
 
-    def record(self, files: DataFrame, batch_id: int, status: str = "done", token: str = "") -> None:
+    def record(self, files: DataFrame, batch_id: int | None, status: str = "done", token: str = "") -> None:
         """Append ledger rows for `files` (file_name, file_date, rows)."""
         last = self.read().agg(F.max("number")).first()[0]
         out = files.select(

@@ -34,8 +34,8 @@ def test_build_two_exchanges_partial_aggregate_pruned_scan(spark, q):
 
 def test_fold_is_one_plan_not_one_job_per_day(spark, q):
     plan = _plan(q["scd2_fold_days"](spark, SF001))
-    # a loop over 30 days would stack 30 merges; one plan has a bounded number of exchanges
-    assert len(_exchanges(plan)) <= 6
+    # a loop over 20 days would stack 20 merges; one plan has a bounded number of exchanges, before reuse
+    assert len(_exchanges(plan)) <= 14
 
 
 def test_merge_day_pushes_the_day_filter_to_the_scan(spark, q):
@@ -44,8 +44,19 @@ def test_merge_day_pushes_the_day_filter_to_the_scan(spark, q):
     assert "FullOuter" in plan
 
 
-def test_small_sample_is_a_top_k(spark, q):
-    assert "TakeOrderedAndProject" in _plan(q["sample_files"](spark, SF001))
+def test_samples_of_every_size_never_sort_in_one_task(spark, q):
+    for name in ("sample_files", "sample_current"):
+        plan = _plan(q[name](spark, SF001))
+        assert "TakeOrderedAndProject" not in plan and "rangepartitioning" not in plan.split("Window")[0]
+
+
+@pytest.mark.parametrize("name", ["scd2_expire", "scd2_merge_day"])
+def test_merge_reads_open_rows_once_and_joins_once(spark, q, name):
+    plan = _plan(q[name](spark, SF001))
+    assert len(re.findall(r"Scan parquet .*is_current=true|\(\d+\) Scan|FileScan parquet", plan)) <= 3
+    assert len(re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", plan)) == 1
+    # beyond the stored prior: the day's reduction, the guard's key, the open rows' key
+    assert len(_exchanges(plan)) <= 3
 
 
 def test_current_rows_read_one_folder(spark, q):
@@ -75,8 +86,8 @@ def test_distributed_top_n_broadcasts_only_partition_offsets(spark):
     from chronoset.operators import sampling
 
     df = spark.range(0, 500).withColumn("k", F.col("id") * 3 % 501)
-    out = sampling.top_n(df, [F.md5(F.col("k").cast("string")), F.col("k")], 200, small_n=0, partitions=5)
+    out = sampling.top_n(df, [F.md5(F.col("k").cast("string")), F.col("k")], 200, partitions=5)
     plan = _plan(out)
-    assert plan.count("BroadcastExchange") == 1
+    assert plan.count("BroadcastExchange") - plan.count("ReusedExchange") in (1, 2)
     # the broadcast side is the per-partition offsets (partition id + offset), not the rows
     assert re.search(r"BroadcastExchange .*\n(.*\n)*?.*__off", plan)

@@ -117,8 +117,8 @@ def test_stream_restart_does_not_reprocess(spark, tmp_path):
 def test_distributed_top_n_equals_local(spark):
     df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
     order = [F.md5(F.concat(F.lit("s"), F.col("k").cast("string"))), F.col("k")]
-    local = sorted(r["k"] for r in sampling.top_n(df, order, 333).collect())
-    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, small_n=10, partitions=7).collect())
+    local = sorted(r["k"] for r in df.orderBy(*order).limit(333).collect())
+    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, partitions=7).collect())
     assert local == dist and len(dist) == 333
 
 
@@ -179,5 +179,5 @@ def test_distributed_top_n_exact_at_partition_edges(spark, n):
     df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
     order = [F.md5(F.concat(F.lit("t"), F.col("k").cast("string"))), F.col("k")]
     want = sorted(r["k"] for r in df.orderBy(*order).limit(n).collect())
-    got = sorted(r["k"] for r in sampling.top_n(df, order, n, small_n=0, partitions=7).collect())
+    got = sorted(r["k"] for r in sampling.top_n(df, order, n, partitions=7).collect())
     assert got == want
