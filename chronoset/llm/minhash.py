@@ -11,10 +11,11 @@ less often.
 In a bucket each class is paired with the bucket's first one only, so pairs are
 at most classes times bands. Pairs are confirmed on full shingle sets, links
 are joined to components. A bucket whose classes then lie in several
-components may hide links between them: in rounds, classes outside the
-bucket's largest component become centres too, `CENTRES` a round, until every
-pair of its classes is in one component or was compared. So stars bound the
-pairs, and lose no link within a bucket.
+components may hide links between them. Only shingles found in several
+components can make such a link; counting them rules out nearly all classes.
+What is left outside a bucket's largest component is held against the bucket's
+classes on full sets, block by block within tasks. So stars bound the pairs,
+and no link within a bucket is lost.
 
 Defined results: NULL and blank texts have an empty set and are linked with
 nothing; rows with one id count as one document and share its verdict; a row
@@ -26,11 +27,11 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chronoset.llm.common import staged
@@ -40,10 +41,11 @@ SHINGLE = 5
 #: Least similarity in percent.
 PERCENT = 75
 BINS, BAND_ROWS = 128, 4
-#: Further centres in a bucket and round.
-CENTRES = 8
+#: Classes of a bucket that one task holds.
+BLOCK = 1000
 HASHED_WORDS = 500_000
 KEPT_SETS = 64
+ROWS = 1024
 
 _U = np.uint64
 _MIX = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -70,18 +72,36 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a whole text."""
-    words = (text or "").encode().lower().split()  # on bytes: A-Z only; space, and tab to carriage return
-    if not words:
-        return np.zeros(0, _U)
-    size = min(size, len(words))
-    w = np.fromiter(map(_words.__getitem__, words), _U, len(words))
-    n = len(words) - size + 1
+def words_of(text: str | None) -> list[bytes]:
+    """Words, A-Z lower-cased; on bytes, so white space is the space, and tab to carriage return."""
+    return (text or "").encode().lower().split()
+
+
+def rolled(w: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of `size` word hashes."""
+    n = len(w) - size + 1
     h = np.full(n, size, _U)
     for k in range(size):
         h = mixed((h ^ w[k : n + k]) + _MIX[0])
-    return np.unique(h)
+    return h
+
+
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """For each whole text the sorted distinct 64-bit hashes of its shingles."""
+    words = [words_of(t) for t in texts]
+    sizes = [len(x) for x in words]
+    flat = np.fromiter(map(_words.__getitem__, chain.from_iterable(words)), _U, sum(sizes))
+    windows = rolled(flat, size) if len(flat) >= size else None
+    out, at = [], 0
+    for n in sizes:
+        if n >= size:
+            out.append(np.unique(windows[at : at + n - size + 1]))
+        elif n:
+            out.append(rolled(flat[at : at + n], n))
+        else:
+            out.append(np.zeros(0, _U))
+        at += n
+    return out
 
 
 def _orders() -> np.ndarray:
@@ -91,21 +111,30 @@ def _orders() -> np.ndarray:
 
 
 ORDERS = _orders()
-_edges = (np.arange(BINS, dtype=_U) << _U(64 - BINS.bit_length() + 1))
+_SHIFT = _U(64 - BINS.bit_length() + 1)
+_edges = np.arange(BINS, dtype=_U) << _SHIFT
+_bins = np.arange(BINS, dtype=_U)
 _turns = mixed(np.arange(1, BINS // BAND_ROWS + 1, dtype=_U) * _MIX[0])
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """Bucket numbers, one for each band, of a sorted non-empty set."""
-    first = np.searchsorted(hashes, _edges)
-    value = hashes[np.minimum(first, len(hashes) - 1)]
-    full = (first < len(hashes)) & ((value >> _U(64 - BINS.bit_length() + 1)) == np.arange(BINS, dtype=_U))
-    # a full bin comes first in its own order
-    source = np.where(full, np.arange(BINS), ORDERS[np.arange(BINS), full[ORDERS].argmax(1)])
-    rows = value[source].reshape(-1, BAND_ROWS)
-    h = _turns.copy()
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The least hash of each bin of a sorted non-empty set, empty bins densified."""
+    first = np.minimum(np.searchsorted(hashes, _edges), len(hashes) - 1)
+    value = hashes[first]
+    full = (value >> _SHIFT) == _bins
+    if not full.all():
+        empty = np.flatnonzero(~full)
+        orders = ORDERS[empty]
+        value[empty] = value[orders[np.arange(len(empty)), full[orders].argmax(1)]]
+    return value
+
+
+def bands(sets: list[np.ndarray]) -> np.ndarray:
+    """Bucket numbers of non-empty sets, a row for each set and a column for each band."""
+    rows = np.stack([signature(s) for s in sets]).reshape(len(sets), -1, BAND_ROWS)
+    h = np.broadcast_to(_turns, rows.shape[:2])
     for k in range(BAND_ROWS):
-        h = mixed((h ^ rows[:, k]) + _MIX[0])
+        h = mixed((h ^ rows[:, :, k]) + _MIX[0])
     return h.view(np.int64)
 
 
@@ -115,16 +144,16 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
-            n, digest, found = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text)
-                n.append(len(s))
-                digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                found.append(bands(s) if len(s) else np.zeros(0, np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            buckets = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), buckets], names=["doc_id", "n_shingles", "digest", "buckets"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                sets = shingle_sets(batch.column(1).to_pylist())
+                filled = [s for s in sets if len(s)]
+                digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                flat = bands(filled).ravel() if filled else np.zeros(0, np.int64)
+                ends = np.concatenate([[0], np.cumsum([BINS // BAND_ROWS if len(s) else 0 for s in sets])]).astype(np.int32)
+                buckets = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), buckets], names=["doc_id", "n_shingles", "digest", "buckets"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_shingles long, digest binary, buckets array<long>")
 
@@ -143,7 +172,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         def of(text: str) -> np.ndarray:
             if (s := kept.get(text)) is None:
-                kept[text] = s = shingles(text)
+                kept[text] = s = shingle_sets([text])[0]
                 if len(kept) > KEPT_SETS:
                     kept.popitem(last=False)
             else:
@@ -161,6 +190,104 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _shingled(texts: DataFrame) -> DataFrame:
+    """One row for each shingle of each node: texts' columns but the text, and shingle."""
+    kept = [c for c in texts.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                sets = shingle_sets(batch.column(0).to_pylist())
+                of = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+                flat = np.concatenate([np.zeros(0, _U), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), *[batch.column(k + 1).take(of) for k in range(len(kept))]], names=["shingle", *kept])
+
+    return texts.select("text", *kept).mapInArrow(run, "shingle long, " + ", ".join(f"{c} long" for c in kept))
+
+
+def _open_places(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Places (bucket, node, n, root, most) of buckets over several components, without nodes that no link can leave.
+
+    Only shingles found in several components can make a link between
+    components, and `most` counts them for each node outside its bucket's
+    largest component (NULL within it). Of a link's two sets that is at least
+    3/7 of both sizes together, so at least 3/4 of one's own.
+    """
+    at = shared.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    several = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    at = staged(at.join(several, "bucket", "left_semi"), "open-buckets")
+    largest = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("m")).select("bucket", F.col("m.root").alias("main"))
+    at = at.join(largest, "bucket").withColumn("outside", F.col("root") != F.col("main")).drop("main")
+    nodes = staged(at.groupBy("node").agg(F.min("root").alias("root"), F.max("outside").alias("outside")), "open-nodes")
+    own = texts.join(nodes, "node")
+    common = _shingled(own.select("text", "root")).groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
+    most = _shingled(own.where("outside").select("text", "node")).join(common, "shingle", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("most"))
+    at = at.join(staged(most, "open-shingles"), "node", "left").withColumn("most", F.when(F.col("outside"), F.coalesce("most", F.lit(0))))
+    return staged(at.where("not outside or 100 * most >= 75 * n").drop("outside"), "open-places")
+
+
+def _with_sets(texts: DataFrame) -> DataFrame:
+    """node and the bytes of its set, for texts (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                sets = [x.tobytes() for x in shingle_sets(batch.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def _linked_to(seekers: list[tuple], members: list[tuple]) -> tuple[list[int], list[int]]:
+    """Links between seekers and members (node, root, set) of other components."""
+    a: list[int] = []
+    b: list[int] = []
+    roots = np.array([m[1] for m in members])
+    nodes = np.array([m[0] for m in members])
+    sizes = np.array([len(m[2]) for m in members])
+    known, place = np.unique(np.concatenate([m[2] for m in members]), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    for node, root, own in seekers:
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        mine = np.zeros(len(known), np.int32)
+        mine[at[known[at] == own]] = 1
+        common = np.add.reduceat(mine[place], starts)
+        for other in nodes[(roots != root) & (100 * common >= PERCENT * (len(own) + sizes - common))].tolist():
+            a.append(min(node, other))
+            b.append(max(node, other))
+    return a, b
+
+
+def _hidden_links(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components within a bucket that no star has compared.
+
+    Every open class outside its bucket's largest component is held against
+    the bucket's classes, on full sets. The bucket is cut into blocks of
+    `BLOCK` classes, a task for each, so only found links leave a task and no
+    pair is ever a row.
+    """
+    places = _open_places(shared.where("members > 2").select("bucket", "node", "n"), labels, texts)
+    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.count("most").alias("open")).where("open > 0")
+    sizes = sizes.select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    cut = staged(places.join(sizes, "bucket"), "open-blocks")
+    members = cut.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "root", F.lit(False).alias("seeks"))
+    seekers = cut.where("most is not null").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "root", F.lit(True).alias("seeks"))
+    sets = staged(_with_sets(texts.join(cut.select("node").distinct(), "node", "left_semi")), "open-sets")
+
+    def compare(group: pa.Table) -> pa.Table:
+        rows = zip(*[group.column(c).to_pylist() for c in ("seeks", "node", "root", "shingles")], strict=True)
+        sides: dict[bool, list[tuple]] = {True: [], False: []}
+        for seeks, node, root, data in rows:
+            sides[seeks].append((node, root, np.frombuffer(data, _U)))
+        a, b = _linked_to(sides[True], sides[False]) if sides[True] and sides[False] else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = members.unionByName(seekers).join(sets, "node")
+    return rows.groupBy("bucket", "block").applyInArrow(compare, "a long, b long").distinct()
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
     signed = staged(signatures(docs, id_col, text_col), "signatures")
@@ -170,41 +297,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stars = places.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = staged(places.join(stars, "bucket").select("bucket", "node", "n", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"), "members"), "shared-buckets")
     fits = f"100 * least(n, centre_n) >= {PERCENT} * greatest(n, centre_n)"
-    pairs = shared.where(f"node <> centre and {fits}").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = staged(shared.where(f"node <> centre and {fits}").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
 
     ends = shared.select("node").distinct()
     wanted = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).where("text is not null").join(ends, "node", "left_semi")
     # repeated rows give one text
     texts = staged(wanted.groupBy("node", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).drop("h"), "candidate-texts")
 
-    compared = staged(pairs, "pairs")
-    links = staged(confirmed(compared, texts), "links")
+    links = staged(confirmed(pairs, texts), "links")
     labels = staged(components(links), "labels")
-    crowded = shared.where("members > 2").select("bucket", "node", "n")
-    used: DataFrame | None = None
-    while True:
-        at = crowded.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
-        open_buckets = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        at = staged(at.join(open_buckets, "bucket", "left_semi"), "open-buckets")
-        largest = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("m")).select("bucket", F.col("m.root").alias("main"))
-        outside = at.join(largest, "bucket").where("root <> main").drop("main")
-        if used is not None:
-            outside = outside.join(used, ["bucket", "node"], "left_anti")
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        centres = staged(outside.withColumn("turn", turn).where(F.col("turn") <= CENTRES).select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root")), "centres")
-        if centres.isEmpty():
-            break
-        new = at.join(centres, "bucket").where(f"root <> centre_root and {fits}").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        new = staged(new.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
-        now = centres.select("bucket", F.col("centre").alias("node"))
-        used = now if used is None else used.unionByName(now)
-        if new.isEmpty():
-            continue
-        found = staged(confirmed(new, texts), "links")
-        compared = compared.unionByName(new)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = staged(components(links), "labels")
+    hidden = staged(_hidden_links(shared, labels, texts), "hidden-links")
+    if not hidden.isEmpty():
+        labels = staged(components(links.unionByName(hidden)), "labels")
 
     named = classes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
     out = signed.drop("buckets").join(named, "digest", "left")
