@@ -57,8 +57,16 @@ def _size_listing_jobs(spark: SparkSession, conf: dict) -> None:
     spark.conf.set(LISTING_PARALLELISM, str(max(32, 4 * spark.sparkContext.defaultParallelism)))
 
 
+#: Scratch paths handed out by this process.
+_scratch: list[str] = []
+
+
 def close_session(spark: SparkSession) -> None:
-    """Stop the session (CLI use only; never inside a query)."""
+    """Remove this process's scratch tables and stop the session (CLI use only; never inside a query)."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        p.getFileSystem(conf).delete(p, True)
     spark.stop()
 
 
@@ -86,4 +94,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
