@@ -257,11 +257,12 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
 
     `daily` must hold one row per (key, day), as `latest_per_day` makes it.
 
-    Default form: one plan, no loop. When days are merged in ascending order
-    every day comes after all versions the earlier days made, so the fold
-    equals `extend_open` of the whole list: only the target's open rows of
-    the touched keys are replayed with the new days, closed rows pass through.
-    The per-day guard of `merge_day` is applied once, per (key, day), against
+    Default form: one plan, no loop, no join. When days are merged in ascending
+    order every day comes after all versions the earlier days made, so the
+    fold equals a build of the open rows, as snapshots of their start days,
+    with the whole list; an open row without new days comes out as it went in.
+    Closed rows pass through. The guard and the build share one exchange on
+    the key. The per-day guard of `merge_day` is applied once, per (key, day), against
     the target's open rows: a day older than the open version (or, under
     `changed_only`, the same day with other values) fails the job; the same
     day with the same values is a no-op. Under `append_all` any day not
@@ -278,28 +279,22 @@ def fold_days(target: DataFrame, daily: DataFrame, key: str, day: str, tracked:
     if mode not in (CHANGED_ONLY, APPEND_ALL):
         raise ValueError(f"unknown mode {mode!r}")
     attrs = [c for c in target.columns if c not in (key, START_COL, END_COL, CURRENT_COL)]
-    batch = daily.select(key, day, *attrs)
-    # Latest open version per key, with its tracked values (append_all may have
-    # several open rows; a grouped max is bounded by the key's open rows and
-    # combined map-side).
-    open_last = (
-        target.where(F.col(CURRENT_COL))
-        .groupBy(key)
-        .agg(F.max(F.struct(F.col(START_COL).alias("s"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tracked)]))
-             .alias("__o"))
-    )
-    j = batch.join(open_last, key, "left")
-    has_open = F.col("__o").isNotNull()
-    o_start = F.col("__o.s")
+    opened = target.where(F.col(CURRENT_COL)).select(key, F.col(START_COL).alias(day), *attrs, F.lit(True).alias("__open"))
+    both = opened.unionByName(daily.select(key, day, *attrs, F.lit(False).alias("__open")))
+    # the key's latest open version, with its tracked values (append_all may have several open rows)
+    latest = F.max(F.when(F.col("__open"), F.struct(F.col(day).alias("s"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(tracked)])))
+    both = both.withColumn("__o", latest.over(Window.partitionBy(key)))
+    new = ~F.col("__open") & F.col("__o").isNotNull()
     same_vals = ~null_safe_changed([F.col(f"__o.t{i}") for i in range(len(tracked))], [F.col(c) for c in tracked])
     if mode == CHANGED_ONLY:
-        bad = has_open & ((F.col(day) < o_start) | ((F.col(day) == o_start) & ~same_vals))
-        noop = has_open & (F.col(day) == o_start) & same_vals
+        bad = new & ((F.col(day) < F.col("__o.s")) | ((F.col(day) == F.col("__o.s")) & ~same_vals))
+        noop = new & (F.col(day) == F.col("__o.s")) & same_vals
     else:
-        bad = has_open & (F.col(day) <= o_start)
+        bad = new & (F.col(day) <= F.col("__o.s"))
         noop = F.lit(False)
-    guarded = j.where(_fail_when(bad, "late or re-delivered day with other values: use apply_days")).where(~noop)
-    return extend_open(target, guarded.select(key, day, *attrs), key, day, tracked, mode)
+    guarded = both.where(_fail_when(bad, "late or re-delivered day with other values: use apply_days")).where(~noop)
+    folded = build_history(guarded.select(key, day, *attrs), key, day, tracked, mode, attrs)
+    return target.where(~F.col(CURRENT_COL)).unionByName(folded.select(*target.columns))
 
 
 def _fold_stepwise(target: DataFrame, daily: DataFrame, key: str, day: str, tracked: list[str],
