@@ -13,9 +13,12 @@ at most classes times bands. Pairs are confirmed on full shingle sets, links
 are joined to components. A bucket whose classes then lie in several
 components may hide links between them. Only shingles found in several
 components can make such a link; counting them rules out nearly all classes.
-What is left outside a bucket's largest component is held against the bucket's
-classes on full sets, block by block within tasks. So stars bound the pairs,
-and no link within a bucket is lost.
+Buckets with more than a block of classes left repeat the star round with new
+centres, as long as that closes classes. What is left outside a bucket's
+largest component is held against the bucket's classes on full sets, in blocks
+of both sides, so a task holds two blocks at most. No link within a bucket is
+lost. Rounds cost a few pairs a class; classes that share their shingles but
+are near none still cost the square of their number over the block size.
 
 Defined results: NULL and blank texts have an empty set and are linked with
 nothing; rows with one id count as one document and share its verdict; a row
@@ -31,7 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronoset.llm.common import staged
@@ -41,8 +44,10 @@ SHINGLE = 5
 #: Least similarity in percent.
 PERCENT = 75
 BINS, BAND_ROWS = 128, 4
-#: Classes of a bucket that one task holds.
+#: Classes of a bucket that a task holds of either side.
 BLOCK = 1000
+#: Most star rounds over open classes, and the rounds in a row that may close less than a twentieth of them.
+STAR_ROUNDS, IDLE_ROUNDS = 12, 2
 HASHED_WORDS = 500_000
 KEPT_SETS = 64
 ROWS = 1024
@@ -207,14 +212,14 @@ def _shingled(texts: DataFrame) -> DataFrame:
 
 
 def _open_places(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Places (bucket, node, n, root, most) of buckets over several components, without nodes that no link can leave.
+    """Places (bucket, node, n, root, used, most) of buckets over several components, without nodes that no link can leave.
 
     Only shingles found in several components can make a link between
     components, and `most` counts them for each node outside its bucket's
     largest component (NULL within it). Of a link's two sets that is at least
     3/7 of both sizes together, so at least 3/4 of one's own.
     """
-    at = shared.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    at = shared.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "used")
     several = at.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
     at = staged(at.join(several, "bucket", "left_semi"), "open-buckets")
     largest = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("m")).select("bucket", F.col("m.root").alias("main"))
@@ -260,20 +265,79 @@ def _linked_to(seekers: list[tuple], members: list[tuple]) -> tuple[list[int], l
     return a, b
 
 
+def _parts(places: DataFrame) -> DataFrame:
+    """Components within buckets: size, places that are not used (a used place was a centre, so it has met its whole bucket), and of these the one with the most shared shingles."""
+    share = F.coalesce(F.col("most") / F.col("n"), F.lit(1.0))
+    best = F.max(F.when(~F.col("used"), F.struct(share.alias("share"), F.xxhash64("node").alias("tie"), "node", "n")))
+    return places.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"), F.count(F.when(~F.col("used"), 1)).alias("free"), best.alias("best"))
+
+
+def _seeking(parts: DataFrame) -> DataFrame:
+    """Buckets with links left to look for: the component `main`, outside which all unused places seek; `members` and `open` count the unused places and those that seek."""
+    buckets = parts.groupBy("bucket").agg(F.max(F.struct("free", "size", "root")).alias("m"), F.sum("free").alias("members"))
+    return buckets.select("bucket", F.col("m.root").alias("main"), "members", (F.col("members") - F.col("m.free")).alias("open")).where("open > 0")
+
+
+def _centres(parts: DataFrame, buckets: DataFrame) -> DataFrame:
+    """New centres of each bucket: of its main component, of the largest one outside, and the outside class with the most shared shingles."""
+    at = parts.where("free > 0").join(buckets.select("bucket", "main"), "bucket")
+    inside, node = F.col("root") == F.col("main"), (F.col("best.node").alias("centre"), F.col("best.n").alias("centre_n"), F.col("root").alias("centre_root"))
+    by_size, by_share = F.struct("size", "best", F.struct(*node).alias("c")), F.struct("best", "size", F.struct(*node).alias("c"))
+    picked = at.groupBy("bucket").agg(F.max(F.when(inside, by_size)).alias("x"), F.max(F.when(~inside, by_size)).alias("y"), F.max(F.when(~inside, by_share)).alias("z"))
+    return picked.select("bucket", F.inline(F.array("x.c", "y.c", "z.c"))).distinct()
+
+
+def _starred(places: DataFrame, texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Star rounds over buckets with more than a block of classes: the places left with their new roots, and the links found."""
+    links: list[DataFrame] = []
+    idle, before = 0, None
+    for _ in range(STAR_ROUNDS):
+        parts = staged(_parts(places), "star-parts")
+        buckets = staged(_seeking(parts).where(F.col("members") > BLOCK), "star-buckets")
+        left = buckets.agg(F.sum("open")).first()[0] or 0
+        idle = idle + 1 if before is not None and 20 * left > 19 * before else 0
+        if not left or idle >= IDLE_ROUNDS:
+            break
+        before = left
+        centres = staged(_centres(parts, buckets), "star-centres")
+        fits = f"100 * least(n, centre_n) >= {PERCENT} * greatest(n, centre_n)"
+        met = places.where("not used").join(centres, "bucket").where(f"root <> centre_root and {fits}")
+        pairs = staged(met.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "star-pairs")
+        found = staged(confirmed(pairs, texts), "star-links")
+        links.append(found)
+        root = places.select("node", "root").distinct()
+        joined = found.join(root.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(root.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
+        to = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("upper"))
+        was = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
+        moved = places.join(to, "root", "left").join(was, ["bucket", "node"], "left")
+        places = staged(moved.select("bucket", "node", "n", F.coalesce("upper", "root").alias("root"), (F.col("used") | F.coalesce("now", F.lit(False))).alias("used"), "most"), "open-places")
+    return places, links
+
+
+def _in_blocks(rows: DataFrame, total: str, name: str) -> DataFrame:
+    """Add the block of each row of a bucket, `BLOCK` rows at most, none numbered over the whole bucket."""
+    blocks = F.ceil(F.col(total) / BLOCK)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), blocks)).withColumn("blocks", blocks)
+    place = F.row_number().over(Window.partitionBy("bucket", "part").orderBy("node")) - 1
+    return rows.withColumn(name, (F.col("part") + F.col("blocks") * F.floor(place / BLOCK)).cast("long")).drop("part", "blocks")
+
+
 def _hidden_links(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between components within a bucket that no star has compared.
+    """Links (a, b) between components within a bucket that the first stars have not compared.
 
-    Every open class outside its bucket's largest component is held against
-    the bucket's classes, on full sets. The bucket is cut into blocks of
-    `BLOCK` classes, a task for each, so only found links leave a task and no
-    pair is ever a row.
+    After the star rounds every class that still seeks is held against the
+    bucket's classes, on full sets. Both sides are cut into blocks of at most
+    `BLOCK` classes, a group for each pair of blocks, so only found links leave
+    a task and no pair is ever a row.
     """
-    places = _open_places(shared.where("members > 2").select("bucket", "node", "n"), labels, texts)
-    sizes = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.count("most").alias("open")).where("open > 0")
-    sizes = sizes.select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    cut = staged(places.join(sizes, "bucket"), "open-blocks")
-    members = cut.select("bucket", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "root", F.lit(False).alias("seeks"))
-    seekers = cut.where("most is not null").select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "node", "root", F.lit(True).alias("seeks"))
+    used = (F.col("node") == F.col("centre")).alias("used")
+    places, links = _starred(_open_places(shared.where("members > 2").select("bucket", "node", "n", used), labels, texts), texts)
+    left = places.where("not used").join(_seeking(_parts(places)), "bucket").withColumn("seeks", F.col("root") != F.col("main"))
+    cut = staged(_in_blocks(left, "members", "block"), "open-blocks")
+    seekers = staged(_in_blocks(cut.where("seeks").drop("block"), "open", "seeker_block"), "open-seekers")
+    key = ["bucket", "seeker_block", "block"]
+    members = cut.select("bucket", "block", "node", "root").join(seekers.select("bucket", "seeker_block").distinct(), "bucket").select(*key, "node", "root", F.lit(False).alias("seeks"))
+    seekers = seekers.select("bucket", "seeker_block", "node", "root").join(cut.select("bucket", "block").distinct(), "bucket").select(*key, "node", "root", F.lit(True).alias("seeks"))
     sets = staged(_with_sets(texts.join(cut.select("node").distinct(), "node", "left_semi")), "open-sets")
 
     def compare(group: pa.Table) -> pa.Table:
@@ -285,7 +349,10 @@ def _hidden_links(shared: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     rows = members.unionByName(seekers).join(sets, "node")
-    return rows.groupBy("bucket", "block").applyInArrow(compare, "a long, b long").distinct()
+    found = rows.groupBy(*key).applyInArrow(compare, "a long, b long")
+    for more in links:
+        found = found.unionByName(more)
+    return found.distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -162,6 +162,51 @@ def test_hidden_links_are_found(spark, make):
     assert {got[r[0]] for r in rows} == {77} and all(got[r[0]] == r[0] for r in far)
 
 
+def edited(rnd, n, kept, of=400):
+    return [" ".join(f"w{k}" if rnd.random() < kept else f"x{i}-{k}" for k in range(of)) for i in range(n)]
+
+
+def seen_groups(monkeypatch):
+    """Rows of the largest group that a task of the block comparison loads, as they are made."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+
+    seen, apply = [], PandasGroupedOpsMixin.applyInArrow
+
+    def spy(self, func, schema):
+        key = [c for c in self._df.columns if c == "bucket" or "block" in c]
+        seen.append(self._df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return apply(self, func, schema)
+
+    for kind in (PandasGroupedOpsMixin, *PandasGroupedOpsMixin.__subclasses__()):
+        monkeypatch.setattr(kind, "applyInArrow", spy)
+    return seen
+
+
+def test_groups_of_open_classes_are_bounded(spark, make, monkeypatch):
+    """A hundred classes that share their shingles with others but are near none: without star rounds, blocks alone bound the groups."""
+    seen = seen_groups(monkeypatch)
+    monkeypatch.setattr(minhash, "BLOCK", 12)
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", 0, raising=False)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(edited(random.Random(8), 100, 0.95))]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(documents(spark, make(rows))).collect()}
+    assert len(set(got.values())) == 100
+    assert seen and 12 < max(seen) <= 24
+
+
+def test_star_rounds_close_a_hot_group(spark, make, monkeypatch):
+    """Copies near their base only, which has the largest id: the first star is a copy's, the next round finds the base."""
+    seen = seen_groups(monkeypatch)
+    monkeypatch.setattr(minhash, "BLOCK", 12)
+    copies = edited(random.Random(9), 100, 0.974)
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*copies, " ".join(f"w{k}" for k in range(400))])]
+    sets = [set(minhash.shingle_sets([r[1]])[0].tolist()) for r in rows]
+    near = [i for i in range(100) if 100 * len(sets[i] & sets[100]) >= 75 * len(sets[i] | sets[100])]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(documents(spark, make(rows))).collect()}
+    assert len(near) > 60 and len({got[i] for i in [*near, 100]}) == 1
+    assert seen and max(seen) <= 24
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rnd = random.Random(5)
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 400)] + [(500, 500)] + [(rnd.randint(600, 700), rnd.randint(600, 700)) for _ in range(60)]
