@@ -123,6 +123,31 @@ def test_compression_bands():
     assert quality.compression(prose[:9000] + (b"x" * 4096) * 4, compress)[2] in ("chunks", "repetitive")
 
 
+def test_encoded_text_is_incompressible():
+    import base64
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    rnd = random.Random(10)
+    for n in (128, 255, 300, 511, 700, 1023, 1500, 2047, 3000, 4095, 5000, 8191, 12000, 16383, 60000):
+        plain = base64.b64encode(rnd.randbytes(n)).decode()
+        for width, gap in ((76, "\n"), (20, " ")):
+            data = gap.join(plain[k : k + width] for k in range(0, len(plain), width))[:n].encode()
+            assert quality.compression(data, compress)[2] == "incompressible", (n, width)
+    # the last chunk counts, by the band of its own length
+    prose = " ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(800)).encode()[:4096]
+    last = base64.b64encode(rnd.randbytes(1500))
+    assert quality.compression(prose + last, compress)[1] == len(last) / (4096 + len(last))
+
+
+def test_kept_prose_stays_in_its_band(texts):
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    rows = [t for t in texts.values() if t and (m := quality.base_measures(t))[0] >= quality.MIN_WORDS and 100 * m[4] <= quality.MAX_REPEAT_PERCENT * m[0]]
+    assert len(rows) > 50 and all(quality.compression(t.encode(), compress)[2] != "incompressible" for t in rows)
+
+
 def test_near_groups_equal_brute_force(spark):
     texts = dict(duckdb.sql(f"select doc_id, text from '{SF01}/documents.parquet'").fetchall())
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
