@@ -1,13 +1,15 @@
 """License scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. One that holds an anchor (a word or phrase that license
+A paragraph is a line, or a window of 2 to 6 neighbouring short lines with
+their comment marks stripped, for notices wrapped over lines. One that holds an anchor (a word or phrase that license
 notices cannot do without) is a candidate; every other is unknown by
 definition. Candidates are sparse vectors of word 1- to 3-grams. A multinomial
 logistic regression with an L1 share, trained on notices and on look-alikes,
 names a family or the unknown class; a second logistic regression, fitted on
 held-out variants, turns the margin over the unknown class into a calibrated
-probability. A named family counts only if one of its templates is found in
-the paragraph by word trigrams.
+probability. Every family that scores enough counts if one of its templates is
+found in the paragraph by word trigrams that no better notice on these lines
+has used. A hit names the first line of its paragraph.
 
 All of it is column expressions and Spark's own feature and regression stages.
 Texts are read once; only candidates go on, as rows of a staged table.
@@ -58,6 +60,10 @@ LOOK_ALIKES = (
     "General questions about licenses should go to the legal team.", "Copyright infringement may lead to prosecution.", "The doctor is licensed in three states.",
 )
 BLANK = "\t\x0b\x0c\r"
+#: Comment marks and blanks around a line.
+MARKS, END_MARKS = r"^[\s/*#;%!<>|-]+", r"[\s*/#>|-]+$"
+#: Most lines of a wrapped notice, and most characters of each.
+WINDOW, WRAPPED = 6, 160
 CONFIRMED = 0.6
 LEAST = 0.6
 SMOOTH = {"regParam": 0.002, "elasticNetParam": 0.3, "maxIter": 60}
@@ -130,33 +136,66 @@ class Scanner:
         k = len(self.families)
         best = F.array_max(F.slice(raw, 1, k - 1))
         name = F.element_at(F.array(*[F.lit(f) for f in self.families]), F.array_position(F.slice(raw, 1, k - 1), best).cast("int"))
-        return self.model.transform(rows).withColumn("margin", best - F.element_at(raw, k)).withColumn("named", name).drop("features", "rawPrediction", "probability", "prediction")
+        margins = F.transform(F.slice(raw, 1, k - 1), lambda m: m - F.element_at(raw, k))
+        return self.model.transform(rows).withColumn("margin", best - F.element_at(raw, k)).withColumn("margins", margins).withColumn("named", name).drop("features", "rawPrediction", "probability", "prediction")
 
-    def classified(self, paragraphs: DataFrame) -> DataFrame:
-        """Paragraphs (text and more) with family, score and similarity; unknown where nothing is named or confirmed."""
-        scored = self._scored(grams(paragraphs)).withColumn("score", 1 / (1 + F.exp(-(F.lit(self.slope) * F.col("margin") + F.lit(self.offset)))))
-        joined = scored.join(F.broadcast(self.templates), "named")
-        mine = F.concat("trigrams", "grams")
-        alike = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, mine)) / F.size(F.array_distinct(t))))
-        sure = (F.col("score") >= LEAST) & (F.col("similarity") >= CONFIRMED)
-        return joined.withColumn("similarity", alike).withColumn("family", F.when(sure, F.col("named")).otherwise(F.lit(UNKNOWN))).drop("templates", "grams", "trigrams", "margin")
+    def classified(self, units: DataFrame) -> DataFrame:
+        """Units (rid, line, n_lines, text) with a row for each family that scores enough and for the best one: score, similarity, the template's trigrams found (`matched`) and their number in the template (`wanted`)."""
+        scored = self._scored(grams(units)).drop("text", "margin").withColumnRenamed("named", "best")
+        scores = F.transform("margins", lambda m, i: F.struct(F.element_at(F.array(*[F.lit(f) for f in self.families]), i + 1).alias("named"), (1 / (1 + F.exp(-(F.lit(self.slope) * m + F.lit(self.offset))))).alias("score")))
+        each = scored.withColumn("scores", scores).select("rid", "line", "n_lines", "best", F.concat("trigrams", "grams").alias("mine"), F.inline(F.filter("scores", lambda x: (x["score"] >= LEAST) | (x["named"] == F.col("best")))))
+        joined = each.join(F.broadcast(self.templates), "named")
+        found = F.transform("templates", lambda t: F.struct((F.size(F.array_intersect(t, F.col("mine"))) / F.size(F.array_distinct(t))).alias("similarity"), F.size(F.array_distinct(t)).alias("wanted"), F.array_intersect(t, F.col("mine")).alias("matched")))
+        return joined.withColumn("m", F.array_max(found)).select("rid", "line", "n_lines", "named", "best", "score", "m.similarity", "m.wanted", "m.matched")
+
+
+def _windows(text: Column) -> Column:
+    """Windows (line, n_lines, text) of 2 to `WINDOW` neighbouring short lines that hold an anchor, comment marks stripped."""
+    bare = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, MARKS, ""), END_MARKS, ""))
+    one = F.transform(bare, lambda x, i: F.struct(i.alias("at"), F.concat_ws(" ", x, F.get(bare, i + 1)).alias("text")))
+    anchors = F.transform(F.filter(one, lambda x: has_anchor(x["text"])), lambda x: x["at"])
+    starts = F.array_distinct(F.flatten(F.transform(anchors, lambda a: F.sequence(F.greatest(a - WINDOW + 1, F.lit(0)), a))))
+    cut = F.flatten(F.transform(starts, lambda s: F.transform(F.sequence(F.lit(2), F.lit(WINDOW)), lambda w: F.struct(s.alias("line"), w.alias("n_lines"), F.slice(bare, s + 1, w).alias("lines")))))
+    whole = F.filter(cut, lambda c: (F.size(c["lines"]) == c["n_lines"]) & F.forall(c["lines"], lambda x: (F.length(x) > 0) & (F.length(x) <= WRAPPED)))
+    return F.filter(F.transform(whole, lambda c: F.struct(c["line"].alias("line"), c["n_lines"].alias("n_lines"), F.array_join(c["lines"], " ").alias("text"))), lambda c: has_anchor(c["text"]))
+
+
+def _accepted(found: Column) -> Column:
+    """Confirmed notices of a document, best first, that share no line with one of the same family, nor the evidence of another."""
+    order = F.transform(F.filter(found, lambda h: (h["score"] >= LEAST) & (h["similarity"] >= CONFIRMED)), lambda h: F.struct((-h["similarity"]).alias("a"), (-h["wanted"]).alias("b"), h["n_lines"].alias("c"), h["line"].alias("d"), h["named"].alias("e"), h.alias("h")))
+    ranked = F.transform(F.array_sort(order), lambda x: x["h"])
+
+    def add(taken: Column, h: Column) -> Column:
+        near = F.filter(taken, lambda t: (t["line"] < h["line"] + h["n_lines"]) & (h["line"] < t["line"] + t["n_lines"]))
+        left = F.size(F.array_except(h["matched"], F.flatten(F.transform(near, lambda t: t["matched"]))))
+        new = ~F.exists(near, lambda t: t["named"] == h["named"]) & (left >= CONFIRMED * h["wanted"])
+        return F.when(new, F.concat(taken, F.array(h))).otherwise(taken)
+
+    return F.aggregate(ranked, F.filter(ranked, lambda _: F.lit(False)), add)
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_paragraphs, n_candidates, hits array<struct<line, family, named, score, similarity>> by line from 0."""
+    """One row per input row: doc_id, n_paragraphs, n_candidates, hits array<struct<line, family, named, score, similarity>> by first line from 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
+    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), F.lit(1).alias("n_lines"), x.alias("text")))
     candidates = F.filter(numbered, lambda x: has_anchor(x["text"]))
-    none = F.array().cast("array<struct<line:int,text:string>>")
+    none = F.array().cast("array<struct<line:int,n_lines:int,text:string>>")
+    some = has_anchor(F.translate(text, "\n", " "))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.monotonically_increasing_id().alias("rid"),
         F.size(F.filter(F.split(text, "\n"), lambda x: F.ltrim(F.translate(x, BLANK, " " * len(BLANK))) != "")).alias("n_paragraphs"),
-        F.when(has_anchor(text), candidates).otherwise(none).alias("candidates"),
+        F.when(some, candidates).otherwise(none).alias("candidates"),
+        F.when(some, _windows(text)).otherwise(none).alias("windows"),
     )
     rows = staged(rows, "license-candidates")
-    found = Scanner(docs.sparkSession).classified(rows.where(F.size("candidates") > 0).select("rid", F.inline("candidates")))
-    hit = F.struct("line", "family", "named", "score", "similarity")
-    hits = found.groupBy("rid").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
+    units = F.concat("candidates", "windows")
+    found = Scanner(docs.sparkSession).classified(rows.where(F.size(units) > 0).select("rid", F.inline(units)))
+    every = F.collect_list(F.struct("line", "n_lines", "named", "best", "score", "similarity", "wanted", "matched"))
+    found = found.groupBy("rid").agg(every.alias("found")).withColumn("taken", _accepted(F.col("found")))
+    sure = F.transform("taken", lambda h: F.struct(h["line"].alias("line"), h["named"].alias("family"), h["named"].alias("named"), h["score"].alias("score"), h["similarity"].alias("similarity")))
+    lone = F.filter("found", lambda h: (h["n_lines"] == 1) & (h["named"] == h["best"]) & ~F.exists("taken", lambda t: (t["line"] <= h["line"]) & (h["line"] < t["line"] + t["n_lines"])))
+    other = F.transform(lone, lambda h: F.struct(h["line"].alias("line"), F.lit(UNKNOWN).alias("family"), h["named"].alias("named"), h["score"].alias("score"), h["similarity"].alias("similarity")))
+    hits = found.select("rid", F.array_sort(F.concat(sure, other)).alias("hits"))
     empty = F.array().cast("array<struct<line:int,family:string,named:string,score:double,similarity:double>>")
     return rows.join(hits, "rid", "left").select("doc_id", F.col("n_paragraphs").cast("long").alias("n_paragraphs"), F.size("candidates").cast("long").alias("n_candidates"), F.coalesce("hits", empty).alias("hits"))

@@ -362,3 +362,19 @@ def test_license_lines_of_the_table(spark, texts):
     lines = {"This work is licensed under the GNU General Public License, version 3.": "gpl", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under the Apache License, Version 2.0.": "apache"}
     for r in QUERIES["op3_license_scan"](spark, SF).collect():
         assert r["lines"] == ",".join(f"{k}:{lines[x]}" for k, x in enumerate(texts[r["doc_id"]].split("\n")) if x in lines)
+
+
+def test_wrapped_notices_are_found(spark, make):
+    import textwrap
+
+    rows, want = [], {}
+    for family, own in licenses.TEMPLATES.items():
+        for t in own:
+            for width, mark in ((70, "# "), (78, " * "), (74, "// "), (40, "")):
+                lines = textwrap.wrap(t, width)
+                if len(lines) > 1:
+                    want[len(rows)] = family
+                    rows.append((len(rows), "\n".join(["int x;", "", *[mark + x for x in lines], "", "int y;"]), "en", "s", 1))
+    got = {r["doc_id"]: [(h["line"], h["family"]) for h in r["hits"] if h["family"] != licenses.UNKNOWN] for r in licenses.scanned(documents(spark, make(rows))).collect()}
+    right = sum(len(got[i]) == 1 and got[i][0][1] == f for i, f in want.items())
+    assert len(want) > 20 and right >= 0.95 * len(want), [(rows[i][1], f, got[i]) for i, f in want.items() if [x[1] for x in got[i]] != [f]]
