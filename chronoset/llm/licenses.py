@@ -1,6 +1,6 @@
 """License scans: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line, or a window of 2 to 6 neighbouring short lines with
+A paragraph is a line, a sentence of one, or a window of 2 to 6 neighbouring short lines with
 their comment marks stripped, for notices wrapped over lines. One that holds an anchor (a word or phrase that license
 notices cannot do without) is a candidate; every other is unknown by
 definition. Candidates are sparse vectors of word 1- to 3-grams. A multinomial
@@ -32,11 +32,11 @@ from chronoset.llm.common import staged
 
 UNKNOWN = "unknown"
 #: Phrases, lower case: a paragraph without any of them is no candidate.
-ANCHORS = ("licen", "copyright", "spdx", "warrant", "public domain", "creative commons", "redistribut", "permission is hereby", "cc by", "cc-by", "cc0", "gpl")
+ANCHORS = ("licen", "copyright", "spdx", "warrant", "public domain", "creative commons", "redistribut", "permission is hereby", "cc by", "cc-by", "cc0", "gpl", "apache 2", "apache-2", "apache v", "the apache", "the mit", "under mit", "the bsd", "under bsd", "the isc", "under isc", "mozilla public", "the mpl", "under mpl", "mpl-2", "mpl 2")
 #: Fixed wording of common notices.
 TEMPLATES = {
     "agpl": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", "Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"),
-    "apache": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    "apache": ("Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "SPDX-License-Identifier: Apache-2.0", "Released under Apache 2.0."),
     "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "Released under the BSD License.", "SPDX-License-Identifier: BSD-3-Clause"),
     "cc0": ("To the extent possible under law, the author has dedicated all copyright and related rights to this work to the public domain under CC0.", "This work is released under CC0 1.0 Universal.", "SPDX-License-Identifier: CC0-1.0"),
     "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"),
@@ -45,7 +45,7 @@ TEMPLATES = {
     "gpl": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "Released under the GNU GPL version 2 or later.", "SPDX-License-Identifier: GPL-3.0-or-later"),
     "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Released under the ISC License.", "SPDX-License-Identifier: ISC"),
     "lgpl": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "Licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only"),
-    "mit": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "This project is licensed under the MIT License.", "SPDX-License-Identifier: MIT"),
+    "mit": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "This project is licensed under the MIT License.", "SPDX-License-Identifier: MIT", "Distributed under the terms of the MIT License."),
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"),
 }
 #: Sentences with an anchor that grant nothing.
@@ -62,6 +62,8 @@ LOOK_ALIKES = (
 BLANK = "\t\x0b\x0c\r"
 #: Comment marks and blanks around a line.
 MARKS, END_MARKS = r"^[\s/*#;%!<>|-]+", r"[\s*/#>|-]+$"
+#: Between sentences of a line.
+SENTENCE = r"(?<=[.!?;])\s+"
 #: Most lines of a wrapped notice, and most characters of each.
 WINDOW, WRAPPED = 6, 160
 CONFIRMED = 0.6
@@ -166,7 +168,8 @@ def _accepted(found: Column) -> Column:
     ranked = F.transform(F.array_sort(order), lambda x: x["h"])
 
     def add(taken: Column, h: Column) -> Column:
-        near = F.filter(taken, lambda t: (t["line"] < h["line"] + h["n_lines"]) & (h["line"] < t["line"] + t["n_lines"]))
+        end = lambda x: x["line"] + F.greatest(x["n_lines"], F.lit(1))
+        near = F.filter(taken, lambda t: (t["line"] < end(h)) & (h["line"] < end(t)))
         left = F.size(F.array_except(h["matched"], F.flatten(F.transform(near, lambda t: t["matched"]))))
         new = ~F.exists(near, lambda t: t["named"] == h["named"]) & (left >= CONFIRMED * h["wanted"])
         return F.when(new, F.concat(taken, F.array(h))).otherwise(taken)
@@ -177,9 +180,16 @@ def _accepted(found: Column) -> Column:
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_paragraphs, n_candidates, hits array<struct<line, family, named, score, similarity>> by first line from 0."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    none = F.array().cast("array<struct<line:int,n_lines:int,text:string>>")
+
+    def sentences(x: Column) -> Column:
+        cut = F.split(x["text"], SENTENCE)
+        # a sentence that is the whole line is there already
+        own = F.filter(F.transform(cut, lambda t: F.struct(x["line"].alias("line"), F.lit(0).alias("n_lines"), t.alias("text"))), lambda y: has_anchor(y["text"]))
+        return F.when(F.size(cut) > 1, own).otherwise(none)
+
     numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), F.lit(1).alias("n_lines"), x.alias("text")))
     candidates = F.filter(numbered, lambda x: has_anchor(x["text"]))
-    none = F.array().cast("array<struct<line:int,n_lines:int,text:string>>")
     some = has_anchor(F.translate(text, "\n", " "))
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -189,12 +199,12 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.when(some, _windows(text)).otherwise(none).alias("windows"),
     )
     rows = staged(rows, "license-candidates")
-    units = F.concat("candidates", "windows")
+    units = F.concat("candidates", F.flatten(F.transform("candidates", sentences)), "windows")
     found = Scanner(docs.sparkSession).classified(rows.where(F.size(units) > 0).select("rid", F.inline(units)))
     every = F.collect_list(F.struct("line", "n_lines", "named", "best", "score", "similarity", "wanted", "matched"))
     found = found.groupBy("rid").agg(every.alias("found")).withColumn("taken", _accepted(F.col("found")))
     sure = F.transform("taken", lambda h: F.struct(h["line"].alias("line"), h["named"].alias("family"), h["named"].alias("named"), h["score"].alias("score"), h["similarity"].alias("similarity")))
-    lone = F.filter("found", lambda h: (h["n_lines"] == 1) & (h["named"] == h["best"]) & ~F.exists("taken", lambda t: (t["line"] <= h["line"]) & (h["line"] < t["line"] + t["n_lines"])))
+    lone = F.filter("found", lambda h: (h["n_lines"] == 1) & (h["named"] == h["best"]) & ~F.exists("taken", lambda t: (t["line"] <= h["line"]) & (h["line"] < t["line"] + F.greatest(t["n_lines"], F.lit(1)))))
     other = F.transform(lone, lambda h: F.struct(h["line"].alias("line"), F.lit(UNKNOWN).alias("family"), h["named"].alias("named"), h["score"].alias("score"), h["similarity"].alias("similarity")))
     hits = found.select("rid", F.array_sort(F.concat(sure, other)).alias("hits"))
     empty = F.array().cast("array<struct<line:int,family:string,named:string,score:double,similarity:double>>")

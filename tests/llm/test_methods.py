@@ -378,3 +378,18 @@ def test_wrapped_notices_are_found(spark, make):
     got = {r["doc_id"]: [(h["line"], h["family"]) for h in r["hits"] if h["family"] != licenses.UNKNOWN] for r in licenses.scanned(documents(spark, make(rows))).collect()}
     right = sum(len(got[i]) == 1 and got[i][0][1] == f for i, f in want.items())
     assert len(want) > 20 and right >= 0.95 * len(want), [(rows[i][1], f, got[i]) for i, f in want.items() if [x[1] for x in got[i]] != [f]]
+
+
+def test_lines_with_several_notices_keep_all(spark, make):
+    prose = "The harbour was quiet and the boats lay still. " * 30
+    want = {
+        "Licensed under the Apache License, Version 2.0. Released under the MIT License.": ["apache", "mit"],
+        f"{prose}Released under the BSD License. {prose}Licensed under CC BY-SA 4.0. {prose}Released under the ISC License. {prose}": ["bsd", "cc-by-sa", "isc"],
+        "Released under Apache 2.0": ["apache"],
+        "It is distributed under the terms of the MIT": ["mit"],
+        "This project is licensed under the MIT License and licensed under the Apache License, Version 2.0.": ["apache", "mit"],
+        "Licensed under CC BY-NC 4.0.": ["cc-by-nc"],
+    }
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(want)]
+    got = {r["doc_id"]: sorted(h["family"] for h in r["hits"] if h["family"] != licenses.UNKNOWN) for r in licenses.scanned(documents(spark, make(rows))).collect()}
+    assert got == dict(enumerate(want.values()))
