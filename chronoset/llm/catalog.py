@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, periodic, pii, quality, sentencepieces, sharding
 from chronoset.llm.common import documents, staged
 
 
@@ -73,6 +73,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(docs.drop("lang"), language_id.fitted(docs), keep_text=False)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.planted(documents(spark, sf_dir).select("doc_id", "text"))
+    return periodic.digests(periodic.collapsed(docs, keep_text=False))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_kd_sharding": op8_kd_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE = {
