@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, periodic, pii, quality, sentencepieces, sharding
+from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, periodic, pii, quality, sentencepieces, sharding, variants
 from chronoset.llm.common import documents, staged
 
 
@@ -78,6 +78,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.collapsed(docs, keep_text=False))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_groups(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_dedup": op2_exact_dedup,
@@ -90,6 +94,7 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_language_id": op10_language_id,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {
@@ -131,4 +136,37 @@ ORACLE = {
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, rid) = 1 AS kept, text_sha256
         FROM d
     """,
+    # crc32 by its byte table; near words by wildcards (a letter replaced) and by deletion, form chains by recursion
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE steps AS (
+            SELECT i, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(256) r(i)),
+        crc AS (SELECT list(v ORDER BY i) AS t FROM steps),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL),
+        sums AS (SELECT run, times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+        hashed AS (
+            SELECT run, times, xor(list_reduce(list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+                                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+            FROM sums, crc),
+        words AS MATERIALIZED (
+            SELECT CASE WHEN h % 199 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(times)::BIGINT AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5),
+        places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+        cut AS MATERIALIZED (SELECT word, n, i, word[1:i - 1] AS l, word[i + 1:] AS r FROM places),
+        near AS MATERIALIZED (
+            SELECT a.word AS a, b.word AS b, b.n AS b_n FROM cut a JOIN cut b ON a.i = b.i AND a.l = b.l AND a.r = b.r AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.l || a.r = b.word
+            UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.l || a.r = b.word),
+        best AS (SELECT a AS word, count(*) AS n_near, min((-b_n, b)) AS m FROM near GROUP BY a),
+        forms AS MATERIALIZED (
+            SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -m[1] >= 5 * n THEN m[2] END AS form, CASE WHEN -m[1] >= 5 * n THEN -m[1] END AS form_n
+            FROM words LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, word AS root, 0 AS step FROM forms
+            UNION ALL SELECT chain.word, forms.form, step + 1 FROM chain JOIN forms ON forms.word = chain.root WHERE forms.form IS NOT NULL),
+        roots AS (SELECT word, max_by(root, step) AS root FROM chain GROUP BY word)
+        SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM forms JOIN roots USING (word)
+    """,
 }
