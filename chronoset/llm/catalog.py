@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, periodic, pii, quality, sentencepieces, sharding, variants
+from chronoset.llm import exact_dedup, language_id, licenses, line_dedup, minhash, mixing, periodic, pii, quality, sentencepieces, sharding, toxicity, variants
 from chronoset.llm.common import documents, staged
 
 
@@ -73,6 +73,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(docs.drop("lang"), language_id.fitted(docs), keep_text=False)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rows = toxicity.scored(docs, toxicity.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), keep_text=False)
+    return rows.select("doc_id", (~toxicity.learnable()).alias("held_out"), "score", "predicted")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic.planted(documents(spark, sf_dir).select("doc_id", "text"))
     return periodic.digests(periodic.collapsed(docs, keep_text=False))
@@ -93,6 +99,7 @@ QUERIES = {
     "op8_kd_sharding": op8_kd_sharding,
     "op9_personal_data": op9_personal_data,
     "op10_language_id": op10_language_id,
+    "op11_toxicity": op11_toxicity,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_spelling_variants": op13_spelling_variants,
 }

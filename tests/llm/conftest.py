@@ -13,11 +13,12 @@ TABLES = ["documents"]
 
 @pytest.fixture(scope="session")
 def make(spark, tmp_path_factory):
-    """make(rows, **extra columns) writes a small documents table and gives its folder."""
+    """make(rows, labels=...) writes a small documents table and its labels and gives their folder."""
 
-    def write(rows, schema="doc_id long, text string, lang string, source string, n_chars long"):
+    def write(rows, schema="doc_id long, text string, lang string, source string, n_chars long", labels=()):
         path = str(tmp_path_factory.mktemp("docs"))
         spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
         return path
 
     return write
