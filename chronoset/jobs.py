@@ -3,13 +3,16 @@
 All share one batch of steps, made safe to repeat:
 
 1. the batch's files are fixed: by an intent table, written before anything
-   else (batch), or by the stream's checkpoint;
+   else (batch), or by the stream's checkpoint. A batch takes the listed files
+   that are new, and those whose length or modification time differ from what
+   was loaded: a corrected file is loaded again;
 2. the rows are parsed once and staged with the reason, if any, why a row
    cannot be used (broken line, missing id, key or timestamp);
 3. the quality gate reads two staged columns and raises, skips, or, with
    `on_fail="quarantine"`, judges the good rows only;
-4. facts go to the batch's own folder, bad rows to the quarantine, profiles
-   into the history (which skips a batch it has committed);
+4. facts go to their dates' folders, in a part of the batch's own, bad rows to
+   the quarantine, profiles into the history (which skips a batch it has
+   committed, and takes back what a corrected file no longer says);
 5. the ledger gets a row per file. It is the commit: facts count once their
    file's row is there, and of a file delivered again only the last delivery;
 6. the files are archived, the staged rows and the intent removed.
@@ -23,6 +26,7 @@ query, so batches and streams, old checkpoints and new, never meet.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -33,13 +37,16 @@ from chronoset import schemas
 from chronoset.functions.scalar import amount_decimal, file_date, parse_raw_timestamp
 from chronoset.operators import quality, scd2
 from chronoset.sinks import writers
-from chronoset.sinks.ledger import Ledger, next_number
+from chronoset.sinks.dimension import Dimension
+from chronoset.sinks.ledger import PRINT, Ledger, next_number
 from chronoset.sources import files, json_scan
-from chronoset.streaming.history import HistoryStream
+from chronoset.streaming.history import FILE, HistoryStream
 from chronoset.streaming.ingest import drained, file_stream, query_id
 
 BATCH_RUN = "batch"
 REASON = "_reason"
+#: Rows up to which any day of a batch may be written by one task.
+SMALL_BATCH = 1_000_000
 
 
 @dataclass
@@ -76,10 +83,11 @@ class FeedConfig:
             F.to_date(self.ts_col).alias(self.day),
             F.col(self.ts_col), F.col(self.id_col),
             *[F.col(f"{self.struct_name}.{a}").alias(a) for a in self.attrs],
+            F.col("file_name").alias(FILE),
         )
 
     def facts(self, rows: DataFrame) -> DataFrame:
-        cols = self.fact_cols or [c for c in rows.columns if c not in (self.struct_name, "file_name", "file_date") and not c.startswith("_")]
+        cols = self.fact_cols or [c for c in rows.columns if c not in (self.struct_name, "file_name", "file_date", *PRINT) and not c.startswith("_")]
         return rows.select(*cols, F.col(f"{self.struct_name}.{self.key}").alias(self.key),
                            F.to_date(self.ts_col).alias(self.fact_day), "file_name")
 
@@ -114,6 +122,7 @@ class Layout:
         base = base.rstrip("/")
         self.fact, self.history, self.ledger = f"{base}/fact", f"{base}/history", f"{base}/_ledger"
         self.intents, self.stage, self.quarantine = f"{base}/_intents", f"{base}/_stage", f"{base}/quarantine"
+        self.compaction = f"{base}/_compaction"
 
 
 def _history(spark: SparkSession, lay: Layout, cfg: FeedConfig) -> HistoryStream:
@@ -126,7 +135,9 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
     """Steps 2 to 5 for rows with file_name and file_date. `listed` names the batch's files, else those that have rows."""
     name = f"{run}~{number}"
     stage = f"{lay.stage}/{name}"
-    cfg.checked(raw).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
+    if writers.path_exists(spark, stage):
+        _drop_part(spark, lay, cfg, name)
+    staged = writers.write_counted(cfg.checked(raw), stage, "overwrite", options={"partitionOverwriteMode": "static"})
     rows = spark.read.parquet(stage)
     good = rows.where(F.col(REASON).isNull())
     lenient = on_fail == "quarantine"
@@ -138,36 +149,53 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
     kept = F.coalesce(F.col(json_scan.CORRUPT), F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("_")])))
     bad_rows = writers.write_counted(bad.select("file_name", "file_date", F.col(REASON).alias("reason"), kept.alias("line")),
                                      f"{lay.quarantine}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
-    # files by volume, not by date: sorted, their row groups still name their dates for a filter
-    facts = cfg.facts(good).hint("rebalance").sortWithinPartitions(cfg.fact_day)
-    fact_rows = writers.write_counted(facts, f"{lay.fact}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
+    # a folder a date, in it a part a batch
+    facts = cfg.facts(good).withColumn("token", F.lit(name)).withColumn("part", F.lit(name))
+    # a hot day is split at run time; in a small batch no day is hot, and many small days keep all tasks busy
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    facts = facts.repartition(width, cfg.fact_day) if staged < SMALL_BATCH else facts.hint("rebalance", cfg.fact_day)
+    fact_rows = writers.load_append(facts, lay.fact, [cfg.fact_day, "part"])
+    prints = [c for c in PRINT if c in (rows if listed is None else listed).columns]
+    given = (rows.select("file_name", "file_date", *prints) if listed is None else listed.select("file_name", "file_date", *prints)).distinct()
     hist = _history(spark, lay, cfg)
-    hist.process(cfg.flat_profiles(good), number, run)
-    per_file = good.groupBy("file_name", "file_date").agg(F.count(F.lit(1)).alias("rows"))
-    if listed is not None:
-        per_file = listed.select("file_name", "file_date").join(per_file.drop("file_date"), "file_name", "left")
-    else:
-        per_file = rows.select("file_name", "file_date").distinct().join(per_file.drop("file_date"), "file_name", "left")
+    hist.process(cfg.flat_profiles(good), number, run, given.select(F.col("file_name").alias(FILE)))
+    per_file = given.join(good.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")), "file_name", "left")
     # only batch runs have a label
     Ledger(spark, lay.ledger).record(per_file, label, token=name)
     writers.delete_path(spark, stage)
-    return {"status": "done", "fact_rows": fact_rows, "quarantined": bad_rows, "dimension_version": hist.store.version()}
+    return {"status": "done", "fact_rows": fact_rows, "quarantined": bad_rows, "dimension_version": hist.dimension.version()}
+
+
+def _drop_part(spark: SparkSession, lay: Layout, cfg: FeedConfig, name: str) -> None:
+    """Facts that an earlier attempt of this batch left: its staged rows are still there."""
+    for day in writers.list_dirs(spark, lay.fact):
+        writers.delete_path(spark, f"{lay.fact}/{day}/part={name}")
 
 
-def _read_listed(spark: SparkSession, cfg: FeedConfig, root, listed: DataFrame) -> DataFrame:
-    """Rows of the listed files.
+def _read_listed(spark: SparkSession, cfg: FeedConfig, listed: DataFrame) -> DataFrame:
+    """Rows of the listed files, none of the days between.
 
-    The root is read with a filter on the dates of folders or file names, which
-    Spark applies to the listing, and joined to the list, so no path list is
-    built.
+    The feed's root is read, not a path list. Under dated folders it is joined
+    to the dates of the list, which are broadcast (days of a calendar) and
+    prune the folders at run time; files that carry their date in their names
+    only are pruned by those dates at planning. Then the file names decide.
     """
-    raw = json_scan.read_json(spark, root, json_scan.as_struct(cfg.schema), with_file=False)
-    span = listed.agg(F.min("file_date").alias("lo"), F.max("file_date").alias("hi"), F.count_if(F.col("file_date").isNull()).alias("n")).first()
-    if not span["n"]:
-        inside = _file_date(raw).between(F.lit(span["lo"]), F.lit(span["hi"]))
-        raw = raw.where(F.coalesce(inside, F.lit(True)))
-    raw = raw.withColumn("file_name", F.col("_metadata.file_path")).drop("file_date")
-    return raw.join(listed.select("file_name", "file_date"), "file_name")
+    roots, nested = _roots(listed)
+    raw = json_scan.read_json(spark, roots, json_scan.as_struct(cfg.schema), with_file=False,
+                              options={"recursiveFileLookup": "true"} if nested else None)
+    raw = raw.withColumn("file_name", F.col("_metadata.file_path"))
+    dates = listed.select("file_date").distinct()
+    if "file_date" in raw.columns:
+        # "is at least the first" makes the list a selective side, which pruning at run time asks for
+        first = dates.agg(F.min("file_date")).first()[0]
+        if first is not None and listed.where("file_date is null").isEmpty():
+            typed = dates.where(F.col("file_date") >= F.lit(first)).select(F.col("file_date").cast(raw.schema["file_date"].dataType).alias("file_date"))
+            raw = raw.join(F.broadcast(typed), "file_date", "left_semi")
+    else:
+        days = [r[0] for r in dates.collect()]
+        if None not in days:
+            raw = raw.where(file_date(F.col("_metadata.file_name")).isin(days))
+    return raw.drop("file_date").join(listed.select("file_name", "file_date"), "file_name")
 
 
 def _file_date(rows: DataFrame) -> Column:
@@ -176,24 +204,33 @@ def _file_date(rows: DataFrame) -> Column:
     return F.coalesce(F.col("file_date").cast("date"), named) if "file_date" in rows.columns else named
 
 
-def _root_of(manifest: DataFrame) -> list[str]:
-    """Folders of the feed: the listed paths up to their dated folders; one for each feed, not for each day."""
-    folder = F.regexp_replace(F.col("file_name"), r"(/[^/=]+=[^/]+)*/[^/]+$", "")
-    return [r[0] for r in manifest.select(folder.alias("f")).distinct().collect()]
+def _roots(listed: DataFrame) -> tuple[list[str], bool]:
+    """Folders of the feeds, one for each feed, not for each day; and whether plain dated folders lie below them.
+
+    Folders like `file_date=2025-01-01`, `2025-01-01` or `2025/01/01` belong to
+    the files.
+    """
+    folder = F.regexp_replace(F.col("file_name"), r"(/([^/=]+=[^/]+|[0-9]{4}(-[0-9]{2}){0,2}|[0-9]{2}))*/[^/]+$", "")
+    plain = F.regexp_extract(F.substring(F.col("file_name"), F.length(folder) + 1, 4096), r"^((/[0-9-]+)+)/[^/]+$", 1) != ""
+    rows = listed.groupBy(folder.alias("f")).agg(F.max(plain).alias("nested")).collect()
+    return [r["f"] for r in rows], any(r["nested"] for r in rows)
 
 
 def run_batch(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: str, batch_id: int,
               on_fail: str = "raise", archive_dir: str | None = None) -> dict:
-    """Process every manifest file not yet in the ledger as one batch.
+    """Process every manifest file that is new or changed since it was loaded, as one batch.
 
-    `manifest` has `path` (as `files.list_files` gives it) and `file_date`.
+    `manifest` has `path` and `file_date` and, for changes to be seen, `length`
+    and `modified`, as `files.manifest` gives them. Of a file that changed the
+    last delivery counts: its facts and profiles replace the former ones.
     `batch_id` is a label, in any order: a label in the ledger is not run
-    again. A batch that an earlier run left open is finished first. No row
-    and no path list reaches the driver; an archive moves file by file.
+    again. A batch that an earlier run left open is finished first. No row and
+    no path list reaches the driver.
     """
     lay = Layout(base)
     ledger = Ledger(spark, lay.ledger)
-    listing = manifest.select(F.col("path").alias("file_name"), "file_date")
+    ledger.compact()
+    listing = manifest.select(F.col("path").alias("file_name"), "file_date", *[c for c in PRINT if c in manifest.columns])
     for name in sorted(writers.list_dirs(spark, lay.intents)):
         if writers.path_exists(spark, f"{lay.intents}/{name}/_SUCCESS"):
             number = int(name.split("=", 1)[1])
@@ -220,7 +257,7 @@ def _finish(spark: SparkSession, lay: Layout, cfg: FeedConfig, listed: DataFrame
     result = {"status": "done"}
     # a crash between ledger and clean-up left an intent whose batch is done
     if not Ledger(spark, lay.ledger).seen_token(f"{BATCH_RUN}~{number}"):
-        raw = _read_listed(spark, cfg, _root_of(listed), listed)
+        raw = _read_listed(spark, cfg, listed)
         try:
             result = _process(spark, lay, cfg, raw, listed, BATCH_RUN, number, on_fail, label)
         except quality.CheckFailed:
@@ -234,17 +271,59 @@ def _finish(spark: SparkSession, lay: Layout, cfg: FeedConfig, listed: DataFrame
 
 
 def read_dimension(spark: SparkSession, base: str) -> DataFrame | None:
-    return writers.DimensionStore(spark, f"{Layout(base).history}/dimension").read()
+    return Dimension(spark, f"{Layout(base).history}/dimension").read()
 
 
-def read_facts(spark: SparkSession, base: str) -> DataFrame | None:
-    """Facts of committed batches; of a file delivered more than once, those of its last delivery."""
-    lay = Layout(base)
-    if not writers.list_dirs(spark, lay.fact):
+def _live_facts(spark: SparkSession, lay: Layout) -> DataFrame | None:
+    _finish_compaction(spark, lay)
+    if not [n for n in writers.list_dirs(spark, lay.fact) if "=" in n]:
         return None
-    live = Ledger(spark, lay.ledger).live()
     facts = spark.read.parquet(lay.fact)
-    return facts.join(live, ["token", "file_name"], "left_semi").drop("token")
+    return facts.join(Ledger(spark, lay.ledger).live(), ["token", "file_name"], "left_semi")
+
+
+def read_facts(spark: SparkSession, base: str) -> DataFrame | None:
+    """Facts of committed batches; of a file delivered more than once, those of its last delivery.
+
+    Facts lie in a folder a date: a filter on the date opens its folder only.
+    """
+    facts = _live_facts(spark, Layout(base))
+    return None if facts is None else facts.drop("token", "part")
+
+
+def compact_facts(spark: SparkSession, base: str, cfg: FeedConfig, first: _dt.date, last: _dt.date) -> int:
+    """Gather the parts of every date from `first` to `last` into one and drop deliveries that no longer count.
+
+    Maintenance, to be run while no batch and no reader runs. The gathered rows
+    and the list of parts they replace are written aside first, so a run that
+    is cut short is finished by the next one, or by the next reader.
+    """
+    lay = Layout(base)
+    facts = _live_facts(spark, lay)
+    if facts is None:
+        return 0
+    inside = facts.where(F.col(cfg.fact_day).between(F.lit(first), F.lit(last)))
+    # a name of its own, so that finishing twice removes nothing new
+    rows = inside.withColumn("part", F.lit(f"all~{uuid.uuid4().hex[:12]}"))
+    n = writers.write_counted(rows.hint("rebalance", cfg.fact_day), f"{lay.compaction}/rows", "overwrite", [cfg.fact_day, "part"], options={"partitionOverwriteMode": "static"})
+    days = [f"{first + _dt.timedelta(i)}" for i in range((last - first).days + 1)]
+    old = [(f"{cfg.fact_day}={d}/{p}",) for d in days for p in writers.list_dirs(spark, f"{lay.fact}/{cfg.fact_day}={d}")]
+    spark.createDataFrame(old, "folder string").coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{lay.compaction}/replaced")
+    _finish_compaction(spark, lay)
+    return n
+
+
+def _finish_compaction(spark: SparkSession, lay: Layout) -> None:
+    """Put gathered rows in the place of the parts they replace: remove those, then move the new ones in, each by a rename."""
+    if not writers.path_exists(spark, f"{lay.compaction}/replaced/_SUCCESS"):
+        return
+    for r in spark.read.parquet(f"{lay.compaction}/replaced").collect():
+        writers.delete_path(spark, f"{lay.fact}/{r['folder']}")
+    for day in writers.list_dirs(spark, f"{lay.compaction}/rows"):
+        for part in writers.list_dirs(spark, f"{lay.compaction}/rows/{day}"):
+            writers.move_path(spark, f"{lay.compaction}/rows/{day}/{part}", f"{lay.fact}/{day}/{part}")
+    writers.delete_path(spark, f"{lay.compaction}/replaced")
+    writers.delete_path(spark, lay.compaction)
 
 
 def read_quarantine(spark: SparkSession, base: str) -> DataFrame | None:
@@ -262,7 +341,9 @@ def run_stream(spark: SparkSession, source_dir: str, cfg: FeedConfig, base: str,
 
     A micro-batch is known by the query's id and its number, so a replay is
     harmless and a new checkpoint starts a new run: files it delivers again
-    replace their facts and change nothing in the history. With `on_fail`
+    replace what they delivered before, in the facts and in the history. Within
+    a checkpoint the file source takes a path once; a file corrected under its
+    name is picked up by a batch run on the same base. With `on_fail`
     "raise" a failing micro-batch stops the stream and is tried again by the
     next run; "skip" leaves its rows out, and its files out of the ledger.
     """
@@ -274,10 +355,11 @@ def run_stream(spark: SparkSession, source_dir: str, cfg: FeedConfig, base: str,
             _process(spark, lay, cfg, batch, None, run, number, on_fail)
 
     stream = file_stream(spark, source_dir, cfg.schema, "json", max_files_per_trigger, archive_dir, corrupt=True)
-    stream = stream.withColumn("file_name", F.col("_metadata.file_path")).withColumn("file_date", _file_date(stream))
+    stream = stream.withColumns({"file_name": F.col("_metadata.file_path"), "file_date": _file_date(stream),
+                                 "length": F.col("_metadata.file_size"), "modified": F.col("_metadata.file_modification_time")})
     drained(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start(), timeout_s)
-    return {"status": "done", "dimension_version": _history(spark, lay, cfg).store.version()}
+    return {"status": "done", "dimension_version": _history(spark, lay, cfg).dimension.version()}
 
 
 def catch_up(spark: SparkSession, manifest: DataFrame, cfg: FeedConfig, base: str, batch_id: int, first_day: _dt.date,

@@ -21,6 +21,7 @@ from chronoset.plans.feeds import E_ATTRS, E_DAY, E_KEY, E_TRACKED
 from chronoset.schemas import START_COL
 from chronoset.session import scratch_path
 from chronoset.sinks import writers
+from chronoset.sinks.dimension import Dimension
 from chronoset.sinks.ledger import Ledger
 from chronoset.sources import files, json_scan
 
@@ -50,20 +51,20 @@ def _last_day(spark, sf_dir):
     return feeds.events(spark, sf_dir).agg(F.max(F.to_date("ts"))).first()[0]
 
 
-def _stored(spark, dimension: DataFrame) -> DataFrame:
-    """The dimension, read back from a store: what a merge or fold meets in practice."""
-    store = writers.DimensionStore(spark, scratch_path(spark, "dim"), key=E_KEY)
-    store.commit(dimension)
-    return store.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+def _stored(spark, dimension: DataFrame) -> tuple[DataFrame, Dimension]:
+    """The dimension, read back from its bucketed table: what a merge or fold meets in practice."""
+    kept = Dimension(spark, scratch_path(spark, "dim"), E_KEY)
+    kept.commit(dimension)
+    return kept.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS), kept
 
 
 def _prior_and_stage(spark, sf_dir, mode=scd2.CHANGED_ONLY):
     """Dimension built from every day before the feed's last day and stored, and that day staged."""
     daily = _daily(spark, sf_dir)
     last = _last_day(spark, sf_dir)
-    prior = _stored(spark, scd2.build_history(daily.where(F.col(E_DAY) < F.lit(last)), E_KEY, E_DAY, E_TRACKED, mode, E_ATTRS))
+    prior, kept = _stored(spark, scd2.build_history(daily.where(F.col(E_DAY) < F.lit(last)), E_KEY, E_DAY, E_TRACKED, mode, E_ATTRS))
     stage = scd2.staged_from_daily(daily.where(F.col(E_DAY) == F.lit(last)), E_DAY)
-    return prior, stage
+    return prior, kept.aligned(stage)
 
 
 # --- history ---------------------------------------------------------------
@@ -96,9 +97,9 @@ def q_scd2_append_all_nulls(spark, sf_dir):
 
 @register("scd2_current")
 def q_scd2_current(spark, sf_dir):
-    store = writers.DimensionStore(spark, scratch_path(spark, "dim"))
-    store.commit(_dim(spark, sf_dir))
-    return store.read_current().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+    kept = Dimension(spark, scratch_path(spark, "dim"), E_KEY)
+    kept.commit(_dim(spark, sf_dir))
+    return kept.read_current().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
 
 
 @register("scd2_changed_columns")
@@ -148,7 +149,7 @@ def _stored_and_rest(spark, sf_dir):
     """A stored dimension of the feed's first ten days, and the daily rows of the others."""
     daily = _daily(spark, sf_dir)
     cut = F.lit(_split_day(spark, sf_dir))
-    prior = _stored(spark, scd2.build(daily.where(F.col(E_DAY) <= cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
+    prior, _ = _stored(spark, scd2.build(daily.where(F.col(E_DAY) <= cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
     return prior, daily.where(F.col(E_DAY) > cut), daily
 
 
@@ -163,7 +164,7 @@ def q_scd2_apply_days(spark, sf_dir):
     """The later days are stored first, then the first ten days arrive late."""
     daily = _daily(spark, sf_dir)
     cut = F.lit(_split_day(spark, sf_dir))
-    stored = _stored(spark, scd2.build(daily.where(F.col(E_DAY) > cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
+    stored, _ = _stored(spark, scd2.build(daily.where(F.col(E_DAY) > cut), E_KEY, E_DAY, E_TRACKED, E_ATTRS))
     return scd2.apply_days(stored, daily, daily.where(F.col(E_DAY) <= cut), E_KEY, E_DAY, E_TRACKED)
 
 
@@ -534,7 +535,7 @@ def q_batch_load_history(spark, sf_dir):
 
     src = _write_events_daily_json(spark, sf_dir)
     base = scratch_path(spark, "batch")
-    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    manifest = files.manifest(spark, src)
     jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), _e_feed(), base, batch_id=2)
     jobs.run_batch(spark, manifest, _e_feed(), base, batch_id=1)
     return jobs.read_dimension(spark, base).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
@@ -549,7 +550,7 @@ def q_batch_load_facts(spark, sf_dir):
     src, base = scratch_path(spark, "events-json"), scratch_path(spark, "batch")
     shifted = _nested_events(spark, sf_dir).withColumn("file_date", F.to_date(F.col("ts") + F.expr("interval 18 hours")))
     writers.write_daily_json(shifted, src, "file_date")
-    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    manifest = files.manifest(spark, src)
     feed = _e_feed()
     feed.fact_cols = ["event_id", "ts", "value"]
     jobs.run_batch(spark, manifest.where(F.dayofmonth("file_date") <= 15), feed, base, batch_id=20240115)
@@ -557,6 +558,74 @@ def q_batch_load_facts(spark, sf_dir):
     return jobs.read_facts(spark, base).select("event_id", "ts", "value", E_KEY, "fact_date")
 
 
+def _deliver(spark, rows: DataFrame, root: str) -> None:
+    """Daily files under fixed names, `file_date=<day>/transactions_<day>.json`; a file there before is replaced."""
+    made = scratch_path(spark, "delivery")
+    writers.write_daily_json(rows, made, "file_date")
+    for folder in writers.list_dirs(spark, made):
+        writers.delete_path(spark, f"{root}/{folder}")
+        day = folder.split("=", 1)[1]
+        for i, name in enumerate(sorted(writers.list_files(spark, f"{made}/{folder}"))):
+            writers.move_path(spark, f"{made}/{folder}/{name}", f"{root}/{folder}/transactions_{day}{f'_{i}' if i else ''}.json")
+
+
+def _corrected(raw: DataFrame) -> DataFrame:
+    """Second delivery of the files of every fifth day: some users gone, others with other profiles."""
+    p = F.col("profile")
+    kind = F.when(p["user_id"] % 3 == 1, F.concat(p["event_type"], F.lit("-corrected"))).otherwise(p["event_type"])
+    again = raw.where((F.dayofmonth("file_date") % 5 == 0) & (p["user_id"] % 3 != 0))
+    return again.withColumn("profile", F.struct(p["user_id"].alias("user_id"), kind.alias("event_type"), p["props"].alias("props")))
+
+
+@register("stream_redelivery")
+def q_stream_redelivery(spark, sf_dir):
+    """The streaming job over all files, then again, with a new checkpoint,
+    after every fifth day's file was corrected under its name: the dimension
+    is that of the last deliveries, and what they no longer say is gone."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "events-json"), scratch_path(spark, "stream")
+    raw = _nested_events(spark, sf_dir)
+    _deliver(spark, raw, src)
+    jobs.run_stream(spark, src, _e_feed(), base, scratch_path(spark, "ckpt"))
+    _deliver(spark, _corrected(raw), src)
+    jobs.run_stream(spark, src, _e_feed(), base, scratch_path(spark, "ckpt"))
+    return jobs.read_dimension(spark, base).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+
+
+@register("batch_redelivery")
+def q_batch_redelivery(spark, sf_dir):
+    """Facts after a batch run, corrections under the same names and a second
+    run, which takes the changed files only."""
+    from chronoset import jobs
+
+    src, base = scratch_path(spark, "events-json"), scratch_path(spark, "batch")
+    raw = _nested_events(spark, sf_dir)
+    _deliver(spark, raw, src)
+    jobs.run_batch(spark, files.manifest(spark, src), _e_feed(), base, batch_id=1)
+    _deliver(spark, _corrected(raw), src)
+    jobs.run_batch(spark, files.manifest(spark, src), _e_feed(), base, batch_id=2)
+    return jobs.read_facts(spark, base).select("event_id", "ts", "value", E_KEY, "fact_date")
+
+
+@register("ledger_changed")
+def q_ledger_changed(spark, sf_dir):
+    """State of every daily file against the ledger: days up to the 20th are
+    done, then every fifth day is corrected, the 3rd vanishes, later days come."""
+    src = scratch_path(spark, "events-json")
+    raw = _nested_events(spark, sf_dir)
+    day = F.dayofmonth("file_date")
+    _deliver(spark, raw.where(day <= 20), src)
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    named = lambda: files.manifest(spark, src).withColumnRenamed("path", "file_name")
+    ledger.record(named().withColumn("rows", F.lit(None).cast("long")), batch_id=1, token="batch~1")
+    _deliver(spark, _corrected(raw).where(day <= 20).unionByName(raw.where(day > 20)), src)
+    for folder in writers.list_dirs(spark, src):
+        if folder.endswith("-03"):
+            writers.delete_path(spark, f"{src}/{folder}")
+    return ledger.compare(named()).select("file_date", "state")
+
+
 @register("run_stream_history")
 def q_run_stream_history(spark, sf_dir):
     """The streaming job in two runs, the second with a new checkpoint, whose
@@ -612,7 +681,7 @@ def q_batch_load_transactions(spark, sf_dir):
                    F.format_string("%.2f", "o_totalprice").alias("amount"), F.col("o_orderstatus").alias("transaction_status"),
                    profile.alias("customer_info"), F.trunc("o_orderdate", "year").alias("file_date"))
     writers.write_daily_json(raw, src, "file_date")
-    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    manifest = files.manifest(spark, src)
     jobs.run_batch(spark, manifest, jobs.transaction_feed(), base, batch_id=1, on_fail="quarantine")
     facts = jobs.read_facts(spark, base)
     return facts.select("transaction_id", "transaction_timestamp", "transaction_date", "amount", F.col("amount_num").cast("double").alias("amount_num"),
@@ -624,7 +693,7 @@ def q_stream_scd2(spark, sf_dir):
     from chronoset.streaming import history
 
     src = _write_events_daily_json(spark, sf_dir)
-    store = history.run_history_stream(spark, src, E_NESTED_SCHEMA, scratch_path(spark, "stream-dim"),
-                                       scratch_path(spark, "stream-ckpt"), max_files_per_trigger=7)
-    return store.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+    kept = history.run_history_stream(spark, src, E_NESTED_SCHEMA, scratch_path(spark, "stream-dim"),
+                                      scratch_path(spark, "stream-ckpt"), max_files_per_trigger=7)
+    return kept.read().select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
 

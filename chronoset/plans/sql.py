@@ -76,9 +76,20 @@ O_NAMES = """names AS (
     'transactions_' || strftime(d, '%Y%m%d') || '.json',
     'notes_' || strftime(d, '%Y-%m-%d') || '.txt']) AS n) u)"""
 
+#: Events as the last deliveries say after every fifth day was corrected.
+CORRECTED = """events AS (
+  SELECT event_id, ts, user_id, value, props,
+         CASE WHEN day(ts) % 5 = 0 AND user_id % 3 = 1 THEN event_type || '-corrected' ELSE event_type END AS event_type
+  FROM main.events WHERE NOT (day(ts) % 5 = 0 AND user_id % 3 = 0))"""
+
 FILE_RE = r"'transactions_(\d{4}-\d{2}-\d{2})\.json'"
 
 ORACLE: dict[str, str] = {
+    "stream_redelivery": f"WITH {CORRECTED}, {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
+    "batch_redelivery": f"WITH {CORRECTED} SELECT event_id, ts, value, user_id, CAST(ts AS DATE) AS fact_date FROM events",
+    "ledger_changed": """SELECT DISTINCT CAST(ts AS DATE) AS file_date,
+  CASE WHEN day(ts) = 3 THEN 'vanished' WHEN day(ts) > 20 THEN 'new' WHEN day(ts) % 5 = 0 THEN 'changed' ELSE 'done' END AS state
+FROM events""",
     "latest_profile_per_day": f"WITH {DAILY} SELECT * FROM daily",
     "scd2_build": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
     "scd2_build_multi": f"WITH {DAILY}, {build_cte(['event_type', 'props'])} SELECT * FROM dim",

@@ -90,6 +90,8 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("status", T.StringType(), True),
         T.StructField("token", T.StringType(), True),
         T.StructField("number", T.LongType(), True),
+        T.StructField("length", T.LongType(), True),
+        T.StructField("modified", T.TimestampType(), True),
     ]
 )
 

@@ -1,27 +1,20 @@
 """Load modes and table layouts on plain parquet.
 
-Without a row-level table format, the operations a warehouse would do with
-DELETE / MERGE are expressed as partition replacement and as immutable
-versions:
-
-* fact table: parquet partitioned by date; a reload replaces exactly the
-  dates it carries (dynamic partition overwrite) and, on request, clears
-  dates that came back empty;
-* dimension: immutable segments in hash buckets of the key plus an
-  append-only commit log; a new version never overwrites the files it was
-  computed from.
+Without a row-level table format, what a warehouse would do with DELETE is
+expressed as partition replacement: a fact table is parquet partitioned by
+date; a reload replaces exactly the dates it carries (dynamic partition
+overwrite) and, on request, clears dates that came back empty. The dimension's
+versions are in `chronoset.sinks.dimension`.
 
 Writes happen on the executors; the driver only sees commit metadata.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from chronoset.schemas import CURRENT_COL, TS_NTZ_FORMAT
+from chronoset.schemas import TS_NTZ_FORMAT
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -43,11 +36,27 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly in one folder (metadata only)."""
+    fs, p = _hadoop_path(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()] if fs.exists(p) else []
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_path(spark, path)
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; its parent folders are made."""
+    fs, source = _hadoop_path(spark, path)
+    _, aim = _hadoop_path(spark, target)
+    fs.mkdirs(aim.getParent())
+    if not fs.rename(source, aim):
+        raise OSError(f"could not move {path} to {target}")
+
+
 def write_counted(df: DataFrame, path: str, mode: str, partition_by=None, fmt: str = "parquet",
                   options: dict | None = None) -> int:
     """Write and return the number of rows written, counted during the write
@@ -109,197 +118,3 @@ def write_daily_json(df: DataFrame, path: str, date_col: str = "file_date", mode
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return write_counted(df.hint("rebalance", width, date_col), path, mode, date_col, "json",
                          {"timestampNTZFormat": TS_NTZ_FORMAT, "ignoreNullFields": "false"})
-
-
-class DimensionStore:
-    """Versioned dimension on parquet in hash buckets of the key, rewriting only what can change.
-
-    Layout below `base`:
-
-    * `data/seg=<N>/bucket=<b>/is_current=true/`: the open rows of bucket b as
-      of version N, written only if version N touched the bucket;
-    * `data/seg=<N>/bucket=<b>/is_current=false/`: closed rows of bucket b
-      added by version N. Closed rows are final, so these are append-only;
-    * `_commits/epoch=<E>/`: append-only log. Each version adds one file: a
-      header (batch, latest day, snapshot base) and a row per touched bucket
-      (its first closed segment, its row counts). A reader takes the highest
-      committed version, so a crash between a data write and its commit leaves
-      the previous version in force; a half-written segment of an uncommitted
-      version is never read and the next commit overwrites it.
-
-    Version N of a bucket is the open rows of its last segment up to N plus its
-    closed rows since its base. A full commit rewrites the touched buckets and
-    makes them their own base; a delta commit writes only rows the batch closed
-    plus the new open rows of the touched buckets. A bucket is compacted when
-    its base is `compact_every` versions old, which bounds the folders a reader
-    opens. Every `compact_every` versions the log moves to a new epoch without
-    the rows no retained version needs, and their folders are removed
-    (`retain` versions stay readable).
-
-    `buckets` is fixed for a store: choose it so that a bucket's open rows are
-    a few GB. Without a `key` there is one bucket.
-    """
-
-    LOG_SCHEMA = ("version long, run string, batch_id long, bucket int, base_seg long, closed_rows long, "
-                  "current_rows long, max_day date, committed_at timestamp_ntz, snap_base string, "
-                  "absorbed array<string>")
-    HEADER = -1
-
-    def __init__(self, spark: SparkSession, base: str, compact_every: int = 64, key: str | None = None,
-                 buckets: int = 8, retain: int = 64):
-        self.spark, self.base, self.compact_every = spark, base.rstrip("/"), compact_every
-        self.key, self.buckets, self.retain = key, buckets if key else 1, retain
-
-    def bucket(self) -> Column:
-        return F.pmod(F.hash(F.col(self.key)), F.lit(self.buckets)) if self.key else F.lit(0)
-
-    @property
-    def commits_path(self) -> str:
-        return f"{self.base}/_commits"
-
-    def _seg(self, v: int) -> str:
-        return f"{self.base}/data/seg={v}"
-
-    def _epoch(self) -> int | None:
-        done = [int(n.split("=", 1)[1]) for n in list_dirs(self.spark, self.commits_path) if n.startswith("epoch=")]
-        done = [e for e in done if path_exists(self.spark, f"{self.commits_path}/epoch={e}/_SUCCESS")]
-        return max(done, default=None)
-
-    def _log(self) -> DataFrame | None:
-        epoch = self._epoch()
-        if epoch is None:
-            return None
-        return self.spark.read.schema(self.LOG_SCHEMA).parquet(f"{self.commits_path}/epoch={epoch}")
-
-    def state(self, batch_id: int | None = None, run: str = "") -> dict:
-        """Latest version, the latest day folded in, the snapshot base with the
-        folders it absorbed, and whether (run, batch_id) already committed: one
-        aggregate over the log."""
-        none = {"version": 0, "max_day": None, "seen": False, "snap_base": None, "absorbed": []}
-        log = self._log()
-        if log is None:
-            return none
-        mine = (F.col("run") == F.lit(run)) & (F.col("batch_id") == F.lit(batch_id))
-        seen = F.max(F.coalesce(mine, F.lit(False))) if batch_id is not None else F.lit(False)
-        r = log.where(F.col("bucket") == self.HEADER).agg(
-            F.max("version").alias("v"), F.max("max_day").alias("d"), seen.alias("s"),
-            F.max_by(F.when(F.col("snap_base").isNotNull(), F.struct("snap_base", "absorbed")),
-                     F.when(F.col("snap_base").isNotNull(), F.col("version"))).alias("sb")).first()
-        if r["v"] is None:
-            return none
-        return {"version": int(r["v"]), "max_day": r["d"], "seen": bool(r["s"]),
-                "snap_base": r["sb"]["snap_base"] if r["sb"] else None, "absorbed": r["sb"]["absorbed"] if r["sb"] else []}
-
-    def version(self) -> int:
-        return self.state()["version"]
-
-    def _places(self, v: int, buckets: list[int] | None = None) -> dict[int, dict]:
-        """Per bucket of version v: its base, its open segment and its closed
-        segments. An epoch of the log holds a bounded number of rows per bucket."""
-        log = self._log().where(f"version <= {v} and bucket <> {self.HEADER}")
-        if buckets is not None:
-            log = log.where(F.col("bucket").isin(buckets))
-        out: dict[int, dict] = {}
-        for r in sorted(log.select("bucket", "version", "base_seg", "closed_rows", "current_rows").collect(), key=lambda r: r["version"]):
-            b = out.setdefault(r["bucket"], {"closed": []})
-            b["base"], b["open"] = r["base_seg"], r["version"] if r["current_rows"] else None
-            b["closed"] = [k for k in b["closed"] if k >= r["base_seg"]] + [r["version"]] * bool(r["closed_rows"])
-        return out
-
-    def _load(self, folders: list[str], current: bool) -> DataFrame | None:
-        if not folders:
-            return None
-        # the partition columns are known, so they are not part of what is read
-        rows = self.spark.read.option("basePath", f"{self.base}/data").parquet(*folders)
-        return rows.drop("seg", "bucket", CURRENT_COL).withColumn(CURRENT_COL, F.lit(current))
-
-    def read_current(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
-        """Open rows only (S3): no closed row is read."""
-        v = self.version() if version is None else version
-        places = self._places(v, buckets) if v else {}
-        return self._load([f"{self._seg(p['open'])}/bucket={b}/is_current=true" for b, p in places.items() if p["open"]], True)
-
-    def read_closed(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
-        v = self.version() if version is None else version
-        places = self._places(v, buckets) if v else {}
-        return self._load([f"{self._seg(k)}/bucket={b}/is_current=false" for b, p in places.items() for k in p["closed"]], False)
-
-    def read(self, version: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
-        """Version `v` whole, or some buckets of it; None when nothing is there."""
-        v = self.version() if version is None else version
-        closed, cur = self.read_closed(v, buckets), self.read_current(v, buckets)
-        if closed is None or cur is None:
-            return closed if cur is None else cur
-        return closed.select(*cur.columns).unionByName(cur)
-
-    def _write(self, rows: DataFrame, v: int, bases: dict[int, int], run: str, batch_id, max_day, snap_base=None, absorbed=None) -> int:
-        """Write the segment of version v, whose buckets are the keys of `bases`, and log it."""
-        obs = Observation(f"dim_v{v}")
-        put = rows.withColumn("bucket", self.bucket()).observe(obs, F.count(F.lit(1)).alias("rows"))
-        (put.hint("rebalance", "bucket", CURRENT_COL).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("bucket", CURRENT_COL).parquet(self._seg(v)))
-        counts: dict[tuple[int, bool], int] = {}
-        if obs.get.get("rows"):
-            written = self.spark.read.schema(put.schema).parquet(self._seg(v)).groupBy("bucket", CURRENT_COL).count().collect()
-            counts = {(r["bucket"], str(r[CURRENT_COL]).lower() == "true"): r["count"] for r in written}
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        log = [(v, run, batch_id, self.HEADER, None, None, None, max_day, now, snap_base, absorbed)]
-        log += [(v, run, batch_id, b, base, counts.get((b, False), 0), counts.get((b, True), 0), None, now, None, None)
-                for b, base in sorted(bases.items())]
-        epoch = self._epoch() or 0
-        (self.spark.createDataFrame(log, self.LOG_SCHEMA).coalesce(1).write.mode("append")
-         .parquet(f"{self.commits_path}/epoch={epoch}"))
-        if v % self.compact_every == 0 and v > epoch:
-            self._new_epoch(v, epoch)
-        return v
-
-    def _new_epoch(self, v: int, epoch: int) -> None:
-        """Carry the needed log rows into a new epoch, then remove what no retained version reads."""
-        oldest = max(0, v - self.retain)
-        log = self._log()
-        per = log.where(f"bucket <> {self.HEADER}")
-        at = per.where(f"version <= {oldest}").groupBy("bucket").agg(
-            F.max("version").alias("__last"), F.max_by("base_seg", "version").alias("__base"))
-        marked = per.join(at, "bucket", "left")
-        gone = [(r["bucket"], r["version"], r["closed"]) for r in marked.where("version < __last").select(
-            "bucket", "version", (F.col("version") < F.col("__base")).alias("closed")).collect()]
-        keep = marked.where("coalesce(version >= __base, true)").select(*log.columns)
-        (log.where(F.col("bucket") == self.HEADER).unionByName(keep).coalesce(1).write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").parquet(f"{self.commits_path}/epoch={v}"))
-        for b, seg, closed in gone:
-            delete_path(self.spark, f"{self._seg(seg)}/bucket={b}" + ("" if closed else "/is_current=true"))
-        delete_path(self.spark, f"{self.commits_path}/epoch={epoch}")
-
-    def commit(self, dimension: DataFrame, batch_id: int | None = None, max_day=None, state: dict | None = None,
-               run: str = "", snap_base: str | None = None, absorbed: list[str] | None = None,
-               buckets: list[int] | None = None) -> int:
-        """Write a whole dimension, or all rows of some buckets, as the next version.
-
-        A new version is written to its own folder, never over the files it
-        is computed from. `snap_base` and `absorbed` record a compaction of the
-        caller's snapshot table in the same log file (see `HistoryStream`).
-        """
-        v = (state or self.state())["version"] + 1
-        touched = list(range(self.buckets)) if buckets is None else buckets
-        return self._write(dimension, v, dict.fromkeys(touched, v), run, batch_id, max_day, snap_base, absorbed)
-
-    def commit_delta(self, rows: DataFrame, batch_id: int | None = None, max_day=None, state: dict | None = None,
-                     run: str = "", snap_base: str | None = None, absorbed: list[str] | None = None,
-                     buckets: list[int] | None = None) -> int:
-        """Next version from the rows a batch closed plus all open rows of the touched buckets.
-
-        `rows` must not repeat closed rows of earlier versions (those stay in
-        their segments); its open rows replace those of the touched buckets.
-        """
-        st = state or self.state()
-        v = st["version"] + 1
-        touched = list(range(self.buckets)) if buckets is None else buckets
-        places = self._places(st["version"], touched) if st["version"] else {}
-        bases = {b: places[b]["base"] if b in places else v for b in touched}
-        due = [b for b, base in bases.items() if base < v and v - base >= self.compact_every]
-        if due:
-            closed = self.read_closed(st["version"], due)
-            if closed is not None:
-                rows = rows.unionByName(closed.select(*rows.columns))
-            bases |= dict.fromkeys(due, v)
-        return self._write(rows, v, bases, run, batch_id, max_day, snap_base, absorbed)

@@ -79,21 +79,61 @@ def missing_dates(latest: DataFrame, present: DataFrame, up_to, date_col: str =
     return date_spine(bounds, name=date_col).join(present.select(date_col).distinct(), date_col, "left_anti")
 
 
+def manifest(spark: SparkSession, directory: str, glob: str | None = "*.json", recursive: bool = False) -> DataFrame:
+    """The listing a batch job takes: path, file_date, and the fingerprint length and modified.
+
+    The date is that of the file's dated folder, else of its name.
+    """
+    listing = list_files(spark, directory, glob, recursive)
+    named = file_date(F.col("file_name"))
+    day = F.coalesce(F.col("file_date").cast("date"), named) if "file_date" in listing.columns else named
+    return listing.select("path", day.alias("file_date"), "length", F.col("modificationTime").alias("modified"))
+
+
 def archive(spark: SparkSession, listed: DataFrame, archive_dir: str) -> int:
-    """Move processed files below `archive_dir`, their dated folders kept (K7).
+    """Move processed files below `archive_dir`, their dated folders kept (K7); the number moved.
 
-    A move is an operation on names, done by the file system for one file
-    after the other; names are streamed to the driver, not gathered. A file
-    that is no longer there has been moved before.
+    The list is dealt out and every task moves its files. A file that is no
+    longer there has been moved before, so a task that is tried again, or a
+    batch that is replayed, does no harm. Tasks move files of the stores that
+    pyarrow can open (local, HDFS, S3, GCS); names of other stores come back
+    to the driver, one move each.
     """
     from chronoset.sinks.writers import _hadoop_path
 
-    moved = 0
     tail = F.regexp_extract("file_name", r"((?:/[^/=]+=[^/]+)*/[^/]+)$", 1)
-    for r in listed.select("file_name", tail.alias("tail")).toLocalIterator():
-        fs, source = _hadoop_path(spark, r["file_name"])
-        _, target = _hadoop_path(spark, archive_dir.rstrip("/") + r["tail"])
-        if fs.exists(source):
-            fs.mkdirs(target.getParent())
-            moved += bool(fs.rename(source, target))
+    moves = listed.select("file_name", F.concat(F.lit(archive_dir.rstrip("/")), tail).alias("target"))
+
+    def move(batches):
+        from urllib.parse import unquote, urlsplit
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            out = []
+            for source, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    store, path = fs.FileSystem.from_uri(source if urlsplit(source).scheme else "file://" + source)
+                    aim = unquote(urlsplit(target).path) if urlsplit(target).scheme in ("", "file") else store.normalize_path(fs.FileSystem.from_uri(target)[1])
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    out.append((source, target, None))
+                    continue
+                there = store.get_file_info(path).type == fs.FileType.File
+                if there:
+                    store.create_dir(aim.rsplit("/", 1)[0], recursive=True)
+                    store.move(path, aim)
+                out.append((source, target, there))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 3, (pa.string(), pa.string(), pa.bool_()), strict=True)],
+                                             names=["source", "target", "moved"])
+
+    width = spark.sparkContext.defaultParallelism
+    done = moves.repartition(width).mapInArrow(move, "source string, target string, moved boolean").checkpoint(eager=True)
+    moved = done.agg(F.count_if("moved")).first()[0]
+    for r in done.where("moved is null").toLocalIterator():
+        store, source = _hadoop_path(spark, r["source"])
+        _, target = _hadoop_path(spark, r["target"])
+        if store.exists(source):
+            store.mkdirs(target.getParent())
+            moved += bool(store.rename(source, target))
     return moved

@@ -167,41 +167,59 @@ def test_append_and_overwrite_counts(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_dimension_store_versions(spark, tmp_path):
-    store = writers.DimensionStore(spark, str(tmp_path / "dim"))
-    assert store.version() == 0 and store.read() is None
-    v1 = spark.createDataFrame([("a", True), ("b", False)], "k string, is_current boolean")
-    store.commit(v1)
-    store.commit(store.read().where("k = 'a'"))  # computed from v1, written as v2
-    assert store.version() == 2
-    assert [r["k"] for r in store.read_current().collect()] == ["a"]
-    assert store.read(1).count() == 2
-
+def test_dimension_versions(spark, tmp_path):
+    from chronoset.sinks.dimension import Dimension
 
-def test_dimension_store_delta_commits_and_compaction(spark, tmp_path):
+    dim = Dimension(spark, str(tmp_path / "dim"), "k", buckets=2)
+    assert dim.version() == 0 and dim.read() is None and dim.read_current() is None
+    v1 = spark.createDataFrame([("a", True), ("b", False)], "k string, is_current boolean")
+    dim.commit(v1)
+    dim.commit(dim.read().where("k = 'a'"))  # computed from v1, written as v2
+    assert dim.version() == 2
+    assert [r["k"] for r in dim.read_current().collect()] == ["a"]
+    assert dim.read(1).count() == 2
+    # any session finds the tables by the pointer alone
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("dim_")]:
+        spark.sql(f"DROP TABLE {name}")
+    assert Dimension(spark, str(tmp_path / "dim")).read().count() == 1
+
+
+def test_dimension_closed_rows_stay_where_they_are_until_compaction(spark, tmp_path):
     from chronoset.operators import scd2
+    from chronoset.sinks.dimension import Dimension
 
     rows = [(k, dt.date(2025, 1, d), t) for k in "abc" for d in range(1, 9) for t in ["A" if (d * ord(k)) % 3 else "B"]]
     daily = spark.createDataFrame(rows, "k string, day date, tier string")
-    full = scd2.build(daily, "k", "day", ["tier"])
-    store = writers.DimensionStore(spark, str(tmp_path / "dim"), compact_every=3)
-    store.commit(scd2.build(daily.where("day <= '2025-01-02'"), "k", "day", ["tier"]), batch_id=0,
-                 max_day=dt.date(2025, 1, 2))
-    for d in range(3, 9):
-        st = store.state(batch_id=d)
-        assert not st["seen"]
-        rebuilt, untouched = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k",
-                                                    "day", ["tier"])
-        store.commit_delta(rebuilt.unionByName(untouched), batch_id=d, max_day=dt.date(2025, 1, d), state=st)
-    st = store.state(batch_id=8)
-    assert st["seen"] and st["version"] == 7 and st["max_day"] == dt.date(2025, 1, 8)
-    # versions 4 and 7 compacted: a reader opens at most `compact_every` segments
-    assert store._places(7)[0]["base"] == 7
+    dim = Dimension(spark, str(tmp_path / "dim"), "k", buckets=2, compact_every=3)
     key = lambda r: (r["k"], r["effective_start_date"])
-    assert sorted(map(tuple, store.read().collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
-    assert sorted(store.read(5).collect(), key=key) == sorted(
-        scd2.build(daily.where("day <= '2025-01-06'"), "k", "day", ["tier"]).collect(), key=key)
-    assert store.read_current().count() == 3
+    built = lambda d: sorted(scd2.build(daily.where(f"day <= '2025-01-0{d}'"), "k", "day", ["tier"]).collect(), key=key)
+    dim.commit(scd2.build(daily.where("day <= '2025-01-02'"), "k", "day", ["tier"]), max_day=dt.date(2025, 1, 2))
+    for d in range(3, 9):
+        st = dim.state()
+        batch = dim.aligned(daily.where(f"day = '2025-01-0{d}'"))
+        rebuilt, untouched = scd2.extend_open_parts(dim.read_current(st), batch, "k", "day", ["tier"])
+        dim.commit([untouched, rebuilt], replace=False, state=st, max_day=dt.date(2025, 1, d))
+        assert sorted(dim.read().collect(), key=key) == built(d)
+        assert sorted(dim.read(st["version"]).collect(), key=key) == built(d - 1)
+        assert len(dim.state()["closed"]) <= 3 and dim.state()["max_day"] == dt.date(2025, 1, d)
+    assert dim.read_current().count() == 3 and dim.version() == 7
+    # folders that neither of the last two versions reads are gone
+    left = {int(n.split("=")[1]) for n in os.listdir(tmp_path / "dim" / "versions")}
+    assert left == {7, 6, *dim.state()["closed"], *dim._at(6)["closed"]}
+
+
+def test_a_version_without_its_pointer_is_overwritten(spark, tmp_path, monkeypatch):
+    from chronoset.sinks import dimension
+
+    dim = dimension.Dimension(spark, str(tmp_path / "dim"), "k", buckets=2)
+    dim.commit(spark.createDataFrame([("a", True)], "k string, is_current boolean"))
+    with monkeypatch.context() as m:
+        m.setattr(dimension.Dimension, "_pointer", lambda self, v: (_ for _ in ()).throw(OSError("cut")))
+        with pytest.raises(OSError):
+            dim.commit(spark.createDataFrame([("b", True)], "k string, is_current boolean"), state={**dimension.EMPTY, "version": 1, "closed": [1]})
+    assert [r["k"] for r in dim.read().collect()] == ["a"]
+    dim.commit(spark.createDataFrame([("c", True)], "k string, is_current boolean"))
+    assert [r["k"] for r in dim.read().collect()] == ["c"]
 
 
 def test_ledger_pending(spark, tmp_path):
@@ -227,22 +245,6 @@ def test_conformance_digit_guard_equals_try_cast(spark):
         assert [str(r["g"]) for r in got] == [str(r["w"]) for r in got], t
 
 
-def test_dimension_store_read_with_shorter_compaction_interval(spark, tmp_path):
-    from chronoset.operators import scd2
-
-    daily = spark.createDataFrame([("a", dt.date(2025, 1, d), "AB"[d % 2]) for d in range(1, 7)],
-                                  "k string, day date, tier string")
-    path = str(tmp_path / "dim")
-    store = writers.DimensionStore(spark, path, compact_every=100)
-    store.commit(scd2.build(daily.where("day <= '2025-01-01'"), "k", "day", ["tier"]))
-    for d in range(2, 7):
-        rebuilt, untouched = scd2.extend_open_parts(store.read_current(), daily.where(f"day = '2025-01-0{d}'"), "k",
-                                                    "day", ["tier"])
-        store.commit_delta(rebuilt.unionByName(untouched))
-    reader = writers.DimensionStore(spark, path, compact_every=2)
-    assert reader.read().count() == scd2.build(daily, "k", "day", ["tier"]).count() == 6
-
-
 def test_checkpoint_root_requires_a_shared_folder_on_a_cluster():
     import pytest as _pytest
 

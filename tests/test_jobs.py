@@ -12,6 +12,7 @@ from chronoset.operators import quality, scd2
 from chronoset.plans.catalog import E_NESTED_SCHEMA
 from chronoset.schemas import CURRENT_COL, END_COL, START_COL
 from chronoset.sinks import writers
+from chronoset.sinks.dimension import Dimension
 from chronoset.sinks.ledger import Ledger
 from chronoset.sources import files
 from chronoset.streaming.history import HistoryStream
@@ -35,7 +36,7 @@ def put(root, day, lines, name=None):
 
 
 def manifest(spark, src):
-    return files.list_files(spark, src, "*.json").select("path", "file_date")
+    return files.manifest(spark, src)
 
 
 def ids(df):
@@ -99,7 +100,7 @@ def test_labels_in_any_order_and_late_days(spark, tmp_path):
 
 
 def test_history_takes_batch_ids_in_any_order(spark, tmp_path):
-    hs = HistoryStream(spark, str(tmp_path / "h"), "user_id", ["t"], ["t"], ["ts"], compact_snapshots_every=2, buckets=2)
+    hs = HistoryStream(spark, str(tmp_path / "h"), "user_id", ["t"], ["t"], ["ts"], compact_every=2, buckets=2)
     rows = [(k, dt.date(2025, 1, d), dt.datetime(2025, 1, d, 1), "AB"[d % 2]) for k in (1, 2) for d in range(1, 7)]
     df = spark.createDataFrame(rows, "user_id long, day date, ts timestamp_ntz, t string")
     for batch_id, d in ((9, 3), (8, 1), (7, 2), (100, 6), (1, 4), (2, 5)):
@@ -107,36 +108,20 @@ def test_history_takes_batch_ids_in_any_order(spark, tmp_path):
         hs.process(df.where(F.dayofmonth("day") == d), batch_id)  # replay
     want = scd2.build(df.drop("ts"), "user_id", "day", ["t"])
     cols = ["user_id", "t", START_COL, END_COL, CURRENT_COL]
-    assert sorted(map(tuple, hs.store.read().select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    assert sorted(map(tuple, hs.dimension.read().select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
 
 
-def test_one_late_row_rewrites_only_its_bucket(spark, tmp_path):
+def test_one_late_row_rebuilds_its_key_only(spark, tmp_path):
     hs = HistoryStream(spark, str(tmp_path / "h"), "user_id", ["t"], ["t"], ["ts"], buckets=4)
     rows = [(k, dt.date(2025, 1, d), dt.datetime(2025, 1, d, 1), "AB"[d % 2]) for k in range(40) for d in (2, 3)]
     schema = "user_id long, day date, ts timestamp_ntz, t string"
     hs.process(spark.createDataFrame(rows, schema), 1)
-    late = spark.createDataFrame([(5, dt.date(2025, 1, 1), dt.datetime(2025, 1, 1, 1), "B")], schema)
-    hs.process(late, 2)
-    assert [n for n in os.listdir(tmp_path / "h" / "dimension" / "data" / "seg=2") if n.startswith("bucket=")] == [
-        f"bucket={late.select(hs.store.bucket()).first()[0]}"]
-    assert hs.store.read().where("user_id = 5").count() == 3 and hs.store.read().count() == 40 * 2 + 1
-
-
-def test_log_epochs_and_vacuum_keep_the_retained_versions(spark, tmp_path):
-    store = writers.DimensionStore(spark, str(tmp_path / "d"), compact_every=3, key="k", buckets=2, retain=2)
-    rows = [(k, dt.date(2025, 1, d), "AB"[(k + d) % 2]) for k in range(6) for d in range(1, 9)]
-    daily = spark.createDataFrame(rows, "k long, day date, t string")
-    build = lambda d: scd2.build(daily.where(F.dayofmonth("day") <= d), "k", "day", ["t"])
-    store.commit(build(1), batch_id=1)
-    for d in range(2, 9):
-        rebuilt, untouched = scd2.extend_open_parts(store.read_current(), daily.where(F.dayofmonth("day") == d), "k", "day", ["t"])
-        store.commit_delta(rebuilt.unionByName(untouched), batch_id=d)
-    for v in (6, 7, 8):
-        assert sorted(map(tuple, store.read(v).collect())) == sorted(map(tuple, build(v).select(store.read(v).columns).collect()))
-    assert os.listdir(tmp_path / "d" / "_commits") == ["epoch=6"]
-    assert all(store.state(b)["seen"] for b in range(1, 9))
-    kept = os.listdir(tmp_path / "d" / "data" / "seg=1") if os.path.isdir(tmp_path / "d" / "data" / "seg=1") else []
-    assert not [n for n in kept if os.path.isdir(tmp_path / "d" / "data" / "seg=1" / n / "is_current=true")]
+    before = {tuple(r) for r in hs.dimension.read().collect()}
+    hs.process(spark.createDataFrame([(5, dt.date(2025, 1, 1), dt.datetime(2025, 1, 1, 1), "B")], schema), 2)
+    after = {tuple(r) for r in hs.dimension.read().collect()}
+    assert len(after) == 40 * 2 + 1 and {r[0] for r in after ^ before} == {5}
+    # the version before stays readable
+    assert {tuple(r) for r in hs.dimension.read(1).collect()} == before
 
 
 def test_broken_lines_and_null_keys_stay_out_of_history(spark, tmp_path):
@@ -212,7 +197,7 @@ def test_writes_leave_the_session_settings_alone(spark, tmp_path, monkeypatch):
         writers.load_overwrite(df, str(tmp_path / mode), "d")
         writers.replace_by_date(df, str(tmp_path / mode), "d")
     writers.write_daily_json(df, str(tmp_path / "json"), "d")
-    writers.DimensionStore(spark, str(tmp_path / "dim"), key="id").commit(df)
+    Dimension(spark, str(tmp_path / "dim"), "id").commit(df)
     assert touched == []
     assert len([n for n in os.listdir(tmp_path / "static" / "d=2025-01-01") if n.endswith(".parquet")]) == 1
 
@@ -235,3 +220,218 @@ def test_point_in_time_keeps_every_fact(spark):
     facts = spark.createDataFrame([(1, "k", day), (2, "k", dt.date(2025, 1, 1)), (3, None, day), (4, "x", None)], "i int, k string, d date")
     got = {r["i"]: r["t"] for r in lookup.point_in_time(facts, dim, "k", "d").collect()}
     assert got == {1: "A", 2: None, 3: None, 4: None}
+
+
+# --- corrected and re-delivered files -----------------------------------------------
+
+def dimension_rows(spark, base):
+    return sorted((r["user_id"], r["event_type"], str(r[START_COL]), r[CURRENT_COL]) for r in jobs.read_dimension(spark, base).collect())
+
+
+def test_a_changed_file_is_loaded_again(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "b")
+    put(src, "2025-01-01", [event(1, "2025-01-01T10:00:00.000000", 7, "silver")])
+    assert jobs.run_batch(spark, manifest(spark, src), feed(), base, 1)["files"] == 1
+    assert jobs.run_batch(spark, manifest(spark, src), feed(), base, 2)["status"] == "nothing_pending"
+    put(src, "2025-01-01", [event(1, "2025-01-01T10:00:00.000000", 7, "gold"), event(2, "2025-01-01T09:00:00.000000", 8, "gold")])
+    states = {r["state"] for r in Ledger(spark, jobs.Layout(base).ledger).compare(manifest(spark, src).withColumnRenamed("path", "file_name")).collect()}
+    assert states == {"changed"}
+    assert jobs.run_batch(spark, manifest(spark, src), feed(), base, 3)["files"] == 1
+    assert ids(jobs.read_facts(spark, base)) == [1, 2]
+    assert dimension_rows(spark, base) == [(7, "gold", "2025-01-01", True), (8, "gold", "2025-01-01", True)]
+
+
+@pytest.mark.parametrize("again", ["batch", "stream"])
+def test_a_corrected_delivery_takes_back_what_it_no_longer_says(spark, tmp_path, again):
+    """Key 7 changes against the alphabet, key 8 vanishes, key 9 also stands in another file and falls back to it."""
+    src, base = str(tmp_path / "src"), str(tmp_path / "b")
+    put(src, "2025-01-01", [event(1, "2025-01-01T10:00:00.000000", 9, "plain")])
+    put(src, "2025-01-02", [event(2, "2025-01-02T10:00:00.000000", 7, "gold"), event(3, "2025-01-02T10:00:00.000000", 8, "gold"),
+                            event(4, "2025-01-02T10:00:00.000000", 9, "gold")])
+    run = (lambda n: jobs.run_stream(spark, src, feed(), base, str(tmp_path / f"c{n}"))) if again == "stream" else (
+        lambda n: jobs.run_batch(spark, manifest(spark, src), feed(), base, n))
+    run(1)
+    assert [r[:2] for r in dimension_rows(spark, base)] == [(7, "gold"), (8, "gold"), (9, "gold"), (9, "plain")]
+    put(src, "2025-01-02", [event(2, "2025-01-02T10:00:00.000000", 7, "bronze")])
+    run(2)
+    assert ids(jobs.read_facts(spark, base)) == [1, 2]
+    assert dimension_rows(spark, base) == [(7, "bronze", "2025-01-02", True), (9, "plain", "2025-01-01", True)]
+    # a delivery without any row left takes everything back
+    put(src, "2025-01-02", ["{broken"])
+    if again == "batch":
+        jobs.run_batch(spark, manifest(spark, src), feed(), base, 3, on_fail="quarantine")
+    else:
+        run(3)
+    assert dimension_rows(spark, base) == [(9, "plain", "2025-01-01", True)]
+
+
+@pytest.mark.parametrize("compact_every", [2, 64])
+def test_history_equals_a_build_over_last_deliveries(spark, tmp_path, compact_every):
+    """Random deliveries of five files in any order, some again with other rows: after each, the build over what counts."""
+    import random
+
+    rnd = random.Random(compact_every)
+    hs = HistoryStream(spark, str(tmp_path / "h"), "k", ["t"], ["t"], ["ts"], compact_every=compact_every, buckets=2)
+    schema = "k long, day date, ts timestamp_ntz, t string, _file string"
+    told = {}
+    for n in range(9):
+        f = f"f{rnd.randrange(5)}"
+        day = 1 + int(f[1])
+        told[f] = [(k, dt.date(2025, 1, day), dt.datetime(2025, 1, day, rnd.randrange(24)), rnd.choice("ABC"), f) for k in rnd.sample(range(4), rnd.randrange(4))]
+        hs.process(spark.createDataFrame(told[f], schema), n, files=spark.createDataFrame([(f,)], "_file string"))
+        hs.process(spark.createDataFrame(told[f], schema), n, files=spark.createDataFrame([(f,)], "_file string"))  # replay
+        rows = [r for rs in told.values() for r in rs]
+        want = scd2.build(spark.createDataFrame(rows, schema).select("k", "day", "t"), "k", "day", ["t"]).collect()
+        dim = hs.dimension.read()
+        cols = ["k", "t", START_COL, END_COL, CURRENT_COL]
+        got = [] if dim is None else dim.select(cols).collect()
+        assert sorted(map(tuple, got)) == sorted(tuple(r[c] for c in cols) for r in want), n
+    if compact_every == 2:
+        assert len(os.listdir(tmp_path / "h" / "snapshots")) <= 4
+
+
+def test_ledger_tells_new_changed_done_and_vanished(spark, tmp_path):
+    led = Ledger(spark, str(tmp_path / "l"))
+    schema = "file_name string, file_date date, length long, modified timestamp"
+    t = lambda h: dt.datetime(2025, 1, 5, h)
+    d = dt.date(2025, 1, 1)
+    first = spark.createDataFrame([("a", d, 10, t(1)), ("b", d, 10, t(1)), ("c", d, 10, t(1)), ("gone", d, 5, t(1))], schema)
+    led.record(first.withColumn("rows", F.lit(1)), 1, token="batch~1")
+    now = spark.createDataFrame([("a", d, 10, t(1)), ("b", d, 11, t(1)), ("c", d, 10, t(2)), ("new", d, 1, t(3))], schema)
+    state = {r["file_name"]: r["state"] for r in led.compare(now).collect()}
+    assert state == {"a": "done", "b": "changed", "c": "changed", "new": "new", "gone": "vanished"}
+    assert sorted(r["file_name"] for r in led.pending(now).collect()) == ["b", "c", "new"]
+    led.record(now.where("file_name in ('b', 'c')").withColumn("rows", F.lit(2)), 2, token="batch~2")
+    led.record(now.where("file_name in ('b', 'c')").withColumn("rows", F.lit(2)), 2, token="batch~2")  # replay
+    assert [r["file_name"] for r in led.pending(now).collect()] == ["new"] and led.read().count() == 6
+    # paths alone, as before: known files are done
+    assert [r["file_name"] for r in led.pending(now.select("file_name", "file_date")).collect()] == ["new"]
+    assert led.compact(least=2) and len(os.listdir(tmp_path / "l")) == 1
+    assert [r["file_name"] for r in led.pending(now).collect()] == ["new"]
+    assert led.seen_token("batch~1") and led.seen_batch(2) and not led.seen_token("batch~3")
+
+
+# --- reading less ----------------------------------------------------------------------
+
+def leaves(df):
+    """Scan nodes of an executed plan, with their metrics."""
+    jvm = df.sparkSession.sparkContext._jvm
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind == "FileSourceScanExec":
+            out.append(node)
+        else:
+            kids = node.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+    assert jvm is not None
+    return out
+
+
+def test_two_pending_files_a_year_apart_parse_two_folders(spark, tmp_path):
+    src = str(tmp_path / "src")
+    for i, day in enumerate(["2024-01-01", "2024-03-01", "2024-06-01", "2024-09-01", "2025-01-01"]):
+        put(src, day, [event(i, f"{day}T10:00:00.000000", i)])
+    listed = manifest(spark, src).where("file_date in ('2024-01-01', '2025-01-01')").withColumnRenamed("path", "file_name")
+    listed.write.parquet(str(tmp_path / "intent"))
+    rows = jobs._read_listed(spark, feed(), spark.read.parquet(str(tmp_path / "intent")))
+    assert "dynamicpruning" in rows._jdf.queryExecution().toString()
+    assert ids(rows) == [0, 4]
+    got = rows.select("event_id", "file_name")
+    got.collect()
+    scans = [n for n in leaves(got) if "json" in n.relation().fileFormat().toString().lower()]
+    assert [n.metrics().apply("numFiles").value() for n in scans] == [2]
+
+
+@pytest.mark.parametrize("layout", ["named", "nested"])
+def test_files_dated_by_their_names_only(spark, tmp_path, layout):
+    src = tmp_path / "src"
+    for i, day in enumerate(["2024-01-01", "2024-03-01", "2025-01-01"]):
+        d = src / day.replace("-", "/") if layout == "nested" else src
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"transactions_{day}.json").write_text(event(i, f"{day}T10:00:00.000000", i) + "\n")
+    got = files.manifest(spark, str(src), recursive=layout == "nested")
+    assert jobs._roots(got.withColumnRenamed("path", "file_name")) == ([f"file:{src}"], layout == "nested")
+    listed = got.where("file_date <> '2024-03-01'")
+    assert jobs.run_batch(spark, listed, feed(), str(tmp_path / "b"), 1)["files"] == 2
+    assert ids(jobs.read_facts(spark, str(tmp_path / "b"))) == [0, 2]
+
+
+def test_a_date_filter_opens_one_folder_of_facts_before_and_after_compaction(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "b")
+    for n, day in enumerate(["2025-01-01", "2025-01-02", "2025-01-01", "2025-01-03"]):
+        put(src, day, [event(10 * n + i, f"{day}T10:00:00.000000", i) for i in range(3)], f"transactions_{day}_{n}.json")
+        jobs.run_batch(spark, manifest(spark, src), feed(), base, n)
+    put(src, "2025-01-02", [event(10, "2025-01-02T10:00:00.000000", 1)], "transactions_2025-01-02_1.json")
+    jobs.run_batch(spark, manifest(spark, src), feed(), base, 9)
+    want = [0, 1, 2, 10, 20, 21, 22, 30, 31, 32]
+    first = dt.date(2025, 1, 1)
+
+    def day_folders():
+        one = jobs.read_facts(spark, base).where(F.col("fact_date") == F.lit(first)).select("event_id")
+        assert ids(one) == [0, 1, 2, 20, 21, 22]
+        one.collect()
+        (scan,) = [n for n in leaves(one) if "fact_date" in n.relation().partitionSchema().simpleString()]
+        return scan.metrics().apply("numPartitions").value()
+
+    assert ids(jobs.read_facts(spark, base)) == want and day_folders() == 2
+    assert jobs.compact_facts(spark, base, feed(), first, dt.date(2025, 1, 2)) == 7
+    assert ids(jobs.read_facts(spark, base)) == want and day_folders() == 1
+    assert len(os.listdir(f"{base}/fact/fact_date=2025-01-02")) == 1
+    # a later batch adds its own part
+    put(src, "2025-01-01", [event(50, "2025-01-01T11:00:00.000000", 1)], "transactions_2025-01-01_5.json")
+    jobs.run_batch(spark, manifest(spark, src), feed(), base, 10)
+    assert ids(jobs.read_facts(spark, base)) == [*want, 50]
+
+
+def test_a_compaction_that_was_cut_short_is_finished_by_the_reader(spark, tmp_path, monkeypatch):
+    src, base = str(tmp_path / "src"), str(tmp_path / "b")
+    put(src, "2025-01-01", [event(i, "2025-01-01T10:00:00.000000", 1) for i in range(3)])
+    jobs.run_batch(spark, manifest(spark, src), feed(), base, 1)
+    with monkeypatch.context() as m:
+        m.setattr(writers, "move_path", lambda *a: (_ for _ in ()).throw(OSError("cut")))
+        with pytest.raises(OSError):
+            jobs.compact_facts(spark, base, feed(), dt.date(2025, 1, 1), dt.date(2025, 1, 1))
+    assert ids(jobs.read_facts(spark, base)) == [0, 1, 2]
+    assert not os.path.exists(f"{base}/_compaction")
+
+
+def test_open_rows_meet_the_stage_without_an_exchange(spark, tmp_path):
+    dim = Dimension(spark, str(tmp_path / "d"), "k", buckets=3)
+    daily = spark.createDataFrame([(k, dt.date(2025, 1, d), "AB"[(k * d) % 2]) for k in range(50) for d in (1, 2)], "k long, day date, t string")
+    dim.commit(scd2.build(daily.where("day = '2025-01-01'"), "k", "day", ["t"]))
+    stage = dim.aligned(scd2.staged_from_daily(daily.where("day = '2025-01-02'"), "day"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for merge in (scd2.expire, scd2.merge_day):
+            out = merge(dim.read(), stage, "k", ["t"])
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "Bucketed: true" in plan and plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+        # rows that pass on to the next version are written where they are
+        _, untouched = scd2.extend_open_parts(dim.read_current(), dim.aligned(daily.where("k < 5")), "k", "day", ["t"])
+        plan = untouched.repartition(3, "k")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    want = scd2.merge_day(dim.read(), stage, "k", ["t"])
+    assert sorted(map(tuple, want.select("k", "t", START_COL, END_COL).collect())) == sorted(
+        map(tuple, scd2.build(daily, "k", "day", ["t"]).select("k", "t", START_COL, END_COL).collect()))
+
+
+def test_archive_moves_in_tasks_and_again_does_nothing(spark, tmp_path):
+    src, kept = str(tmp_path / "src dir"), str(tmp_path / "kept")
+    for d in range(1, 10):
+        put(src, f"2025-01-0{d}", [event(d, f"2025-01-0{d}T10:00:00.000000", 1)])
+    listed = files.manifest(spark, src).select(F.col("path").alias("file_name"))
+    listed.write.parquet(str(tmp_path / "list"))
+    listed = spark.read.parquet(str(tmp_path / "list"))
+    assert files.archive(spark, listed, kept) == 9
+    assert files.archive(spark, listed, kept) == 0
+    assert sorted(os.listdir(kept)) == [f"file_date=2025-01-0{d}" for d in range(1, 10)]
+    assert os.path.exists(f"{kept}/file_date=2025-01-03/transactions_2025-01-03.json")

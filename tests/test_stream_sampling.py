@@ -79,13 +79,13 @@ def test_stream_history_in_order_uses_delta_commits(spark, tmp_path):
     store = history.run_history_stream(spark, src, E_NESTED_SCHEMA, str(tmp_path / "dim"),
                                        str(tmp_path / "ckpt"), max_files_per_trigger=2)
     st = store.state()
-    # days arrive in order: after the first build every version is a delta on the same base
-    assert st["version"] == len(days) // 2 and st["max_day"] == dt.date(2025, 1, 8)
-    assert {p["base"] for p in store._places(st["version"]).values()} <= {1, 2}
+    # days arrive in order: every version adds the rows it closed to those before it
+    n = len(days) // 2
+    assert st["version"] == n and st["max_day"] == dt.date(2025, 1, 8) and st["closed"] == list(range(1, n + 1))
     assert _rows(store.read()) == _rows(_batch_build(spark, rows_by_day))
-    # every intermediate version is the build of the days folded so far
-    part = {d: rows_by_day[d] for d in days[:4]}
-    assert _rows(store.read(2)) == _rows(_batch_build(spark, part))
+    # the version before is the build of the days folded until then
+    part = {d: rows_by_day[d] for d in days[:6]}
+    assert _rows(store.read(n - 1)) == _rows(_batch_build(spark, part))
 
 
 @pytest.mark.parametrize("order", ["in_order", "odd_even"])
@@ -96,13 +96,11 @@ def test_stream_history_with_snapshot_compaction(spark, tmp_path, order):
     src = str(tmp_path / "src")
     _write_day_files(src, rows_by_day, arrival)
     store = history.run_history_stream(spark, src, E_NESTED_SCHEMA, str(tmp_path / "dim"), str(tmp_path / "ckpt"),
-                                       max_files_per_trigger=1, compact_snapshots_every=3)
+                                       max_files_per_trigger=1, compact_every=3)
     assert _rows(store.read()) == _rows(_batch_build(spark, rows_by_day))
-    st = store.state()
-    # every third batch was absorbed into a base that the log names; two are behind it
-    left = [n for n in os.listdir(tmp_path / "dim" / "snapshots") if n.startswith("batch=")]
-    assert sorted(n.rsplit("~", 1)[1] for n in left) == ["6", "7"] and not set(left) & set(st["absorbed"])
-    assert [n for n in os.listdir(tmp_path / "dim" / "snapshots_base")] == [st["snap_base"]]
+    # more than three parts become one
+    left = sorted(os.listdir(tmp_path / "dim" / "snapshots"))
+    assert left == sorted(store.state()["snapshots"]) and len(left) <= 3 and any(n.startswith("part=to-") for n in left)
 
 
 def test_stream_restart_does_not_reprocess(spark, tmp_path):
@@ -162,7 +160,7 @@ def test_run_stream_and_run_batch_agree(spark, tmp_path):
                           id_col="event_id", attrs=["event_type", "props"], tracked=["event_type"],
                           fact_cols=["event_id", "ts", "value"])
     jobs.run_stream(spark, src, cfg, str(tmp_path / "s"), str(tmp_path / "ck"), max_files_per_trigger=3)
-    manifest = files.list_files(spark, src, "*.json").select("path", "file_date")
+    manifest = files.manifest(spark, src)
     first = jobs.run_batch(spark, manifest, cfg, str(tmp_path / "b"), batch_id=1)
     again = jobs.run_batch(spark, manifest, cfg, str(tmp_path / "b"), batch_id=2)
     assert first["status"] == "done" and again["status"] == "nothing_pending"
