@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from chronoset.functions.scalar import (
     amount_class, file_name_for, format_timestamp, parse_date, parse_raw_timestamp, raw_timestamp_text)
-from chronoset.operators import lookup, quality, sampling, scd2
+from chronoset.operators import changes, drift, lookup, quality, sampling, scd2
+from chronoset.operators.check_states import CheckStates
 from chronoset.operators.shape import customer_snapshot, txn_flatten
 from chronoset.plans import feeds
 from chronoset.plans.feeds import E_ATTRS, E_DAY, E_KEY, E_TRACKED
@@ -183,13 +184,15 @@ def q_union_changed_new(spark, sf_dir):
 
 @register("sample_current")
 def q_sample_current(spark, sf_dir):
-    cur = scd2.current(_dim(spark, sf_dir))
-    return sampling.sample_rows(cur, [E_KEY], 0.25, SEED)
+    # one open row a key: a quarter of the open rows are the open rows of a quarter of the keys
+    sampled = sampling.key_sample(feeds.events(spark, sf_dir), E_KEY, 0.25, SEED)
+    return scd2.current(_dim(spark, sf_dir)).where(sampled)
 
 
 @register("sample_profiles")
 def q_sample_profiles(spark, sf_dir):
-    return sampling.sample_profiles(_daily(spark, sf_dir), E_KEY, 0.15, SEED).select(E_KEY, E_DAY, *E_ATTRS)
+    sampled = sampling.key_sample(feeds.events(spark, sf_dir), E_KEY, 0.15, SEED)
+    return sampling.one_per_key(_daily(spark, sf_dir).where(sampled), E_KEY, SEED).select(E_KEY, E_DAY, *E_ATTRS)
 
 
 def _o_names(spark, sf_dir) -> DataFrame:
@@ -327,6 +330,21 @@ def q_file_manifest(spark, sf_dir):
     return listing.groupBy("file_date").agg(F.bool_and(F.col("length") > 0).alias("non_empty"))
 
 
+@register("file_listing")
+def q_file_listing(spark, sf_dir):
+    """Names and lengths of the daily files whose name starts with a prefix, by name only."""
+    made, src = scratch_path(spark, "events-text"), scratch_path(spark, "events-named")
+    ev = feeds.events(spark, sf_dir)
+    lines = ev.select(F.concat_ws(",", "event_id", "event_type").alias("value"), F.to_date("ts").alias("file_date"))
+    lines.repartition("file_date").write.partitionBy("file_date").text(made)
+    for folder in writers.list_dirs(spark, made):
+        for name in writers.list_files(spark, f"{made}/{folder}"):
+            writers.move_path(spark, f"{made}/{folder}/{name}", f"{src}/{folder}/transactions_{folder.split('=', 1)[1]}.json")
+    first = feeds.events(spark, sf_dir).agg(F.date_format(F.min("ts"), "yyyy-MM")).first()[0]
+    listing = files.list_files(spark, src, "*.json", prefix=f"transactions_{first}-1", full_path=False)
+    return listing.select("file_name", "path", "length")
+
+
 def _o_manifest(spark, sf_dir) -> DataFrame:
     d = feeds.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("file_date")).distinct()
     return d.select(file_name_for("file_date").alias("file_name"), "file_date")
@@ -444,6 +462,62 @@ def q_dq_checks(spark, sf_dir):
     return quality.run_checks(_events_planted(spark, sf_dir), _event_rules())
 
 
+@register("dq_incremental")
+def q_dq_incremental(spark, sf_dir):
+    """The checks of all days, and of the first ten, from the states of daily
+    files added in three batches; the third delivers every fifth day again,
+    whose first delivery lacked some users. No file is read again."""
+    day = F.to_date("ts")
+    rows = _events_planted(spark, sf_dir).withColumn("file_date", day).withColumn("file_name", file_name_for(day))
+    states = CheckStates(spark, scratch_path(spark, "states"), ["event_id", "user_id", "event_type"])
+    short = (F.dayofmonth("ts") % 5 == 0) & (F.col("user_id") % 3 == 0)
+    states.add(rows.where(~short & (F.dayofmonth("ts") <= 15)))
+    states.add(rows.where(~short & (F.dayofmonth("ts") > 15)))
+    states.add(rows.where(F.dayofmonth("ts") % 5 == 0))
+    return states.run_checks(_event_rules()).withColumn("days", F.lit("all")).unionByName(
+        states.run_checks(_event_rules(), last=_split_day(spark, sf_dir)).withColumn("days", F.lit("first ten")))
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    """Raw event lines with planted drift by day: a new field, a number as
+    text, a field gone, keys as text on clicks, and lines cut off on errors."""
+    src = scratch_path(spark, "events-lines")
+    d = F.dayofmonth("ts") % 7
+    click, error = F.col("event_type") == "click", F.col("event_type") == "error"
+    user = F.col("user_id").cast("string")
+    user = F.when((d == 3) & click, F.concat(F.lit('"'), user, F.lit('"'))).otherwise(user)
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, '"', '\\\\"'), F.lit('"'))
+    profile = F.concat(F.lit('{"user_id":'), user, F.lit(',"event_type":'), quoted("event_type"),
+                       F.when(d == 2, F.lit("")).otherwise(F.concat(F.lit(',"props":'), quoted("props"))), F.lit("}"))
+    value = F.coalesce(F.col("value").cast("decimal(18,4)").cast("string"), F.lit("null"))
+    value = F.when(d == 1, F.concat(F.lit('"'), value, F.lit('"'))).otherwise(value)
+    line = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"ts":"'), raw_timestamp_text("ts"), F.lit('","value":'), value,
+                    F.when(d == 0, F.lit(',"channel":"web"')).otherwise(F.lit("")), F.lit(',"profile":'), profile, F.lit("}"))
+    line = F.when((d == 4) & error, F.substring(line, 1, 30)).otherwise(line)
+    lines = feeds.events(spark, sf_dir).select(line.alias("value"), F.to_date("ts").alias("file_date"))
+    lines.hint("rebalance", "file_date").write.partitionBy("file_date").text(src)
+    return drift.drift(spark, spark.read.text(src), E_NESTED_SCHEMA, ["file_date"])
+
+
+def _address_feed(spark, sf_dir) -> DataFrame:
+    """Daily profiles with a nested address: the city follows the state but for every tenth user, the postcode is one of five."""
+    n = F.regexp_extract("props", r"(\d+)", 1).cast("long")
+    city = F.when(F.col("user_id") % 10 == 0, F.lit("x")).otherwise(F.concat("event_type", F.lit("-"), (n % 3).cast("string")))
+    return _daily(spark, sf_dir).select(
+        E_KEY, E_DAY, F.col("event_type").alias("customer_state"), city.alias("customer_city"),
+        F.concat(city, F.lit("/"), (n % 7).cast("string")).alias("customer_address"), (n % 5).cast("string").alias("customer_zip"),
+        F.when(n % 11 > 5, F.lit("Gold")).otherwise(F.lit("Silver")).alias("customer_tier"))
+
+
+@register("change_levels")
+def q_change_levels(spark, sf_dir):
+    """Level and violations of every change of a history with a nested address."""
+    tracked = [*changes.ADDRESS_ORDER, "customer_tier"]
+    versions = scd2.build(_address_feed(spark, sf_dir), E_KEY, E_DAY, tracked)
+    return changes.change_levels(versions, E_KEY, changes.ADDRESS_ORDER, ["customer_tier"])
+
+
 @register("dq_gate")
 def q_dq_gate(spark, sf_dir):
     ev = feeds.events(spark, sf_dir)
@@ -451,6 +525,17 @@ def q_dq_gate(spark, sf_dir):
     return ev.select(*EVENT_COLS)
 
 
+@register("dq_gate_failing")
+def q_dq_gate_failing(spark, sf_dir):
+    """What the gate says of two suites: one passes, one fails (NULL event types) and leaves its input pending."""
+    told = []
+    for suite, rows, rules in (("plain", feeds.events(spark, sf_dir), quality.default_rules("event_id", "user_id")),
+                               ("planted", _events_planted(spark, sf_dir), _event_rules())):
+        ok, results = quality.gate(rows, rules, on_fail="skip")
+        told += [(suite, ok, r["rule"], r["status"]) for r in results]
+    return spark.createDataFrame(told, "suite string, passed boolean, rule string, status string")
+
+
 @register("null_counts")
 def q_null_counts(spark, sf_dir):
     return quality.null_counts(_events_planted(spark, sf_dir).select(*EVENT_COLS))
@@ -498,6 +583,23 @@ def q_stream_ingest(spark, sf_dir):
     return out.select("event_id", "ts", "profile.user_id", "profile.event_type", "value", "profile.props")
 
 
+@register("stream_ingest_dedup")
+def q_stream_ingest_dedup(spark, sf_dir):
+    """Every day's rows delivered twice under other names, half of them in the
+    same run and half in a later one: each row is in the sink once."""
+    from chronoset.streaming import ingest
+
+    src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
+    raw = _nested_events(spark, sf_dir)
+    early = F.dayofmonth("ts") <= 15
+    writers.write_daily_json(raw.where(early), src, "file_date")
+    writers.write_daily_json(raw.where(early & (F.col("event_id") % 2 == 0)), src, "file_date", "append")
+    ingest.ingest_files(spark, src, E_NESTED_SCHEMA, out, ck, once=("event_id", "ts", "60 days"))
+    writers.write_daily_json(raw.where(~early | (F.col("event_id") % 2 == 1)), src, "file_date", "append")
+    sink = ingest.ingest_files(spark, src, E_NESTED_SCHEMA, out, ck, once=("event_id", "ts", "60 days"))
+    return sink.select("event_id", "ts", "profile.user_id", "profile.event_type", "value", "profile.props")
+
+
 @register("stream_archive")
 def q_stream_archive(spark, sf_dir):
     """Two drains with an archive: the first moves its files at the start of
@@ -688,6 +790,23 @@ def q_batch_load_transactions(spark, sf_dir):
                         "transaction_status", "customer_id")
 
 
+@register("stream_scd2_state")
+def q_stream_scd2_state(spark, sf_dir):
+    """The history with the open version as stream state, in three runs: the
+    days to the 15th, the later ones, and then rows of some users' early days
+    that come late, whose users are rebuilt from all rows."""
+    from chronoset.streaming.open_state import OpenState
+
+    src, out, ck = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
+    raw = _nested_events(spark, sf_dir)
+    late = (F.col("profile.user_id") % 10 == 0) & (F.dayofmonth("ts") <= 10)
+    state = OpenState(E_KEY, E_ATTRS, E_TRACKED, ["ts", "event_id"])
+    for part in (~late & (F.dayofmonth("ts") <= 15), F.dayofmonth("ts") > 15, late):
+        writers.write_daily_json(raw.where(part), src, "file_date", "append")
+        state.drain(spark, src, E_NESTED_SCHEMA, "profile", out, ck)
+    return state.history(spark, out, feeds.events(spark, sf_dir)).select(E_KEY, *E_ATTRS, *scd2.BOOK_COLS)
+
+
 @register("stream_scd2")
 def q_stream_scd2(spark, sf_dir):
     from chronoset.streaming import history

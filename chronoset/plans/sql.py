@@ -84,7 +84,53 @@ CORRECTED = """events AS (
 
 FILE_RE = r"'transactions_(\d{4}-\d{2}-\d{2})\.json'"
 
+RULES = """SELECT unnest([
+  {'rule': 'non_empty', 'column': '*', 'metric': n::DOUBLE, 'status': CASE WHEN n > 0 THEN 'Success' ELSE 'Failure' END},
+  {'rule': 'event_id_not_null', 'column': 'event_id', 'metric': a, 'status': CASE WHEN a >= 1 THEN 'Success' ELSE 'Failure' END},
+  {'rule': 'user_id_not_null', 'column': 'user_id', 'metric': b, 'status': CASE WHEN b >= 1 THEN 'Success' ELSE 'Failure' END},
+  {'rule': 'event_type_not_null', 'column': 'event_type', 'metric': c, 'status': CASE WHEN c >= 1 THEN 'Success' ELSE 'Failure' END}],
+  recursive := true), days
+FROM (SELECT days, count(*) AS n, count(event_id)::DOUBLE / count(*) AS a, count(user_id)::DOUBLE / count(*) AS b,
+             count(nullif(event_type, 'error'))::DOUBLE / count(*) AS c
+      FROM (SELECT *, 'all' AS days FROM events
+            UNION ALL SELECT *, 'first ten' AS days FROM events WHERE CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) + 9 FROM events))
+      GROUP BY days)"""
+
+ADDRESS = """daily2 AS (
+  SELECT user_id, day, event_type AS customer_state,
+         CASE WHEN user_id % 10 = 0 THEN 'x' ELSE event_type || '-' || n % 3 END AS customer_city,
+         CASE WHEN user_id % 10 = 0 THEN 'x' ELSE event_type || '-' || n % 3 END || '/' || n % 7 AS customer_address,
+         (n % 5)::VARCHAR AS customer_zip, CASE WHEN n % 11 > 5 THEN 'Gold' ELSE 'Silver' END AS customer_tier
+  FROM (SELECT *, regexp_extract(props, '(\\d+)', 1)::BIGINT AS n FROM daily))"""
+
 ORACLE: dict[str, str] = {
+    "dq_incremental": RULES,
+    "dq_gate_failing": """SELECT * FROM (VALUES ('plain', true, 'non_empty', 'Success'), ('plain', true, 'event_id_not_null', 'Success'),
+  ('plain', true, 'user_id_not_null', 'Success')) t(suite, passed, rule, status) WHERE (SELECT count(*) = count(event_id) AND count(*) = count(user_id) FROM events)
+UNION ALL SELECT 'planted', bad = 0, rule, CASE WHEN rule <> 'event_type_not_null' OR bad = 0 THEN 'Success' ELSE 'Failure' END
+FROM (SELECT count(*) FILTER (event_type = 'error') AS bad FROM events),
+     (VALUES ('non_empty'), ('event_id_not_null'), ('user_id_not_null'), ('event_type_not_null')) r(rule)""",
+    "file_listing": """SELECT n AS file_name, n AS path, length::BIGINT AS length FROM (
+  SELECT 'transactions_' || strftime(ts, '%Y-%m-%d') || '.json' AS n, sum(length(event_id || ',' || event_type) + 1) AS length FROM events GROUP BY 1)
+WHERE starts_with(n, 'transactions_' || (SELECT strftime(min(ts), '%Y-%m') FROM events) || '-1')""",
+    "stream_scd2_state": f"WITH {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
+    "stream_ingest_dedup": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "schema_drift": """WITH e AS (SELECT *, CAST(ts AS DATE) AS file_date, day(ts) % 7 AS d, day(ts) % 7 = 4 AND event_type = 'error' AS cut FROM events)
+SELECT file_date, 'channel' AS field, 'unknown' AS drift, 'STRING' AS kinds, count(*) AS n_lines FROM e WHERE d = 0 GROUP BY 1
+UNION ALL SELECT file_date, 'value', 'retyped', 'STRING', count(*) FROM e WHERE d = 1 GROUP BY 1
+UNION ALL SELECT DISTINCT file_date, 'profile.props', 'absent', '', 0 FROM e WHERE d = 2
+UNION ALL SELECT file_date, 'profile.user_id', 'retyped', 'STRING', count(*) FROM e WHERE d = 3 AND event_type = 'click' GROUP BY 1
+UNION ALL SELECT file_date, '', 'broken', 'BROKEN', count(*) FROM e WHERE cut GROUP BY 1""",
+    "change_levels": f"""WITH {DAILY}, {ADDRESS},
+p AS (SELECT s.user_id, s.day AS effective_start_date, s.customer_state <> t.customer_state AS s, s.customer_city <> t.customer_city AS c,
+             s.customer_address <> t.customer_address AS a, s.customer_zip <> t.customer_zip AS z, s.customer_tier <> t.customer_tier AS o
+      FROM daily2 s JOIN daily2 t ON t.user_id = s.user_id AND t.day = (SELECT max(u.day) FROM daily u WHERE u.user_id = s.user_id AND u.day < s.day))
+SELECT user_id, effective_start_date,
+  CASE WHEN s THEN 'customer_state' WHEN c THEN 'customer_city' WHEN a THEN 'customer_address' WHEN z THEN 'customer_zip' END AS level,
+  concat_ws(',', CASE WHEN s AND NOT c THEN 'customer_city' END, CASE WHEN (s OR c) AND NOT a THEN 'customer_address' END,
+                 CASE WHEN (s OR c OR a) AND NOT z THEN 'customer_zip' END) AS violations,
+  CASE WHEN o THEN 'customer_tier' ELSE '' END AS others
+FROM p WHERE s OR c OR a OR z OR o""",
     "stream_redelivery": f"WITH {CORRECTED}, {DAILY}, {build_cte(['event_type'])} SELECT * FROM dim",
     "batch_redelivery": f"WITH {CORRECTED} SELECT event_id, ts, value, user_id, CAST(ts AS DATE) AS fact_date FROM events",
     "ledger_changed": """SELECT DISTINCT CAST(ts AS DATE) AS file_date,

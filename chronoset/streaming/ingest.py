@@ -57,22 +57,38 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def ingest_files(spark: SparkSession, source_dir: str, schema, sink_path: str, checkpoint: str,
                  fmt: str = "json", archive_dir: str | None = None, max_files_per_trigger: int | None = None,
-                 timeout_s: int | None = None, quarantine_path: str | None = None) -> DataFrame:
+                 timeout_s: int | None = None, once: tuple[str, str, str] | None = None) -> DataFrame:
     """Drain pending files into an append-only parquet sink; return the sink's good rows.
 
     Exactly-once into the file sink: the sink's own log records committed
     batches, so a restarted run neither loses nor duplicates rows. Lines that
-    do not parse are kept apart: with `quarantine_path` the sink is split into
-    folders of good and broken rows, and the broken ones are copied there with
-    their text; without it they are left out of the returned rows.
+    do not parse are kept apart, in a folder of the sink (`broken_lines`).
+
+    `once=(id, timestamp, horizon)` takes a row once however many files bring
+    it: ids seen within the horizon before the latest timestamp are kept as
+    state (`dropDuplicatesWithinWatermark`). A row later than the horizon is
+    not taken, as it can't be told from one taken before: choose a horizon
+    beyond the feed's latest delivery. Rows without id or timestamp are kept
+    apart with the broken lines.
     """
     stream = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger, archive_dir, corrupt=fmt == "json")
     broken = F.col(CORRUPT).isNotNull() if fmt == "json" else F.lit(False)
-    out = stream.withColumn("_broken", broken)
+    if once:
+        row_id, ts, horizon = once
+        unfit = broken | F.col(row_id).isNull() | F.col(ts).isNull()
+        # only rows with a timestamp may move the watermark or be late
+        fit = stream.where(~unfit).withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", horizon)
+        fit = fit.dropDuplicatesWithinWatermark([row_id]).drop("_at").withColumn("_broken", F.lit(False))
+        out = fit.unionByName(stream.where(unfit).withColumn("_broken", F.lit(True)))
+    else:
+        out = stream.withColumn("_broken", broken)
     drained(out.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint)
             .partitionBy("_broken").outputMode("append").trigger(availableNow=True).start(), timeout_s)
-    sink = spark.read.parquet(sink_path)
-    if quarantine_path:
-        (sink.where("_broken").select(F.col(CORRUPT).alias("line"), F.lit("broken line").alias("reason"))
-         .write.mode("overwrite").parquet(quarantine_path))
-    return sink.where("not _broken").drop("_broken", CORRUPT)
+    return spark.read.parquet(sink_path).where("not _broken").drop("_broken", CORRUPT)
+
+
+def broken_lines(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The rows a sink kept apart, as their line; read from their own folder, nothing is copied."""
+    bad = spark.read.parquet(sink_path).where(F.col("_broken").cast("boolean"))
+    line = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[c for c in bad.columns if c not in (CORRUPT, "_broken")])))
+    return bad.select(line.alias("line"), F.when(F.col(CORRUPT).isNotNull(), "broken line").otherwise("missing id or timestamp").alias("reason"))

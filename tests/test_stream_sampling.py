@@ -116,7 +116,7 @@ def test_distributed_top_n_equals_local(spark):
     df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
     order = [F.md5(F.concat(F.lit("s"), F.col("k").cast("string"))), F.col("k")]
     local = sorted(r["k"] for r in df.orderBy(*order).limit(333).collect())
-    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, partitions=7).collect())
+    dist = sorted(r["k"] for r in sampling.top_n(df, order, 333, cell_rows=7).collect())
     assert local == dist and len(dist) == 333
 
 
@@ -172,10 +172,34 @@ def test_run_stream_and_run_batch_agree(spark, tmp_path):
     assert jobs.read_facts(spark, str(tmp_path / "b")).count() == total
 
 
-@pytest.mark.parametrize("n", [1, 286, 1999, 2000, 2500])
-def test_distributed_top_n_exact_at_partition_edges(spark, n):
+@pytest.mark.parametrize("cell_rows", [1, 10**6])
+@pytest.mark.parametrize("n", [0, 1, 286, 1999, 2000, 2500])
+def test_distributed_top_n_exact_at_cell_edges(spark, n, cell_rows):
     df = spark.range(0, 2000).withColumn("k", F.col("id") * 7 % 2003)
     order = [F.md5(F.concat(F.lit("t"), F.col("k").cast("string"))), F.col("k")]
     want = sorted(r["k"] for r in df.orderBy(*order).limit(n).collect())
-    got = sorted(r["k"] for r in sampling.top_n(df, order, n, partitions=7).collect())
+    got = sorted(r["k"] for r in sampling.top_n(df, order, n, cell_rows=cell_rows).collect())
     assert got == want
+
+
+def test_top_n_of_equal_hashes_and_null_keys(spark):
+    rows = [(None, 1), (None, 2), ("", 3), ("a", 4), ("a", 5), (None, 6)]
+    df = spark.createDataFrame(rows, "k string, i int")
+    # NULL and empty text hash alike, so their rows fill one cell that no digit divides
+    order = [sampling.hash_order("s", "k"), F.col("k"), F.col("i")]
+    want = [r["i"] for r in df.orderBy(*order).collect()]
+    for n in range(len(rows) + 2):
+        assert sorted(r["i"] for r in sampling.top_n(df, order, n, cell_rows=1).collect()) == sorted(want[:n])
+    assert sampling.sample_rows(df.limit(0), ["k"], 0.5, "s").count() == 0
+
+
+def test_key_sample_keeps_whole_keys_and_reaches_the_scan(spark):
+    path = f"{SF001}/events.parquet"
+    ev = spark.read.parquet(path)
+    sampled = sampling.key_sample(ev, "user_id", 0.4, "s")
+    keys = [r[0] for r in ev.select("user_id").distinct().orderBy(F.md5(F.concat(F.lit("s"), F.col("user_id").cast("string"))), "user_id").collect()]
+    daily = latest_per_day(ev, "user_id", F.to_date("ts"), ["ts", "event_id"], ["event_type"])
+    out = scd2.build(daily, "user_id", "day", ["event_type"]).where(sampled)
+    assert {r[0] for r in out.select("user_id").distinct().collect()} == set(keys[: round(0.4 * len(keys))])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Aggregate") < plan.index("md5(")
