@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -140,6 +141,71 @@ def test_encoded_text_is_incompressible():
     assert quality.compression(prose + last, compress)[1] == len(last) / (4096 + len(last))
 
 
+def _plain_verdicts(texts):
+    """kept of every text by sorted lists: limits from distinct (length, ratio) of texts that pass the base rules."""
+    import statistics
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    size = lambda b: len(b) / len(compress(b)) if b else None
+    rows = {}
+    for i, t in texts.items():
+        data, m = (t or "").encode(), quality.base_measures(t)
+        chunks = [c for k in range(0, len(data), 4096) if len(c := data[k : k + 4096]) >= 128]
+        chunks = [(len(c), size(c)) for c in chunks] if len(chunks) > 1 else []
+        rows[i] = (m[0] < 50 or 100 * m[4] > 50 * m[0], len(data), size(data), chunks)
+    half = lambda n: math.floor(math.log2(n) * 2 + 1e-9)
+    fixed = lambda n, k: [b[k] for b in quality.BANDS if b[0] <= n][-1]
+
+    def limits(pairs):
+        out = {}
+        for band in {half(n) for n, _ in pairs if n >= 128}:
+            steps = sorted(math.floor(r * 256) for n, r in {p for p in pairs if p[0] >= 128} if half(n) == band)
+            if len(steps) >= 30:
+                mid = steps[math.ceil(len(steps) / 2) - 1]
+                away = sorted(abs(s - mid) for s in steps)[math.ceil(len(steps) / 2) - 1]
+                out[band] = (mid + 4 * max(away, 0.02 * mid) + 1) / 256
+        return out
+
+    good = [r for r in rows.values() if not r[0]]
+    whole, chunk = limits([(r[1], r[2]) for r in good]), limits([c for r in good for c in r[3]])
+    assert statistics.mean(whole.values()) > 1
+    bad = lambda n, r, own: n >= 128 and (r < fixed(n, 1) or r > min(own.get(half(n), 99), fixed(n, 2)))
+    out = {}
+    for i, (failed, n, r, chunks) in rows.items():
+        share = sum(c for c, x in chunks if bad(c, x, chunk)) / sum(c for c, _ in chunks) if chunks else 0
+        out[i] = not (failed or bad(n, r, whole) or share > 0.5)
+    return out
+
+
+def test_bands_of_the_corpus_decide_as_plain_lists_say(spark):
+    sf = "/root/testdata/sf0.1"
+    texts = dict(duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall())
+    got = {r["doc_id"]: r for r in QUERIES["op5_quality_rules"](spark, sf).collect()}
+    assert {i: r["kept"] for i, r in got.items()} == _plain_verdicts(texts)
+    # the bands find most of the junk that the base rules leave, and hardly any good text
+    labels = duckdb.sql(f"select doc_id, quality from '{sf}/labels.parquet'").fetchall()
+    left = [(q, got[i]["kept"]) for i, q in labels if not got[i]["base_failed"]]
+    assert sum(not k for q, k in left if q == 0) >= 200
+    assert sum(not k for q, k in left if q == 1) <= 0.01 * sum(q == 1 for q, _ in left)
+
+
+def test_limits_ignore_copies_and_small_bands_keep_the_fixed_ones(spark, make):
+    rnd = random.Random(3)
+    prose = lambda n: " ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(n))
+    rows = [prose(330) for _ in range(60)]
+    one = prose(330)
+    path = make([(i, t, "en", "s", 0) for i, t in enumerate([*rows, *[one] * 200, prose(20000)])])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    measured = quality.measured(docs, keep_columns=False)
+    limits = quality.corpus_limits(measured)
+    alone = quality.corpus_limits(quality.measured(docs.where("doc_id <= 60"), keep_columns=False))
+    assert limits.whole == alone.whole and len(limits.whole) >= 1
+    assert quality.band_of(len(prose(20000))) not in limits.whole
+    assert all(r["kept"] for r in quality.judged(docs).collect())
+    assert [r["kept"] for r in quality.judged(docs, limits=quality.FIXED).collect()] == [True] * 261
+
+
 def test_kept_prose_stays_in_its_band(texts):
     import zstandard
 
