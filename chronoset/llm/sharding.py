@@ -11,13 +11,17 @@ So a value held by a third of the rows is split too. Sums are combined on the
 map side. Cuts, one row per node, stay in tables that Catalyst broadcasts only
 while they are small.
 
-Defined results: NULL text has 0 bytes; a NULL in a dimension lies below all
-values; repeated rows count one by one; an empty table gives an empty result.
+A text dimension counts by rank: the distinct values are dealt out by range and
+counted, and 4,096 of them, evenly spaced, are the steps of the coordinate.
+
+Defined results: NULL text has 0 bytes, a very long one its length; a NULL in a
+dimension lies below all values; repeated rows count one by one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,17 +36,51 @@ def text_bytes(text: Column, overhead: int = OVERHEAD) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(overhead)).cast("long")
 
 
-def prefix_number(c: Column) -> Column:
-    """The first six bytes of a text as a number: keeps the order of texts."""
-    return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+def _quantiles(values: DataFrame, name: str, count: int = SLICES) -> list:
+    """At most `count` of the distinct values of a column, evenly spaced by rank; all of them where there are no more.
+
+    The distinct values are dealt out by ranges of themselves, so neither a
+    common prefix nor a hot value puts them into one task; counts of the
+    ranges give every value its rank.
+    """
+    width = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = values.select(F.col(name).alias("v")).where("v is not null").distinct()
+    ranged = staged(distinct.repartitionByRange(width, "v").withColumn("p", F.spark_partition_id()), "kd-values")
+    counts = sorted(tuple(r) for r in ranged.groupBy("p").count().collect())
+    total = sum(n for _, n in counts)
+    if total <= count:
+        return sorted((r["v"] for r in ranged.select("v").collect()), key=lambda v: v.encode())
+    start = dict(zip([p for p, _ in counts], [0, *accumulate(n for _, n in counts)], strict=False))
+    offset = F.element_at(F.create_map(*[F.lit(x) for pair in start.items() for x in pair]), F.col("p"))
+    rank = F.row_number().over(Window.partitionBy("p").orderBy("v")) + offset
+    # rank r is kept where r * count / total passes a whole number
+    hit = F.floor(F.col("r") * count / total) > F.floor((F.col("r") - 1) * count / total)
+    return sorted((r["v"] for r in ranged.withColumn("r", rank).where(hit).select("v").collect()), key=lambda v: v.encode())
+
+
+def _place(c: Column, points: list) -> Column:
+    """How many of the sorted points are at or below a value: among every 64th first, then among the 64 after."""
+    step = 64
+    heads = points[::step]
+    blocks = [points[i : i + step] for i in range(0, len(points), step)]
+    upto = lambda array: F.size(F.filter(array, lambda p: p <= c))
+    head = upto(F.lit(heads))
+    inside = upto(F.element_at(F.lit(blocks), F.greatest(head, F.lit(1))))
+    return F.when(c.isNotNull(), F.when(head == 0, F.lit(0)).otherwise((head - 1) * step + inside)).cast("double")
 
 
 def dimensions(df: DataFrame, names: list[str]) -> list[Column]:
+    """A coordinate per dimension: texts by their rank among the distinct values, in 4,096 steps; `size` by its logarithm."""
     kinds = dict(df.dtypes)
     out = []
     for n in names:
         c = F.col(n)
-        out.append((prefix_number(c) if kinds[n] == "string" else F.log2(F.greatest(c.cast("double"), F.lit(0.0)) + 1) if n == "size" else c.cast("double")).alias(f"__d{len(out)}"))
+        if kinds[n] == "string":
+            points = _quantiles(df, n)
+            d = _place(c, points) if points else F.lit(None).cast("double")
+        else:
+            d = F.log2(F.greatest(c.cast("double"), F.lit(0.0)) + 1) if n == "size" else c.cast("double")
+        out.append(d.alias(f"__d{len(out)}"))
     return out
 
 
