@@ -8,7 +8,8 @@ ordinary shuffle, where no group is above that share.
 
 Defined results: NULL text counts as empty; NULL ids order after all others;
 of rows repeated with the same id exactly one stays; an empty table gives an
-empty result; other columns of the input are ignored.
+empty result; a very long text is one digest; other columns of the input are
+ignored, or kept by `drop_copies`.
 """
 
 from __future__ import annotations
@@ -28,12 +29,12 @@ def normalised(text: Column) -> Column:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _grouped(docs, id_col, text_col, support, F.monotonically_increasing_id()).drop("rid")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, support: float, rid: Column) -> DataFrame:
     digests = staged(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"),
-            F.monotonically_increasing_id().alias("rid"),
-        ),
+        docs.select(F.col(id_col).alias("doc_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"), rid.alias("rid")),
         "digests",
     )
     # the counters work on 60 bits of the digest; the winners are verified on all of it
@@ -58,11 +59,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("kept", F.row_number().over(order) == 1)
         .withColumn("group_size", F.count(F.lit(1)).over(same))
     )
-    out = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    out = ["doc_id", "keep_id", "group_size", "kept", "text_sha256", "rid"]
     return hot.select(*out).unionByName(rest.select(*out))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
-    """The rows of `docs` that stay, all columns. Ids must be unique."""
-    keep = exact_groups(docs, id_col, text_col, support).where("kept").select(F.col("doc_id").alias("__id"))
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    """The rows of `docs` that stay, all columns; of repeated rows with one id, one.
+
+    The rows are numbered in a table first, so that the row that stays is told
+    from its copies.
+    """
+    rid = "__rid"
+    numbered = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "numbered")
+    keep = _grouped(numbered, id_col, text_col, support, F.col(rid)).where("kept").select(F.col("rid").alias(rid))
+    return numbered.join(keep, rid, "left_semi").drop(rid)

@@ -5,11 +5,14 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from chronoset.llm import components, language_id, licenses, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
+from chronoset.llm import components, exact_dedup, language_id, licenses, line_dedup, minhash, mixing, pii, quality, sentencepieces, sharding
 from chronoset.llm.catalog import QUERIES, piece_model
 from chronoset.llm.common import documents
 
@@ -407,13 +410,136 @@ def test_language_of_held_out_rows(spark):
 
 
 def test_language_ignores_labels_of_held_out_rows(spark, make):
-    """Changing language, source and id of the others' labels changes nothing for a text."""
-    docs = documents(spark, SF)
-    model = language_id.fitted(docs)
-    text = "und" if not model.languages else docs.where("lang = 'de'").first()["text"]
+    """Other languages, sources and ids of nothing but held-out rows: no prediction changes."""
+    rows = [tuple(r) for r in documents(spark, SF).collect()]
+    held = {r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0}
+    turned = [(i, t, "xx" if i in held else lang, "other", n) for i, t, lang, _, n in rows]
+    one, two = (sorted(tuple(r) for r in QUERIES["op10_language_id"](spark, make(x)).collect()) for x in (rows, turned))
+    assert one == two and len(held) > 20 and {r[2] for r in one} == {"de", "en", "es", "fr"}
+    model = language_id.fitted(documents(spark, SF))
+    text = documents(spark, SF).where("lang = 'de'").first()["text"]
     assert model.predict(text)[0] == "de" and model.predict("123 456")[:2] == ("und", 0.0) and model.predict(None)[0] == "und"
 
 
+def test_clusters_of_two_varieties_and_no_centroid_for_odd_rows():
+    rng = np.random.default_rng(1)
+    unit = lambda x: (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    one, two = np.zeros(40), np.zeros(40)
+    one[:20], two[20:] = 1, 1
+    x = unit(np.concatenate([one + rng.normal(0, 0.2, (150, 40)), two + rng.normal(0, 0.2, (150, 40)), rng.normal(0, 1, (4, 40))]))
+    c = language_id.clustered(x)
+    to = np.argmax(x @ c.T, 1)
+    assert len(c) >= 2 and np.bincount(to, minlength=len(c)).min() >= 0.04 * len(x)
+    # no centroid mixes the two varieties
+    assert not set(to[:150].tolist()) & set(to[150:300].tolist())
+    assert len(language_id.clustered(unit(np.ones((30, 40))))) == 1
+
+
+def test_language_of_two_scripts_and_more_languages_than_a_block(spark, make, monkeypatch):
+    rnd = random.Random(8)
+    latin, cyrillic = "abcdefghij", "бвгджзиклм"
+    word = lambda letters: "".join(rnd.choices(letters, k=rnd.randint(3, 8)))
+    say = lambda letters: " ".join(word(letters) for _ in range(40))
+    rows = [(i, say(cyrillic if i % 2 else latin) if i % 3 else say("nopqrstuvw"), "sr" if i % 3 else "zz", "s", 0) for i in range(300)]
+    rows += [(1000 + 60 * k + i, say("αβγδεζηθικλμνξοπρστυ"[4 * k : 4 * k + 4]), f"l{k}", "s", 0) for k in range(5) for i in range(60)]
+    path = make(rows)
+    docs = documents(spark, path)
+    want = {r[0]: r[2] for r in rows}
+    whole = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op10_language_id"](spark, path).collect()}
+    held = [i for i, r in whole.items() if r[0]]
+    assert sum(whole[i][1] == want[i] for i in held) >= 0.95 * len(held)
+    assert all(whole[i][1] == "sr" for i in held if want[i] == "sr" and i % 2)
+    monkeypatch.setattr(language_id, "BLOCK", 2)
+    model = language_id.fitted(docs)
+    assert len(model.blocks) == 4 and model.languages == sorted(set(want.values()))
+    parts = {r["doc_id"]: (r["held_out"], r["lang_pred"], r["score"]) for r in language_id.identified(docs, model).collect()}
+    # sums of 32-bit products differ in their last digits with the number of centroids
+    assert all(p[:2] == whole[i][:2] and abs(p[2] - whole[i][2]) < 1e-4 for i, p in parts.items())
+    # against plain cosines with every centroid
+    for i, text in ((r[0], r[1]) for r in rows[::17]):
+        at, v = language_id.vector(text, model.idf)
+        best = max(((float(x), lang) for b in model.blocks for x, lang in zip(v @ b.value.centroids[at], [b.value.languages[o] for o in b.value.owner], strict=True)), key=lambda t: t[0])
+        assert parts[i][1] == best[1] and abs(parts[i][2] - min(1.0, best[0])) < 1e-6
+
+
+def test_drop_copies_keeps_one_of_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (2, "a  b", "y"), (3, "c", "z"), (None, "c", "z"), (None, None, None)], "doc_id long, text string, extra string")
+    got = sorted(map(str, exact_dedup.drop_copies(df).collect()))
+    assert got == sorted(map(str, [df.collect()[0], df.collect()[3], df.collect()[5]]))
+
+
+def _plain_tree(rows, dims, shards):
+    """Shard of each row by recursion over lists: the rule of the operator, coordinates and hashes given."""
+    lo = [min((r[d] for r in rows if r[d] is not None), default=None) for d in dims]
+    hi = [max((r[d] for r in rows if r[d] is not None), default=None) for d in dims]
+
+    def unit(v, k):
+        if v is None:
+            return 0.0
+        return ((v - lo[k]) / (hi[k] - lo[k]) if hi[k] > lo[k] else 0.0) * 0.999 + 0.001
+
+    points = [(r["__id"], r["__w"], r["__h"], [unit(r[d], k) for k, d in enumerate(dims)]) for r in rows]
+    out = {}
+
+    def split(points, at, k):
+        if k <= 1:
+            out.update((p[0], at) for p in points)
+            return
+        goal = sum(p[1] for p in points) * (k // 2) / k
+        ends = [(min(p[3][d] for p in points), max(p[3][d] for p in points)) for d in range(len(dims))]
+        d = max(range(len(dims)), key=lambda d: (ends[d][1] - ends[d][0], -d))
+        width = ends[d][1] - ends[d][0]
+        scale = (sharding.SLICES - 1) / width if width > 0 else 0.0
+        slice_of = lambda p: math.floor((p[3][d] - ends[d][0]) * scale)
+        sums = collections.Counter()
+        for p in points:
+            sums[slice_of(p)] += p[1]
+        upto = 0
+        for s in sorted(sums):
+            if upto + sums[s] >= goal > upto:
+                break
+            upto += sums[s]
+        fine = collections.Counter()
+        for p in points:
+            if slice_of(p) == s:
+                fine[p[2]] += p[1]
+        best, run = (abs(upto - goal), 0), upto
+        for h in sorted(fine):
+            run += fine[h]
+            best = min(best, (abs(run - goal), h + 1))
+        low = [p for p in points if slice_of(p) < s or (slice_of(p) == s and p[2] < best[1])]
+        high = [p for p in points if not (slice_of(p) < s or (slice_of(p) == s and p[2] < best[1]))]
+        split(low, at, k // 2)
+        split(high, at + k // 2, k - k // 2)
+
+    split(points, 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("dims,shards", [(["lang", "source", "size", "n_chars"], 24), (["source"], 5), (["size", "doc_id"], 7)])
+def test_tree_equals_plain_recursion(spark, dims, shards):
+    docs = documents(spark, SF01)
+    rows = docs.select("doc_id", "lang", "source", "n_chars", sharding.text_bytes(F.col("text")).alias("size"))
+    names = [f"__d{i}" for i in range(len(dims))]
+    given = rows.select("*", *sharding.dimensions(rows, dims), F.col("doc_id").alias("__id"), F.col("size").alias("__w"),
+                        F.pmod(F.xxhash64(*[sharding.key_text(c) for c in rows.columns]), F.lit(sharding.SLICES)).cast("int").alias("__h")).collect()
+    got = {r["doc_id"]: r["shard"] for r in sharding.kd_assigned(rows, dims, shards=shards).collect()}
+    assert got == _plain_tree([r.asDict() for r in given], names, shards)
+
+
+def test_texts_of_one_prefix_have_many_coordinates(spark):
+    rows = spark.range(30000).select(F.col("id").alias("doc_id"), F.format_string("https://site%06d.example/", F.pmod(F.hash("id"), F.lit(20000))).alias("url"), F.lit(100).alias("size"))
+    place = rows.select("url", sharding.dimensions(rows, ["url"])[0].alias("d")).distinct().orderBy("url").collect()
+    d = [r["d"] for r in place]
+    assert d == sorted(d) and len(set(d)) >= 4000
+    steps = collections.Counter(d)
+    assert max(steps.values()) <= 2 * len(d) / sharding.SLICES + 1
+    got = collections.Counter(r["shard"] for r in sharding.kd_assigned(rows, ["url"], shards=6).collect())
+    assert len(got) == 6 and max(got.values()) < 1.05 * 5000
+    few = spark.createDataFrame([("b",), (None,), ("é",), ("a",), ("a",)], "t string")
+    assert sorted(r[0] or 0 for r in few.select(sharding.dimensions(few, ["t"])[0]).collect()) == [0, 1, 1, 2, 3]
+
+
 def test_licenses_are_found_and_look_alikes_are_not(spark, make):
     notices = [t for own in licenses.TEMPLATES.values() for t in own]
     assert all(any(a in t.lower() for a in licenses.ANCHORS) for t in notices)
