@@ -1,12 +1,17 @@
 """Line dedup by content-defined chunks of lines.
 
-A document is cut into chunks of lines where the hash of a line says "starts"
-or that of the line before says "ends", so the cuts inside a passage are the
-same wherever it stands. Short passages hold few cuts, hence `CHUNKINGS`
-independent cuttings, each by its own bit of the two hashes; equal spans count
-once. A chunk's key is a rolling polynomial over its line hashes. Chunks of two
-lines or more whose key occurs again anywhere are compared byte by byte with
-the first occurrence, the smallest (id, place), and every later one is removed.
+A rolling hash over the line hashes decides where a document is cut: a cut
+lies before line i if the hash of the window of w lines from i on says
+"starts", or that of the w lines before i says "ends". Cuts inside a passage
+are thus the same wherever it stands, whatever stands around it. Windows of
+three widths are rolled, as short passages hold few wide windows, and each is
+read for several independent cuttings, a bit of the hash each: `SCALES` gives
+width and bits. Equal spans count once. In a run of equal lines all windows
+are alike, so a run is cut off from its surroundings and in twos.
+
+A chunk's key is a polynomial over its line hashes. Chunks of two lines or more
+whose key occurs again anywhere are compared byte by byte with the first
+occurrence, the smallest (id, place), and every later one is removed.
 
 A removed line always has an equal line in an earlier place, so each line
 stays somewhere. Only keys of chunks are shuffled by key; texts move twice, to
@@ -32,7 +37,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from chronoset.llm.common import staged
 
-CHUNKINGS = 32
+#: Lines of a window, and how many cuttings its hash decides.
+SCALES = ((1, 16), (2, 10), (3, 6))
 MIN_LINES = 2
 MIN_WORDS = 10
 LAST = 2**63 - 1
@@ -54,6 +60,35 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=_U)
 
 
+def cut_bits(h: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """A bit per cutting for the place before each line; windows end at the text's first and last line."""
+    n = len(h)
+    cut, free = np.zeros(n, _U), 0
+    for width, bits in SCALES:
+        ahead, behind = np.zeros(n, _U), np.zeros(n, _U)
+        for k in range(width):
+            # line i + k, and line i - 1 - k, where they belong to the text of line i
+            turn = mixed(h + _U((k + 1) * _BASE[0] % 2**64))
+            same = text_of[k:] == text_of[: n - k]
+            ahead[: n - k] += np.where(same, turn[k:], _U(0))
+            same = text_of[k + 1 :] == text_of[: n - 1 - k]
+            behind[k + 1 :] += np.where(same, mixed(h + _U((k + 1) * _BASE[1] % 2**64))[: n - 1 - k], _U(0))
+        says = mixed(ahead) | mixed(behind)
+        cut |= (says & _U((1 << bits) - 1)) << _U(free)
+        free += bits
+    again = np.zeros(n, bool)
+    again[1:] = (h[1:] == h[:-1]) & (text_of[1:] == text_of[:-1])
+    place = np.arange(n) - np.maximum.accumulate(np.where(again, 0, np.arange(n)))
+    whole = _U((1 << free) - 1)
+    run = again.copy()
+    run[:-1] |= again[1:]
+    cut[run] = np.where(place[run] % 2 == 0, whole, _U(0))
+    # what follows a run starts anew
+    cut[1:][run[:-1] & ~again[1:]] = whole
+    cut[np.flatnonzero(np.diff(text_of, prepend=-1))] = whole
+    return cut
+
+
 def chunks(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Multi-line chunks of texts: text number, first line, line behind the last, and two keys."""
     import xxhash
@@ -74,11 +109,9 @@ def chunks(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     full_sum = np.concatenate([[0], np.cumsum(words > 0)])
     begins = np.concatenate([[0], np.cumsum(sizes)])
     text_of = np.repeat(np.arange(len(texts)), sizes)
-    cut = mixed(h + _U(1))
-    cut[1:] |= mixed(h[:-1] + _U(2))
-    cut[begins[:-1][np.array(sizes) > 0]] = _U(2**64 - 1)
+    cut = cut_bits(h, text_of)
     spans = []
-    for f in range(CHUNKINGS):
+    for f in range(sum(bits for _, bits in SCALES)):
         at = np.flatnonzero((cut >> _U(f)) & _U(1))
         end = np.append(at[1:], n)
         several = end - at >= MIN_LINES

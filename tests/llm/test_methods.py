@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -107,6 +108,47 @@ def brute_measures(t):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
 
 
+def test_lines_seen_before_are_removed_by_an_independent_finder(spark):
+    """Pairs of neighbouring lines with ten words that stand anywhere before, found without chunks."""
+    sf = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet' order by doc_id").fetchall()
+    seen, want = set(), set()
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        for k, pair in enumerate(itertools.pairwise(lines)):
+            if all(map(str.strip, pair)) and len(" ".join(pair).split()) >= 10:
+                if pair in seen:
+                    want |= {(i, k), (i, k + 1)}
+                seen.add(pair)
+        # the first two of a run of equal lines stay
+        want -= {(i, k) for k in range(1, len(lines)) if lines[k] == lines[k - 1] and (k == 1 or lines[k - 2] != lines[k])}
+    got = {(r["doc_id"], int(k)) for r in QUERIES["op4_line_dedup"](spark, sf).collect() for k in r["removed"].split(",") if k}
+    assert len(want) > 5000 and len(want & got) >= 0.99 * len(want)
+    # what is removed was there before: every removed line has an equal one that stays
+    text = dict(rows)
+    stay = {x for i, t in rows for k, x in enumerate((t or "").split("\n")) if (i, k) not in got}
+    assert all(text[i].split("\n")[k] in stay for i, k in got)
+
+
+def test_a_line_repeated_in_a_row_stays_twice(spark, make):
+    line = "one two three four five six seven"
+    rows = [(1, "\n".join(["head of it", *[line] * 7, "tail"]), "en", "s", 0), (2, "\n".join([line] * 4), "en", "s", 0)]
+    got = {r["doc_id"]: r["removed"] for r in QUERIES["op4_line_dedup"](spark, make(rows)).collect()}
+    assert got == {1: "3,4,5,6", 2: "0,1,2,3"}
+
+
+def test_cuts_of_a_passage_do_not_depend_on_what_surrounds_it():
+    rnd = random.Random(4)
+    passage = [f"passage line {rnd.random()} with some more words in it" for _ in range(8)]
+    spans = []
+    for n in range(6):
+        around = [[f"other {rnd.random()} words"] * 1 for _ in range(n)]
+        text = "\n".join([x for a in around for x in a] + passage + ["end of it all"] * n)
+        of, s, e, a, b = line_dedup.chunks([text])
+        spans.append({(x - n, y - n) for x, y in zip(s, e, strict=True) if x >= n + 3 and y <= n + 5})
+    assert all(x == spans[0] for x in spans)
+
+
 def test_quality_measures_equal_brute_force(spark, texts):
     for r in QUERIES["op5_quality_rules"](spark, SF).collect():
         assert tuple(r)[1:6] == brute_measures(texts[r["doc_id"]])
