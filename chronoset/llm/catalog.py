@@ -65,7 +65,7 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.detected(documents(spark, sf_dir))
     counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE]
-    return rows.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+    return rows.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,9 +9,10 @@ Bayes classifier of the span's own features is trained on these likelihoods.
 It decides which candidates become spans. Base spans always stay, and a
 candidate that overlaps one is left out.
 
-The text is read once: matches go to a staged table, and what the estimation
-reads is one row per vote and feature pattern, a number bounded by the
-labelers and features, not by the data. All of it is column expressions.
+The text is read once: matches go to a staged table. The estimation runs on the
+counts of vote patterns, the classifier's training on one row per vote and
+feature pattern; both numbers are bounded by labelers and features, not by the
+data. All of it is column expressions.
 
 The patterns are written so that a match takes linear time and no deep
 recursion: a run is entered at its start only, and taken whole.
@@ -197,32 +198,46 @@ def _vote_key(j: int) -> Column:
 
 
 def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, dict]:
-    """Expectation-maximisation over vote patterns (kind, votes, n): the patterns with p, and per kind the prior and each labeler's yes rates given yes and no."""
-    kinds = {r["kind"] for r in patterns.select("kind").distinct().collect()}
-    model = {k: {"prior": 0.3, "yes": [0.8] * LABELERS, "no": [0.2] * LABELERS} for k in sorted(kinds)}
-    scored = patterns.withColumn("p", F.lit(0.0))
-    for turn in range(rounds + 1 if kinds else 0):
-        prior = {k: math.log(m["prior"] / (1 - m["prior"])) for k, m in model.items()}
-        weight = {f"{k} {j} {v}": math.log((m["yes"][j] if v else 1 - m["yes"][j]) / (m["no"][j] if v else 1 - m["no"][j])) for k, m in model.items() for j in range(LABELERS) for v in (0, 1)}
-        logit = F.element_at(_map(prior), F.col("kind"))
-        for j in range(LABELERS):
-            logit = logit + F.coalesce(F.try_element_at(_map(weight), _vote_key(j)), F.lit(0.0))
-        scored = patterns.withColumn("p", 1 / (1 + F.exp(-logit)))
-        if turn == rounds:
-            break
-        sums = [F.sum(F.col("n") * F.col("p")).alias("t"), F.sum("n").alias("n")]
-        for j in range(LABELERS):
-            v = F.element_at("votes", j + 1)
-            for name, w in (("y", F.col("n") * F.col("p")), ("x", F.col("n") * (1 - F.col("p")))):
-                sums += [F.sum(F.when(v == 1, w).otherwise(0.0)).alias(f"{name}{j}"), F.sum(F.when(v >= 0, w).otherwise(0.0)).alias(f"{name}{j}_of")]
-        for r in scored.groupBy("kind").agg(*sums).collect():
-            # two counts each way keep every rate inside (0, 1), and labelers better than chance at the start
-            model[r["kind"]] = {
-                "prior": (r["t"] + 1) / (r["n"] + 3),
-                "yes": [(r[f"y{j}"] + 2) / (r[f"y{j}_of"] + 3) for j in range(LABELERS)],
-                "no": [(r[f"x{j}"] + 1) / (r[f"x{j}_of"] + 3) for j in range(LABELERS)],
-            }
-    return scored, model
+    """Expectation-maximisation over vote patterns (kind, votes, n): the patterns with p, and per kind the prior and each labeler's yes rates given yes and no.
+
+    A round needs the number of candidates of each kind and votes only: at most
+    3 kinds of 3 ** LABELERS votes, collected once.
+    """
+    counts: dict[str, list] = {}
+    for r in patterns.groupBy("kind", "votes").agg(F.sum("n").alias("n")).collect():
+        counts.setdefault(r["kind"], []).append((r["votes"], r["n"]))
+    model = {k: estimated(sorted(counts[k]), rounds) for k in sorted(counts)}
+    prior = {k: math.log(m["prior"] / (1 - m["prior"])) for k, m in model.items()}
+    weight = {f"{k} {j} {v}": math.log((m["yes"][j] if v else 1 - m["yes"][j]) / (m["no"][j] if v else 1 - m["no"][j])) for k, m in model.items() for j in range(LABELERS) for v in (0, 1)}
+    if not model:
+        return patterns.withColumn("p", F.lit(0.0)), model
+    logit = F.element_at(_map(prior), F.col("kind"))
+    for j in range(LABELERS):
+        logit = logit + F.coalesce(F.try_element_at(_map(weight), _vote_key(j)), F.lit(0.0))
+    return patterns.withColumn("p", 1 / (1 + F.exp(-logit))), model
+
+
+def estimated(counts: list[tuple[list[int], int]], rounds: int = ROUNDS) -> dict:
+    """Prior and yes rates of one kind from the number of candidates of each vote pattern (1 yes, 0 no, -1 nothing)."""
+    prior, yes, no = 0.3, [0.8] * LABELERS, [0.2] * LABELERS
+    for _ in range(rounds):
+        # two counts each way keep every rate inside (0, 1), and labelers better than chance at the start
+        t, n = 1.0, 3.0
+        y, y_of, x, x_of = [2.0] * LABELERS, [3.0] * LABELERS, [1.0] * LABELERS, [3.0] * LABELERS
+        for votes, times in counts:
+            logit = math.log(prior / (1 - prior))
+            for j, v in enumerate(votes):
+                if v >= 0:
+                    logit += math.log((yes[j] if v else 1 - yes[j]) / (no[j] if v else 1 - no[j]))
+            p = 1 / (1 + math.exp(-logit))
+            t, n = t + times * p, n + times
+            for j, v in enumerate(votes):
+                if v >= 0:
+                    y_of[j], x_of[j] = y_of[j] + times * p, x_of[j] + times * (1 - p)
+                    if v:
+                        y[j], x[j] = y[j] + times * p, x[j] + times * (1 - p)
+        prior, yes, no = t / n, [a / b for a, b in zip(y, y_of, strict=True)], [a / b for a, b in zip(x, x_of, strict=True)]
+    return {"prior": prior, "yes": yes, "no": no}
 
 
 def classifier(scored: DataFrame) -> Column:

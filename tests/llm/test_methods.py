@@ -424,6 +424,49 @@ def brute_spans(t):
     return out
 
 
+def test_reliabilities_equal_a_plain_expectation_maximisation(spark):
+    """Candidate by candidate, in probabilities; and planted reliabilities are found again."""
+    rng = np.random.default_rng(5)
+    truth = rng.random(4000) < 0.4
+    hits, false = np.linspace(0.95, 0.6, pii.LABELERS), np.linspace(0.05, 0.4, pii.LABELERS)
+    votes = np.where(rng.random((4000, pii.LABELERS)) < np.where(truth[:, None], hits, false), 1, 0)
+    votes[rng.random(votes.shape) < 0.2] = -1
+    prior, yes, no = 0.3, np.full(pii.LABELERS, 0.8), np.full(pii.LABELERS, 0.2)
+    for turn in range(pii.ROUNDS + 1):
+        a = prior * np.prod(np.where(votes == 1, yes, np.where(votes == 0, 1 - yes, 1)), 1)
+        b = (1 - prior) * np.prod(np.where(votes == 1, no, np.where(votes == 0, 1 - no, 1)), 1)
+        p = a / (a + b)
+        if turn == pii.ROUNDS:
+            break
+        said = votes >= 0
+        prior = (p.sum() + 1) / (len(p) + 3)
+        yes = ((p[:, None] * (votes == 1)).sum(0) + 2) / ((p[:, None] * said).sum(0) + 3)
+        no = (((1 - p)[:, None] * (votes == 1)).sum(0) + 1) / (((1 - p)[:, None] * said).sum(0) + 3)
+    counts = collections.Counter(map(tuple, votes.tolist()))
+    df = spark.createDataFrame([("name", list(v), ["f"], n) for v, n in counts.items()], "kind string, votes array<int>, features array<string>, n long")
+    scored, model = pii.reliabilities(df)
+    want = {tuple(v): x for v, x in zip(votes.tolist(), p.tolist(), strict=True)}
+    assert all(abs(r["p"] - want[tuple(r["votes"])]) < 1e-9 for r in scored.collect())
+    m = model["name"]
+    assert abs(m["prior"] - prior) < 1e-9 and np.allclose(m["yes"], yes) and np.allclose(m["no"], no)
+    assert abs(prior - 0.4) < 0.03 and np.abs(yes - hits).max() < 0.05 and np.abs(no - false).max() < 0.05
+    assert pii.reliabilities(df.limit(0))[0].count() == 0
+
+
+def test_classifier_equals_plain_naive_bayes(spark):
+    rows = [("name", ["a", "b"], 5, 0.9), ("name", ["a"], 7, 0.2), ("name", ["c", "b"], 2, 0.6), ("secret", ["a", "c"], 4, 0.5)]
+    df = spark.createDataFrame(rows, "kind string, features array<string>, n long, p double")
+    got = {(r["kind"], tuple(r["features"])): r["odds"] for r in df.withColumn("odds", pii.classifier(df)(F.struct("kind", "features"))).collect()}
+    for kind, features, _, _ in rows:
+        own = [r for r in rows if r[0] == kind]
+        y, n = sum(r[2] * r[3] for r in own), sum(r[2] * (1 - r[3]) for r in own)
+        odds = math.log((y + 0.5) / (n + 0.5))
+        for f in features:
+            fy, fn = sum(r[2] * r[3] for r in own if f in r[1]), sum(r[2] * (1 - r[3]) for r in own if f in r[1])
+            odds += math.log((fy + 0.5) / (y + 1)) - math.log((fn + 0.5) / (n + 1))
+        assert abs(got[kind, tuple(features)] - odds) < 1e-9
+
+
 def test_personal_data_equals_brute_force(spark, make):
     rnd = random.Random(3)
     parts = ["a", "b.c", "@", "@x", "x.y", ".", "..", "-", "1", "12", "255", "256", "192.168.1.1", "4532015112830366", "4532 0151 1283 0366", " ", "+", "+1 (", "555", "é", "日😀", "(", ")", "\n", "a@b.c", "_d@e.f", "%", 'token = "a1b2c3d4e5f6a7b8c9d0e1f2"', "Dr. Peter Martin", "call 555-123-4567"]
@@ -435,6 +478,7 @@ def test_personal_data_equals_brute_force(spark, make):
         spans = [x for x in r["spans"].split(",") if x]
         assert r["base_sha256"] == sha(",".join(base)) and spans[: len(base)] == base
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(x.startswith(k) for x in base) for k in pii.BASE]
+        assert r["n_spans"] == len(spans)
         kinds.update(x.split(":")[0] for x in spans[len(base) :])
     assert min(kinds[k] for k in pii.MORE) > 100
 
