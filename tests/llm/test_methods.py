@@ -636,6 +636,46 @@ def test_licenses_are_found_and_look_alikes_are_not(spark, make):
     assert right >= 0.95 * len(want) and all(got[i] == [] for i in range(len(want), len(rows)))
 
 
+#: Sentences from outside the module: family, or None where nothing is granted.
+SAID = {
+    "This file may be used under the terms of the GNU General Public License version 2.": ["gpl"],
+    "Dual licensed under MIT or Apache-2.0": ["apache", "mit"], "MIT licensed.": ["mit"], "License: GPLv3+": ["gpl"], "The MIT Licence applies to this code.": ["mit"],
+    "Made available under the Eclipse Public License v2.0 by the project.": ["epl"], "Distributed under the Boost Software License, Version 1.0.": ["boost"],
+    "Released into the wild under the Unlicense.": ["unlicense"], "The decompressor is licensed under the zlib license.": ["zlib"], "Illustrations are licensed under CC BY-ND 4.0": ["cc-by-nd"],
+    "licensed under LGPL-2.1, not under the GPL's terms as such": ["lgpl"], "Code is published under AGPLv3.": ["agpl"], "This package is available under a 3-clause BSD licence.": ["bsd"],
+    "He got his licence at MIT in 1999.": [], "The museum is licensed to sell wine.": [], "A general public licence hearing was held.": [], "Boost your sales with our software license today.": [],
+    "The zlib author gave a talk about warranty law.": [], "An eclipse is seen by the public under licence of the park.": [], "Her license was under review by the state of Oregon.": [],
+}
+
+
+def test_notices_in_words_of_their_own(spark, make):
+    path = make([(i, f"First line.\n{t}\nLast line.", "en", "s", 0) for i, t in enumerate(SAID)])
+    got = {r["doc_id"]: sorted({h["family"] for h in r["hits"]} - {licenses.UNKNOWN}) for r in licenses.scanned(documents(spark, path)).collect()}
+    wrong = {t: got[i] for i, (t, want) in enumerate(SAID.items()) if got[i] != want}
+    assert len(wrong) <= 1, wrong
+    assert not any(got[i] for i, want in enumerate(SAID.values()) if not want)
+
+
+def test_prose_with_anchors_names_no_family(spark, make):
+    """Precision: random sentences around license words, without the grant of a name."""
+    rnd = random.Random(12)
+    nouns, verbs = "the court,her lawyer,a driver,the firm,MIT students,the Apache tribe,a public domain,the licence office,copyright holders,the warranty".split(","), "discussed,refused,renewed,paid for,read about,lost,granted,reviewed".split(",")
+    tails = "the license,a licence fee,its copyright,the warranty claim,fishing licences,the license plate,a software license key,licensing rules,public domain books".split(",")
+    say = lambda: f"{rnd.choice(nouns)} {rnd.choice(verbs)} {rnd.choice(tails)} {rnd.choice(['yesterday', 'in June', 'by mistake', 'under pressure', 'for ten years'])}.".capitalize()
+    path = make([(i, "\n".join(say() for _ in range(5)), "en", "s", 0) for i in range(300)])
+    rows = licenses.scanned(documents(spark, path)).collect()
+    named = [h["family"] for r in rows for h in r["hits"] if h["family"] != licenses.UNKNOWN]
+    assert len(named) <= 0.002 * 1500 and sum(r["n_candidates"] for r in rows) > 1000
+
+
+def test_a_text_of_very_many_anchor_lines(spark, make):
+    line = ["The license office is open.", "Released under the MIT License."]
+    text = "\n".join(line[i % 40 == 7] for i in range(2000))
+    (r,) = licenses.scanned(documents(spark, make([(1, text, "en", "s", 0)]))).collect()
+    assert r["n_candidates"] == 2000
+    assert [h["line"] for h in r["hits"] if h["family"] == "mit"] == list(range(7, 2000, 40))
+
+
 def test_license_lines_of_the_table(spark, texts):
     lines = {"This work is licensed under the GNU General Public License, version 3.": "gpl", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under the Apache License, Version 2.0.": "apache"}
     for r in QUERIES["op3_license_scan"](spark, SF).collect():
