@@ -182,9 +182,13 @@ def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     taught = docs.where(may & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     idf = frequencies(taught, "text")
     h = F.xxhash64("id")
-    share = taught.groupBy("lang").agg((F.lit(2.0 * sample) / F.count(F.lit(1))).alias("share"))
+    counts = taught.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    # languages with a thousandth of the rows or more: a thousand at most; the others have few rows to rank
+    large = {r["lang"]: min(1.0, 2.0 * sample / r["n"]) for r in counts.where(F.col("n") * 1000 >= F.lit(total)).collect()}
+    share = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in large.items() for x in pair]), F.col("lang")), F.lit(1.0)) if large else F.lit(1.0)
     # hashes are spread over -2^63 to 2^63
-    few = taught.select("id", "lang", h.alias("h")).join(share, "lang").where(F.col("h") < (F.least("share", F.lit(1.0)) * 2 - 1) * 9.223372036854776e18).distinct()
+    few = taught.select("id", "lang", h.alias("h")).where(F.col("h") < (share * 2 - 1) * 9.223372036854776e18).distinct()
     by_hash = Window.partitionBy("lang").orderBy("h", "id")
     chosen = staged(few.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= sample).select("id", "lang"), "language-sample")
 
