@@ -23,7 +23,9 @@ are near none still cost the square of their number over the block size.
 Defined results: NULL and blank texts have an empty set and are linked with
 nothing; rows with one id count as one document and share its verdict; a row
 with NULL id is part of its class but names none; a class of such rows alone
-stays by itself, component NULL; an empty table gives an empty result.
+stays by itself, component NULL; a very long text is one set of all its shingles; of
+other columns `near_groups` reads none and `drop_near_copies` keeps all; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations

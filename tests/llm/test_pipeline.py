@@ -49,3 +49,21 @@ def test_run_gives_the_last_stage(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 200
+
+
+def test_odd_rows_pass_every_stage(spark, odd, empty):
+    """NULLs in every column, empty, blank and very long texts, repeated rows, and a table without rows, stage by stage."""
+    for path in (odd, empty):
+        first = documents(spark, path)
+        for name, stage in corpus_pipeline.STAGES:
+            # every stage on the odd rows themselves, not only on what the stages before left of them
+            out = stage(spark, first, path)
+            rows = out.collect()
+            assert name == corpus_pipeline.STAGES[-1][0] or out.columns == first.columns
+            assert rows or path == empty or name == "language_id"
+            if name in ("language_id", "line_dedup", "minhash_near_dedup"):
+                assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in first.collect()}
+            if name == "sentencepieces" and path == odd:
+                assert len(rows) == first.count()
+        last = corpus_pipeline.run(spark, path).collect()
+        assert path == odd or not last
