@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows the stage before
 kept; between stages the rows are written and read again. All stages but the
 last return the columns of `documents`.
+
+Defined results: texts that are NULL or hold no letter go at language ID; a
+NULL id is carried through (two rows of one text and id share one verdict at
+line dedup and near-dedup); sources that are NULL are a source of their own;
+repeated rows are as many documents until near-dedup leaves one; very long
+texts are read whole by every stage; a table without rows gives none.
 """
 
 from __future__ import annotations
