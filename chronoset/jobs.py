@@ -30,7 +30,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronoset import schemas
@@ -137,7 +137,10 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
     stage = f"{lay.stage}/{name}"
     if writers.path_exists(spark, stage):
         _drop_part(spark, lay, cfg, name)
-    staged = writers.write_counted(cfg.checked(raw), stage, "overwrite", options={"partitionOverwriteMode": "static"})
+    obs = Observation(f"stage-{name}")
+    counted = cfg.checked(raw).observe(obs, F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("bad"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
+    staged, n_bad = obs.get.get("rows", 0), obs.get.get("bad", 0)
     rows = spark.read.parquet(stage)
     good = rows.where(F.col(REASON).isNull())
     lenient = on_fail == "quarantine"
@@ -147,8 +150,9 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
         return {"status": "failed_checks", "checks": [r.asDict() for r in results]}
     bad = rows.where(F.col(REASON).isNotNull())
     kept = F.coalesce(F.col(json_scan.CORRUPT), F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("_")])))
-    bad_rows = writers.write_counted(bad.select("file_name", "file_date", F.col(REASON).alias("reason"), kept.alias("line")),
-                                     f"{lay.quarantine}/token={name}", "overwrite", options={"partitionOverwriteMode": "static"})
+    if n_bad:
+        (bad.select("file_name", "file_date", F.col(REASON).alias("reason"), kept.alias("line"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{lay.quarantine}/token={name}"))
     # a folder a date, in it a part a batch
     facts = cfg.facts(good).withColumn("token", F.lit(name)).withColumn("part", F.lit(name))
     # a hot day is split at run time; in a small batch no day is hot, and many small days keep all tasks busy
@@ -163,7 +167,7 @@ def _process(spark: SparkSession, lay: Layout, cfg: FeedConfig, raw: DataFrame,
     # only batch runs have a label
     Ledger(spark, lay.ledger).record(per_file, label, token=name)
     writers.delete_path(spark, stage)
-    return {"status": "done", "fact_rows": fact_rows, "quarantined": bad_rows, "dimension_version": hist.dimension.version()}
+    return {"status": "done", "fact_rows": fact_rows, "quarantined": n_bad, "dimension_version": hist.dimension.version()}
 
 
 def _drop_part(spark: SparkSession, lay: Layout, cfg: FeedConfig, name: str) -> None:
@@ -187,8 +191,8 @@ def _read_listed(spark: SparkSession, cfg: FeedConfig, listed: DataFrame) -> Dat
     dates = listed.select("file_date").distinct()
     if "file_date" in raw.columns:
         # "is at least the first" makes the list a selective side, which pruning at run time asks for
-        first = dates.agg(F.min("file_date")).first()[0]
-        if first is not None and listed.where("file_date is null").isEmpty():
+        first, undated = listed.agg(F.min("file_date"), F.count_if(F.col("file_date").isNull())).first()
+        if first is not None and not undated:
             typed = dates.where(F.col("file_date") >= F.lit(first)).select(F.col("file_date").cast(raw.schema["file_date"].dataType).alias("file_date"))
             raw = raw.join(F.broadcast(typed), "file_date", "left_semi")
     else:

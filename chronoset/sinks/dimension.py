@@ -1,4 +1,4 @@
-"""The dimension as Spark bucketed tables: a folder per version and one pointer row.
+"""The dimension as Spark bucketed tables: a folder and a small pointer file per version.
 
 Every version is a table of its own, written once: partitioned by `is_current`,
 bucketed and sorted by the key (`bucketBy`/`sortBy`). A join or window on the
@@ -6,8 +6,8 @@ key reads the open rows without moving them; only the stage is shuffled, into
 as many partitions as there are buckets.
 
 * `versions/v=N/`: all open rows as of version N, and the rows it closed;
-* `pointer/v=N/`: one row that says what version N consists of: its own open
-  rows and the closed rows of the versions in `closed`. A version exists once
+* `pointer/v=N.json`: a small file that says what version N consists of: its own
+  open rows and the closed rows of the versions in `closed`. A version exists once
   its pointer does, so a crash leaves the version before in force, and its
   folder is overwritten by the next commit.
 
@@ -23,6 +23,7 @@ Choose `buckets` so that the open rows of one bucket are a few hundred MB.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 from functools import reduce
@@ -32,10 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronoset.schemas import CURRENT_COL
-from chronoset.sinks.writers import delete_path, list_dirs, path_exists
+from chronoset.sinks.writers import delete_path, list_dirs, list_files, read_text, write_text
 
-POINTER = ("version long, closed array<long>, max_day date, runs map<string, long>, snapshots array<string>, corrected boolean, "
-           "schema string, key string, buckets int")
 EMPTY = {"version": 0, "closed": [], "max_day": None, "runs": {}, "snapshots": [], "corrected": False, "schema": None, "key": None, "buckets": None}
 
 
@@ -85,18 +84,20 @@ class Dimension:
         return f"{self.base}/versions/v={v}"
 
     def _pointer(self, v: int) -> str:
-        return f"{self.base}/pointer/v={v}"
+        return f"{self.base}/pointer/v={v}.json"
+
+    def _pointers(self) -> list[int]:
+        names = list_files(self.spark, f"{self.base}/pointer")
+        return sorted(int(n[2:-5]) for n in names if n.endswith(".json"))
 
     def state(self) -> dict:
-        """The last committed version's pointer row."""
-        found = [int(n.split("=", 1)[1]) for n in list_dirs(self.spark, f"{self.base}/pointer")]
-        for v in sorted(found, reverse=True):
-            if path_exists(self.spark, f"{self._pointer(v)}/_SUCCESS"):
-                return self._at(v)
-        return dict(EMPTY)
+        """What the last committed version's pointer says."""
+        found = self._pointers()
+        return self._at(found[-1]) if found else dict(EMPTY)
 
     def _at(self, v: int) -> dict:
-        return self.spark.read.schema(POINTER).json(self._pointer(v)).first().asDict()
+        st = json.loads(read_text(self.spark, self._pointer(v)))
+        return st | {"max_day": dt.date.fromisoformat(st["max_day"]) if st["max_day"] else None}
 
     def version(self) -> int:
         return self.state()["version"]
@@ -149,15 +150,16 @@ class Dimension:
         forget(self.spark, self._folder(v))
         write_bucketed([p.select(*names) for p in parts], self._folder(v), self.key, self.buckets, CURRENT_COL)
         st = before | told | {"version": v, "closed": [v] if replace else [*before["closed"], v], "schema": schema.json(), "key": self.key, "buckets": self.buckets}
-        row = tuple(st[name] for name in T._parse_datatype_string(POINTER).names)
-        self.spark.createDataFrame([row], POINTER).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").json(self._pointer(v))
+        write_text(self.spark, self._pointer(v), json.dumps(st, default=str))
         self._clean(before, st)
         return v
 
     def _clean(self, before: dict, now: dict) -> None:
         """Remove folders and pointers that neither the last version nor the one before it reads."""
         needed = {now["version"], before["version"], *now["closed"], *(before["closed"] or [])}
-        for kind, keep in (("versions", needed), ("pointer", {now["version"], before["version"]})):
-            for name in list_dirs(self.spark, f"{self.base}/{kind}"):
-                if int(name.split("=", 1)[1]) not in keep:
-                    forget(self.spark, f"{self.base}/{kind}/{name}")
+        for name in list_dirs(self.spark, f"{self.base}/versions"):
+            if int(name.split("=", 1)[1]) not in needed:
+                forget(self.spark, f"{self.base}/versions/{name}")
+        for v in self._pointers():
+            if v not in (now["version"], before["version"]):
+                delete_path(self.spark, self._pointer(v))

@@ -48,6 +48,30 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small metadata file, read by the driver; None where it is absent."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small metadata file, written aside and moved into place, so a reader finds it whole or not at all."""
+    fs, aside = _hadoop_path(spark, path + ".tmp")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    delete_path(spark, path)
+    move_path(spark, path + ".tmp", path)
+
+
 def move_path(spark: SparkSession, path: str, target: str) -> None:
     """Rename a folder; its parent folders are made."""
     fs, source = _hadoop_path(spark, path)
