@@ -46,7 +46,8 @@ def test_merge_day_pushes_the_day_filter_to_the_scan(spark, q):
 
 def test_samples_are_filters_of_their_input(spark, q):
     # as many exchanges as the history itself, and no window, sort or join of the sample
-    assert _exchanges(_plan(q["sample_current"](spark, SF001))) == _exchanges(_plan(q["scd2_build"](spark, SF001)))
+    plain = lambda name: re.sub(r"#\d+", "", str(_exchanges(_plan(q[name](spark, SF001)))))
+    assert plain("sample_current") == plain("scd2_build")
     for name in ("sample_files", "sample_profiles"):
         plan = _plan(q[name](spark, SF001))
         assert "TakeOrderedAndProject" not in plan and "Window" not in plan and "Join" not in plan
